@@ -225,3 +225,224 @@ def q_cancel_by_airline(spark, sf_dir):
     "GROUP BY month"))
 def q_cancel_by_month(spark, sf_dir):
     return S.cancellations_by_month(raw(spark, sf_dir))
+
+
+# --- distributions (AD1-AD4, VZ1) ------------------------------------------
+
+from tarmac.operators import distribution as D  # noqa: E402
+from tarmac.operators import network as N  # noqa: E402
+from tarmac.operators import relate as R  # noqa: E402
+from tarmac.operators import score as SC  # noqa: E402
+from tarmac.sources.dims import coords_for, state_codes_for  # noqa: E402
+
+
+@query("arr_delay_stats", O.with_featured(
+    f"SELECT count(arr_delay) AS count, {O.r('avg(arr_delay)', 2)} AS mean, "
+    f"{O.r('stddev_samp(arr_delay)', 2)} AS stddev, min(arr_delay) AS min, "
+    "max(arr_delay) AS max FROM flights_featured"))
+def q_arr_delay_stats(spark, sf_dir):
+    return D.delay_describe(featured(spark, sf_dir))
+
+
+@query("arr_delay_percentiles", O.with_featured(" UNION ALL ".join(
+    f"SELECT '{lab}' AS percentile, CAST(quantile_disc(arr_delay, {p}) AS DOUBLE) AS minutes "
+    f"FROM flights_featured" for p, lab in zip(D.PERCENTILES, D.PERCENTILE_LABELS))))
+def q_arr_delay_percentiles(spark, sf_dir):
+    return D.delay_percentiles(featured(spark, sf_dir), exact=True)
+
+
+@query("arr_delay_histogram", O.with_featured(
+    "SELECT bin, count(*) AS flights FROM (SELECT CAST(floor(arr_delay / 15) * 15 AS INTEGER) "
+    "AS bin FROM flights_featured) WHERE bin BETWEEN -60 AND 240 GROUP BY bin"))
+def q_arr_delay_histogram(spark, sf_dir):
+    return D.delay_histogram(featured(spark, sf_dir))
+
+
+@query("airline_percentiles", O.with_featured(
+    f"SELECT op_unique_carrier, count(*) AS flights, "
+    f"{O.r('quantile_disc(arr_delay, 0.5)', 1)} AS median_delay, "
+    f"{O.r('quantile_disc(arr_delay, 0.9)', 1)} AS p90_delay FROM flights_featured "
+    "GROUP BY op_unique_carrier HAVING count(*) >= 1000"))
+def q_airline_percentiles(spark, sf_dir):
+    return D.percentiles_by_group(featured(spark, sf_dir), min_flights=1000, exact=True)
+
+
+_FENCE = "v.arr_delay BETWEEN st.q1 - 1.5 * (st.q3 - st.q1) AND st.q3 + 1.5 * (st.q3 - st.q1)"
+
+
+@query("box_by_season", O.with_featured(
+    f"SELECT st.season, st.n, {O.r('st.q1', 4)} AS q1, {O.r('st.median', 4)} AS median, "
+    f"{O.r('st.q3', 4)} AS q3, "
+    f"CAST(min(v.arr_delay) FILTER (WHERE {_FENCE}) AS DOUBLE) AS lower_whisker, "
+    f"CAST(max(v.arr_delay) FILTER (WHERE {_FENCE}) AS DOUBLE) AS upper_whisker, "
+    f"count(*) FILTER (WHERE NOT ({_FENCE})) AS n_outliers "
+    "FROM st JOIN bx_vals v ON v.season = st.season "
+    "GROUP BY st.season, st.n, st.q1, st.median, st.q3",
+    ctes="""bx_top AS (SELECT season, count(*) AS c FROM flights_featured WHERE season IS NOT NULL
+                GROUP BY season ORDER BY c DESC, season LIMIT 12),
+bx_vals AS (SELECT f.season, f.arr_delay FROM flights_featured f JOIN bx_top t ON f.season = t.season
+            WHERE f.arr_delay IS NOT NULL),
+st AS (SELECT season, count(*) AS n, quantile_cont(arr_delay, 0.25) AS q1,
+              quantile_cont(arr_delay, 0.5) AS median, quantile_cont(arr_delay, 0.75) AS q3
+       FROM bx_vals GROUP BY season)"""))
+def q_box_by_season(spark, sf_dir):
+    return D.box_stats(featured(spark, sf_dir), "season", "arr_delay")
+
+
+# --- relationships (AD5, AD7-AD9) -------------------------------------------
+
+_CD = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in R.CORR_COLUMNS)
+_CD_WHERE = " AND ".join(f"{c} IS NOT NULL" for c in R.CORR_COLUMNS)
+_CORR = " UNION ALL ".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, {O.r(f'corr({a}, {b})', 6)} AS corr FROM cd"
+    for a in R.CORR_COLUMNS for b in R.CORR_COLUMNS)
+
+
+@query("correlations", O.with_featured(
+    _CORR, ctes=f"cd AS (SELECT {_CD} FROM flights_featured WHERE {_CD_WHERE})"))
+def q_correlations(spark, sf_dir):
+    return R.correlation_long(featured(spark, sf_dir))
+
+
+_DEP_BAND = O._case("dep_delay", [0, 15, 30, 60, 120],
+                    ["On time / early", "1-15 late", "15-30 late", "30-60 late", "60-120 late",
+                     "120+ late"], first_inclusive=True)
+
+
+@query("recovery_by_band", O.with_featured(
+    f"SELECT dep_band, count(*) AS flights, {O.r('avg(dep_delay)', 1)} AS avg_dep_delay, "
+    f"{O.r('avg(arr_delay)', 1)} AS avg_arr_delay, "
+    f"{O.r('avg(made_up_time)', 1)} AS avg_minutes_recovered "
+    f"FROM (SELECT *, {_DEP_BAND} AS dep_band FROM flights_featured) GROUP BY dep_band"))
+def q_recovery_by_band(spark, sf_dir):
+    return R.propagation_by_dep_band(featured(spark, sf_dir))
+
+
+def _heat_sql(rows, cols, values, prefix):
+    cells = ", ".join(
+        f"{O.r(f'avg(arr_delay) FILTER (WHERE {cols} = {v})', 2)} AS {prefix}{v}" for v in values)
+    return O.with_featured(f"SELECT {rows}, {cells} FROM flights_featured GROUP BY {rows}")
+
+
+@query("heat_hour_weekday", _heat_sql("dep_hour", "day_of_week", range(1, 8), "dow"))
+def q_heat_hour_weekday(spark, sf_dir):
+    return R.heatmap_hour_vs_dow(featured(spark, sf_dir))
+
+
+@query("heat_airline_month", _heat_sql("op_unique_carrier", "month", range(1, 13), "m"))
+def q_heat_airline_month(spark, sf_dir):
+    return R.heatmap_airline_vs_month(featured(spark, sf_dir))
+
+
+# --- network and maps (AD10, AD11, ST1, JN1-JN4, VZ3-VZ5) -------------------
+
+@query("airport_traffic", O.with_featured(
+    "SELECT COALESCE(d.airport, a.airport) AS airport, COALESCE(d.departures, 0) AS departures, "
+    "COALESCE(a.arrivals, 0) AS arrivals, "
+    "COALESCE(d.departures, 0) + COALESCE(a.arrivals, 0) AS total_movements "
+    "FROM (SELECT origin AS airport, count(*) AS departures FROM flights_featured GROUP BY origin) d "
+    "FULL OUTER JOIN (SELECT dest AS airport, count(*) AS arrivals FROM flights_featured "
+    "GROUP BY dest) a ON d.airport = a.airport "
+    "ORDER BY total_movements DESC, airport LIMIT 20"))
+def q_airport_traffic(spark, sf_dir):
+    return N.airport_traffic(featured(spark, sf_dir), top=20)
+
+
+_BUSIEST = (f"SELECT origin, dest, route, count(*) AS flights, {O.r('avg(arr_delay)', 2)} "
+            "AS avg_arr_delay, min(distance) AS distance FROM flights_featured "
+            "GROUP BY origin, dest, route ORDER BY flights DESC, route, origin, dest LIMIT 25")
+
+
+@query("busiest_routes", O.with_featured(_BUSIEST))
+def q_busiest_routes(spark, sf_dir):
+    return N.busiest_routes(featured(spark, sf_dir), top=25)
+
+
+@query("route_nodes", O.with_featured(
+    "SELECT n.airport, c.name AS airport_name, c.lat, c.lon FROM "
+    "(SELECT origin AS airport FROM br UNION SELECT dest FROM br) n "
+    "JOIN coords c ON c.code = n.airport", dims=True, ctes=f"br AS ({_BUSIEST})"))
+def q_route_nodes(spark, sf_dir):
+    routes = N.busiest_routes(featured(spark, sf_dir), top=25)
+    return N.route_nodes(routes, coords_for(spark, sf_dir))
+
+
+@query("route_edges_geo", O.with_featured(
+    "SELECT b.origin, b.dest, b.route, b.flights, "
+    f"{O.r('1 + 6 * b.flights / max(b.flights) OVER ()', 4)} AS width, "
+    "o.lat AS origin_lat, o.lon AS origin_lon, d.lat AS dest_lat, d.lon AS dest_lon "
+    "FROM br b "
+    "JOIN coords o ON o.code = b.origin JOIN coords d ON d.code = b.dest",
+    dims=True, ctes=f"br AS ({_BUSIEST})"))
+def q_route_edges_geo(spark, sf_dir):
+    routes = N.busiest_routes(featured(spark, sf_dir), top=25)
+    return N.route_edges(routes, coords_for(spark, sf_dir))
+
+
+@query("airport_bubbles", O.with_featured(
+    f"SELECT a.origin, a.flights, a.avg_arr_delay, c.name AS airport_name, c.lat, c.lon FROM "
+    f"(SELECT origin, count(*) AS flights, {O.r('avg(arr_delay)', 2)} AS avg_arr_delay "
+    "FROM flights_featured GROUP BY origin HAVING count(*) >= 200) a "
+    "JOIN coords c ON c.code = a.origin", dims=True))
+def q_airport_bubbles(spark, sf_dir):
+    return N.airport_bubbles(featured(spark, sf_dir), coords_for(spark, sf_dir), min_flights=200)
+
+
+@query("state_values", O.with_featured(
+    f"SELECT s.state, s.code, a.value FROM (SELECT origin_state_nm, "
+    f"{O.r('avg(arr_delay)', 2)} AS value FROM flights_featured GROUP BY origin_state_nm) a "
+    "JOIN state_codes s ON s.state = a.origin_state_nm", dims=True))
+def q_state_values(spark, sf_dir):
+    return N.state_values(featured(spark, sf_dir), state_codes_for(spark, sf_dir))
+
+
+# --- scorecards and rankings (TK3, AD12, VZ2, VZ6) -------------------------
+
+@query("worst_destinations", O.with_featured(
+    f"SELECT dest, {O.SUMMARY} FROM flights_featured GROUP BY dest HAVING count(*) >= 200 "
+    "ORDER BY avg_arr_delay DESC, dest LIMIT 15"))
+def q_worst_destinations(spark, sf_dir):
+    by_dest = S.delays_by_dest_airport(featured(spark, sf_dir), 200)
+    return SC.top_rows(by_dest, 15, F.desc("avg_arr_delay"), "dest")
+
+
+_SCORE = (f"SELECT op_unique_carrier, count(*) AS flights, "
+          f"{O.r('100 * avg(is_on_time)', 1)} AS on_time_pct, "
+          f"{O.r('avg(arr_delay)', 1)} AS avg_arr_delay, "
+          f"{O.r('quantile_disc(arr_delay, 0.9)', 1)} AS p90_delay, "
+          f"{O.r('100 * avg(is_big_delay)', 2)} AS big_delay_pct "
+          "FROM flights_featured GROUP BY op_unique_carrier HAVING count(*) >= 1000")
+
+
+@query("airline_score", O.with_featured(_SCORE))
+def q_airline_score(spark, sf_dir):
+    return SC.airline_scorecard(featured(spark, sf_dir), min_flights=1000)
+
+
+_RADAR_METRICS = ["on_time_pct", "avg_arr_delay", "p90_delay", "big_delay_pct"]
+_RADAR = ", ".join(
+    f"CASE WHEN max({m}) OVER () = min({m}) OVER () THEN 0.5 ELSE "
+    f"{O.r(f'({m} - min({m}) OVER ()) / (max({m}) OVER () - min({m}) OVER ())', 4)} END AS {m}"
+    for m in _RADAR_METRICS)
+
+
+@query("airline_radar", O.with_featured(
+    f"SELECT op_unique_carrier, {_RADAR} FROM "
+    "(SELECT * FROM sc ORDER BY on_time_pct DESC, op_unique_carrier LIMIT 5)",
+    ctes=f"sc AS ({_SCORE})"))
+def q_airline_radar(spark, sf_dir):
+    score = SC.airline_scorecard(featured(spark, sf_dir), min_flights=1000)
+    return SC.normalise_top(score, "op_unique_carrier", _RADAR_METRICS,
+                            [F.desc("on_time_pct"), "op_unique_carrier"], top=5)
+
+
+@query("airline_dep_vs_arr", O.with_featured(
+    "SELECT op_unique_carrier, 'dep' AS series, avg_dep_delay AS minutes FROM top12 "
+    "UNION ALL SELECT op_unique_carrier, 'arr' AS series, avg_arr_delay AS minutes FROM top12",
+    ctes=f"top12 AS (SELECT op_unique_carrier, {O.SUMMARY} FROM flights_featured "
+         "GROUP BY op_unique_carrier ORDER BY flights DESC, op_unique_carrier LIMIT 12)"))
+def q_airline_dep_vs_arr(spark, sf_dir):
+    by_airline = S.delays_by_airline(featured(spark, sf_dir))
+    top = SC.top_rows(by_airline, 12, F.desc("flights"), "op_unique_carrier")
+    return SC.series_long(top, "op_unique_carrier",
+                          {"dep": "avg_dep_delay", "arr": "avg_arr_delay"}, "minutes")

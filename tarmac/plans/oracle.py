@@ -171,9 +171,10 @@ def with_clean(select: str) -> str:
     return f"WITH {FLIGHTS_RAW},{FLIGHTS_CLEAN}\n{select}"
 
 
-def with_featured(select: str, dims: bool = False) -> str:
+def with_featured(select: str, dims: bool = False, ctes: str = "") -> str:
     extra = f",{DIMS}" if dims else ""
-    return f"WITH {FLIGHTS_RAW},{FLIGHTS_CLEAN},{FLIGHTS_FEATURED}{extra}\n{select}"
+    more = f",\n{ctes}" if ctes else ""
+    return f"WITH {FLIGHTS_RAW},{FLIGHTS_CLEAN},{FLIGHTS_FEATURED}{extra}{more}\n{select}"
 
 
 SUMMARY = f"""count(*) AS flights,
