@@ -446,3 +446,95 @@ def q_airline_dep_vs_arr(spark, sf_dir):
     top = SC.top_rows(by_airline, 12, F.desc("flights"), "op_unique_carrier")
     return SC.series_long(top, "op_unique_carrier",
                           {"dep": "avg_dep_delay", "arr": "avg_arr_delay"}, "minutes")
+
+
+# --- segmentation (CU1-CU6) ------------------------------------------------
+
+from tarmac.operators import predict as P  # noqa: E402
+from tarmac.operators import segment as G  # noqa: E402
+
+PROFILE_MIN_FLIGHTS = 1000
+
+
+@query("airport_profiles", O.with_featured(
+    f"SELECT * FROM (SELECT origin, count(*) AS flights, {O.r('avg(arr_delay)', 2)} AS avg_arr_delay, "
+    f"{O.r('100 * avg(is_delayed)', 2)} AS delayed_pct, {O.r('avg(taxi_out)', 2)} AS avg_taxi_out, "
+    f"{O.r('100 * avg(is_longhaul)', 2)} AS pct_longhaul FROM flights_featured GROUP BY origin "
+    f"HAVING count(*) >= {PROFILE_MIN_FLIGHTS}) WHERE origin IS NOT NULL "
+    "AND avg_arr_delay IS NOT NULL AND delayed_pct IS NOT NULL AND avg_taxi_out IS NOT NULL "
+    "AND pct_longhaul IS NOT NULL"))
+def q_airport_profiles(spark, sf_dir):
+    return G.build_airport_profiles(featured(spark, sf_dir), PROFILE_MIN_FLIGHTS)
+
+
+@query("k_sweep")
+def q_k_sweep(spark, sf_dir):
+    return G.choose_k(G.build_airport_profiles(featured(spark, sf_dir), PROFILE_MIN_FLIGHTS))
+
+
+@query("airport_segments")
+def q_airport_segments(spark, sf_dir):
+    return G.cluster_airports(G.build_airport_profiles(featured(spark, sf_dir), PROFILE_MIN_FLIGHTS))
+
+
+@query("segment_profiles")
+def q_segment_profiles(spark, sf_dir):
+    clustered = G.cluster_airports(
+        G.build_airport_profiles(featured(spark, sf_dir), PROFILE_MIN_FLIGHTS))
+    return G.cluster_profiles_summary(clustered)
+
+
+# --- sampling (AD6) ----------------------------------------------------------
+
+@query("delay_scatter_sample")
+def q_delay_scatter_sample(spark, sf_dir):
+    return R.scatter_sample(featured(spark, sf_dir), n=5000)
+
+
+# --- prediction (ML1-ML9) ----------------------------------------------------
+
+_RUNS: dict = {}
+
+
+def _classifier_run(spark, sf_dir) -> P.ClassifierRun:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _RUNS:
+        _RUNS[key] = P.train_classifiers(P.prepare_model_data(featured(spark, sf_dir)))
+    return _RUNS[key]
+
+
+@query("classifier_metrics")
+def q_classifier_metrics(spark, sf_dir):
+    return P.metrics_table(spark, _classifier_run(spark, sf_dir).metrics)
+
+
+@query("classifier_confusion")
+def q_classifier_confusion(spark, sf_dir):
+    run = _classifier_run(spark, sf_dir)
+    return P.confusion_counts(run.models["RandomForest"], run.test)
+
+
+@query("classifier_importance")
+def q_classifier_importance(spark, sf_dir):
+    run = _classifier_run(spark, sf_dir)
+    return P.feature_importance(run, run.test, top=15)
+
+
+@query("regressor_metrics")
+def q_regressor_metrics(spark, sf_dir):
+    _, metrics = P.train_regressor(P.prepare_model_data(featured(spark, sf_dir)))
+    return spark.createDataFrame(metrics, "metric string, value double")
+
+
+# --- file round trip (IO1, IO3) ------------------------------------------------
+
+from tarmac.sources.flights import load_flights, save_table  # noqa: E402
+from tarmac.sources.store import scratch_path  # noqa: E402
+
+
+@query("flights_from_csv", O.with_raw("SELECT * FROM flights_raw"))
+def q_flights_from_csv(spark, sf_dir):
+    """The raw flight table written as header CSV and read back with the fixed schema."""
+    path = scratch_path(spark, sf_dir, "flights_raw_csv")
+    save_table(raw(spark, sf_dir), path, fmt="csv")
+    return load_flights(spark, path, fmt="csv")

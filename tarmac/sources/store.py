@@ -29,6 +29,13 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def scratch_path(spark: SparkSession, key: str, name: str) -> str:
+    """A folder for table ``name`` of data key ``key`` in this application."""
+    app = spark.sparkContext.applicationId
+    digest = hashlib.sha1(f"{app}|{os.path.abspath(key)}".encode()).hexdigest()[:16]
+    return f"{scratch_root(spark).rstrip('/')}/tarmac-tables/{digest}/{name}"
+
+
 def stored(spark: SparkSession, key: str, name: str, build) -> DataFrame:
     """Write ``build()`` once per (application, key, name); return a read of the files."""
     app = spark.sparkContext.applicationId
@@ -36,8 +43,7 @@ def stored(spark: SparkSession, key: str, name: str, build) -> DataFrame:
     with _LOCK:
         path = _WRITTEN.get(ident)
         if path is None:
-            digest = hashlib.sha1(f"{app}|{key}".encode()).hexdigest()[:16]
-            path = f"{scratch_root(spark).rstrip('/')}/tarmac-tables/{digest}/{name}"
+            path = scratch_path(spark, key, name)
             write_table(build(), path)
             _WRITTEN[ident] = path
     return spark.read.parquet(path)
