@@ -20,22 +20,30 @@ def correlation_long(df: DataFrame, cols: Sequence[str] | None = None,
     """AD5: Pearson correlation of every column pair, long (col_a, col_b, corr).
 
     Rows with a NULL in any listed column are dropped first (listwise), as the
-    reference does. All pairs come from one aggregate pass with map-side
-    partial state (six sums per pair); nothing is collected. The full square
-    (both orders and the diagonal) is emitted so the table pivots to a matrix.
-    A constant column gives NULL.
+    reference does. Two aggregate passes, both map-side partial and
+    code-generated: the column means (k numbers, read back to the driver),
+    then the sums of centred cross products for every pair (k(k+1)/2 sums).
+    Centring keeps the sums well conditioned at any row count. The full square
+    (both orders and the diagonal) is emitted so the table pivots to a matrix;
+    a constant column gives NULL.
     """
     cols = existing_columns(df, cols or CORR_COLUMNS)
     data = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
+    means = data.agg(*[F.avg(c).alias(c) for c in cols]).first()
+    centred = {c: F.col(c) - F.lit(means[c] if means[c] is not None else 0.0) for c in cols}
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    wide = data.agg(*[F.corr(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in pairs])
-    rows = []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            lo, hi = min(i, j), max(i, j)
-            rows.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                                 F.round(F.col(f"c{lo}_{hi}"), digits).alias("corr")))
-    return wide.select(F.inline(F.array(*rows)))
+    sums = data.agg(*[F.sum(centred[cols[i]] * centred[cols[j]]).alias(f"s{i}_{j}")
+                      for i, j in pairs])
+
+    def corr(i, j):
+        lo, hi = min(i, j), max(i, j)
+        den = F.sqrt(F.col(f"s{lo}_{lo}") * F.col(f"s{hi}_{hi}"))
+        return F.when(den > 0, F.col(f"s{lo}_{hi}") / den)
+
+    rows = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
+                     F.round(corr(i, j), digits).alias("corr"))
+            for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return sums.select(F.inline(F.array(*rows)))
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None,

@@ -5,12 +5,12 @@ arithmetic on its keys (rules in FIXTURES.md), with origin = customer nation and
 destination = supplier nation. Every ``l_orderkey % 50 = 0`` flight appears twice
 (exact duplicate rows) to exercise the de-duplication step.
 
-Plan shape: lineitem joins orders on the order key and customer on the customer
-key (both equi-joins the planner shuffles or, for a small side, broadcasts at
-run time through AQE; AQE also splits a hot key's partition). Supplier is joined
-the same way. Nation and region are bounded dimensions joined by broadcast. The
-duplicate copy is made by a generator after the joins, so nothing is scanned or
-joined twice.
+Plan shape: orders joins customer (customer key), then lineitem joins that on
+the order key, then supplier on the supplier key. Customer and supplier are
+broadcast after a row-count check, else shuffled; AQE splits a hot key's
+partition in a shuffled join. Nation and region are bounded dimensions joined
+by broadcast. The duplicate copy is made by a generator after the joins, so
+nothing is scanned or joined twice.
 """
 
 from __future__ import annotations
@@ -23,6 +23,10 @@ from tarmac.schema import FLIGHT_COLUMNS
 
 STAR_TABLES = ("lineitem", "orders", "customer", "supplier", "nation", "region")
 
+# Largest customer / supplier projection (key + nation key, ~16 bytes a row)
+# shipped to every executor as a broadcast copy; beyond it the join shuffles.
+SIDE_ROW_BOUND = 5_000_000
+
 
 def read_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in STAR_TABLES}
@@ -45,12 +49,22 @@ def flights_from_star(lineitem: DataFrame, orders: DataFrame, customer: DataFram
     d_place = places.select(F.col("n_nationkey").alias("sn"), F.col("n_name").alias("d_nation"),
                             F.col("r_name").alias("d_region"))
 
-    li = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate")
-    od = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    # orders x customer first: lineitem, the largest table, is then shuffled once,
+    # on the order key. Customer and supplier are broadcast only when a row-count
+    # check proves them small; otherwise they are shuffled like any other side.
     cu = customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("cn"))
+    oc = (orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+          .join(bounded_broadcast(cu, SIDE_ROW_BOUND), "o_custkey")
+          .select("l_orderkey", "cn"))
     su = supplier.select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("sn"))
+    li = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate")
 
-    base = (li.join(od, "l_orderkey").join(cu, "o_custkey").join(su, "l_suppkey")
+    # lineitem x orders is the big-big join: both sides hash-partitioned on the
+    # order key, orders (unique keys, so no hot build partition) hashed per
+    # partition. The hint keeps the planner from broadcasting either side on a
+    # small-file size estimate; AQE still splits a hot lineitem key.
+    base = (li.join(oc.hint("shuffle_hash"), "l_orderkey")
+            .join(bounded_broadcast(su, SIDE_ROW_BOUND), "l_suppkey")
             .join(o_place, "cn").join(d_place, "sn"))
 
     h = (F.col("l_orderkey") * 31 + F.col("l_linenumber") * 17

@@ -23,6 +23,7 @@ from tarmac.sources.star import flights_for
 
 _LOCK = threading.Lock()
 _WRITTEN: dict[tuple[str, str, str], str] = {}
+_READS: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -37,16 +38,19 @@ def scratch_path(spark: SparkSession, key: str, name: str) -> str:
 
 
 def stored(spark: SparkSession, key: str, name: str, build) -> DataFrame:
-    """Write ``build()`` once per (application, key, name); return a read of the files."""
+    """Write ``build()`` once per (application, key, name); return a read of the files.
+
+    The resolved read is kept too, so later queries skip listing the files.
+    """
     app = spark.sparkContext.applicationId
     ident = (app, key, name)
     with _LOCK:
-        path = _WRITTEN.get(ident)
-        if path is None:
+        if ident not in _READS:
             path = scratch_path(spark, key, name)
             write_table(build(), path)
             _WRITTEN[ident] = path
-    return spark.read.parquet(path)
+            _READS[ident] = spark.read.parquet(path)
+        return _READS[ident]
 
 
 @dataclass
