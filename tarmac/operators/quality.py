@@ -104,7 +104,8 @@ def _distinct_counts(df: DataFrame) -> DataFrame:
 def duplicate_stats(df: DataFrame) -> DataFrame:
     """CL9: total_rows, distinct_rows, duplicate_rows in one pass."""
     return (_distinct_counts(df)
-            .agg(F.sum("_n").alias("total_rows"), F.count(F.lit(1)).alias("distinct_rows"))
+            .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows"),
+                 F.count(F.lit(1)).alias("distinct_rows"))
             .withColumn("duplicate_rows", F.col("total_rows") - F.col("distinct_rows")))
 
 
@@ -125,8 +126,9 @@ def cleaning_waterfall(df: DataFrame, low: float = OUTLIER_LOW,
     c3 = F.coalesce(flew_normally(), F.lit(False))
     c4 = c3 & F.coalesce(delays_present(), F.lit(False))
     c5 = c4 & F.coalesce(delays_in_range(low, high), F.lit(False))
+    total = F.coalesce(F.sum("_n"), F.lit(0))
     counts = d.agg(
-        F.sum("_n").alias("s0"), F.sum("_n").alias("s1"), F.count(F.lit(1)).alias("s2"),
+        total.alias("s0"), total.alias("s1"), F.count(F.lit(1)).alias("s2"),
         F.count_if(c3).alias("s3"), F.count_if(c4).alias("s4"), F.count_if(c5).alias("s5"))
     steps = F.array(*[
         F.struct(F.lit(i).alias("step_no"), F.lit(name).alias("step"),
