@@ -538,3 +538,60 @@ def q_flights_from_csv(spark, sf_dir):
     path = scratch_path(spark, sf_dir, "flights_raw_csv")
     save_table(raw(spark, sf_dir), path, fmt="csv")
     return load_flights(spark, path, fmt="csv")
+
+
+# --- further inventory forms (JN1, AD5 square, AN15/AN16/AN18/CL7 wide, TK3, TK5) ---
+
+@query("airport_traffic_outer_join", ORACLE["airport_traffic"])
+def q_airport_traffic_outer_join(spark, sf_dir):
+    return N.airport_traffic_join(featured(spark, sf_dir), top=20)
+
+
+_CORR_WIDE = ", ".join(
+    f"max(corr) FILTER (WHERE col_b = '{b}') AS {b}" for b in R.CORR_COLUMNS)
+
+
+@query("correlation_matrix", O.with_featured(
+    f"SELECT col_a AS column_name, {_CORR_WIDE} FROM ({_CORR}) GROUP BY col_a",
+    ctes=f"cd AS (SELECT {_CD} FROM flights_featured WHERE {_CD_WHERE})"))
+def q_correlation_matrix(spark, sf_dir):
+    return R.correlation_matrix(featured(spark, sf_dir))
+
+
+@query("cause_totals_wide", O.with_featured(
+    "SELECT " + ", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in CAUSES)
+    + " FROM flights_featured"))
+def q_cause_totals_wide(spark, sf_dir):
+    return S.delay_cause_totals(featured(spark, sf_dir))
+
+
+@query("cause_frequency_wide", O.with_featured(
+    "SELECT " + ", ".join(f"{O.r(f'100 * avg(has_{c})', 2)} AS {c}" for c in CAUSES)
+    + " FROM flights_featured"))
+def q_cause_frequency_wide(spark, sf_dir):
+    return S.delay_cause_frequency(featured(spark, sf_dir))
+
+
+@query("cause_by_month_wide", O.with_featured(
+    "SELECT month, " + ", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in CAUSES)
+    + " FROM flights_featured GROUP BY month"))
+def q_cause_by_month_wide(spark, sf_dir):
+    return S.cause_share_by_month(featured(spark, sf_dir))
+
+
+@query("null_counts_wide", O.with_raw(f"SELECT {_NULLS} FROM flights_raw"))
+def q_null_counts_wide(spark, sf_dir):
+    return Q.missing_value_report(raw(spark, sf_dir))
+
+
+@query("busiest_origins", O.with_featured(
+    f"SELECT origin, {O.SUMMARY} FROM flights_featured GROUP BY origin HAVING count(*) >= 200 "
+    "ORDER BY flights DESC, origin LIMIT 20"))
+def q_busiest_origins(spark, sf_dir):
+    by_origin = S.delays_by_origin_airport(featured(spark, sf_dir), 200)
+    return SC.top_rows(by_origin, 20, F.desc("flights"), "origin")
+
+
+@query("delay_scatter_bernoulli")
+def q_delay_scatter_bernoulli(spark, sf_dir):
+    return R.scatter_sample(featured(spark, sf_dir), n=5000, method="bernoulli")
