@@ -96,9 +96,28 @@ def missing_value_long(df: DataFrame) -> DataFrame:
                 .orderBy(F.desc("null_count"), "column_name"))
 
 
-def _distinct_counts(df: DataFrame) -> DataFrame:
-    """Each distinct row once, with its copy count ``_n`` (partial-aggregated)."""
-    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+COPY_COUNT = "_n"
+
+
+def distinct_counts(df: DataFrame) -> DataFrame:
+    """Each distinct row once, with its copy count ``_n`` (partial-aggregated).
+
+    De-duplicated rows, the duplicate count and the cleaning waterfall all come
+    from this one aggregate; written once, it saves re-shuffling every column.
+    """
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(COPY_COUNT))
+
+
+_distinct_counts = distinct_counts
+
+
+def clean_from_distinct(distinct: DataFrame, low: float = OUTLIER_LOW,
+                        high: float = OUTLIER_HIGH) -> DataFrame:
+    """CL3-CL5 over the (date-parsed) distinct rows: the same rows as ``clean_flights``."""
+    return (distinct.drop(COPY_COUNT)
+                    .transform(drop_cancelled_and_diverted)
+                    .transform(drop_missing_delays)
+                    .transform(lambda d: remove_delay_outliers(d, low, high)))
 
 
 def duplicate_stats(df: DataFrame) -> DataFrame:
@@ -114,15 +133,16 @@ WATERFALL_STEPS = ["start", "parse dates", "drop duplicates", "drop cancelled/di
                    "drop missing delays", "remove outliers"]
 
 
-def cleaning_waterfall(df: DataFrame, low: float = OUTLIER_LOW,
-                       high: float = OUTLIER_HIGH) -> DataFrame:
+def cleaning_waterfall(df: DataFrame, low: float = OUTLIER_LOW, high: float = OUTLIER_HIGH,
+                       distinct: DataFrame | None = None) -> DataFrame:
     """CL10 + WN1: rows left after each cleaning step, and rows each step removed.
 
     One scan: the de-duplication aggregate gives each distinct parsed row and its
-    copy count; the later steps are cumulative conditional counts over it.
+    copy count; the later steps are cumulative conditional counts over it. Pass
+    ``distinct`` (``distinct_counts(parse_dates(df))``, e.g. already written) to
+    skip the aggregate.
     """
-    parsed = parse_dates(df)
-    d = _distinct_counts(parsed)
+    d = distinct if distinct is not None else distinct_counts(parse_dates(df))
     c3 = F.coalesce(flew_normally(), F.lit(False))
     c4 = c3 & F.coalesce(delays_present(), F.lit(False))
     c5 = c4 & F.coalesce(delays_in_range(low, high), F.lit(False))

@@ -28,22 +28,21 @@ def correlation_long(df: DataFrame, cols: Sequence[str] | None = None,
     a constant column gives NULL.
     """
     cols = existing_columns(df, cols or CORR_COLUMNS)
-    data = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
-    means = data.agg(*[F.avg(c).alias(c) for c in cols]).first()
-    centred = {c: F.col(c) - F.lit(means[c] if means[c] is not None else 0.0) for c in cols}
+    q = [f"`{c}`" for c in cols]
+    data = df.selectExpr(*[f"CAST({c} AS DOUBLE) AS {c}" for c in q]).dropna()
+    means = data.selectExpr(*[f"avg({c}) AS {c}" for c in q]).first()
+    # expressions are built as SQL text: one JVM call per projection
+    cen = [f"({c} - CAST({float(means[i] or 0.0)!r} AS DOUBLE))" for i, c in enumerate(q)]
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    sums = data.agg(*[F.sum(centred[cols[i]] * centred[cols[j]]).alias(f"s{i}_{j}")
-                      for i, j in pairs])
-
-    def corr(i, j):
-        lo, hi = min(i, j), max(i, j)
-        den = F.sqrt(F.col(f"s{lo}_{lo}") * F.col(f"s{hi}_{hi}"))
-        return F.when(den > 0, F.col(f"s{lo}_{hi}") / den)
-
-    rows = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                     F.round(corr(i, j), digits).alias("corr"))
-            for i, a in enumerate(cols) for j, b in enumerate(cols)]
-    return sums.select(F.inline(F.array(*rows)))
+    sums = data.selectExpr(*[f"sum({cen[i]} * {cen[j]}) AS s{i}_{j}" for i, j in pairs])
+    values = sums.selectExpr(*[
+        f"round(CASE WHEN sqrt(s{i}_{i} * s{j}_{j}) > 0 "
+        f"THEN s{i}_{j} / sqrt(s{i}_{i} * s{j}_{j}) END, {digits}) AS c{i}_{j}"
+        for i, j in pairs])
+    structs = ", ".join(
+        f"named_struct('col_a', '{a}', 'col_b', '{b}', 'corr', c{min(i, j)}_{max(i, j)})"
+        for i, a in enumerate(cols) for j, b in enumerate(cols))
+    return values.selectExpr(f"inline(array({structs}))")
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None,

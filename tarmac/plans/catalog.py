@@ -106,7 +106,8 @@ _STEPS = " UNION ALL ".join(
     f"SELECT step_no, step, rows, lag(rows) OVER (ORDER BY step_no) - rows AS removed "
     f"FROM ({_STEPS})"))
 def q_cleaning_waterfall(spark, sf_dir):
-    return Q.cleaning_waterfall(raw(spark, sf_dir))
+    t = flight_tables(spark, sf_dir)
+    return Q.cleaning_waterfall(t.raw, distinct=t.distinct)
 
 
 _DESCRIBE = " UNION ALL ".join(

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.functions.derive import add_features
-from tarmac.operators.quality import clean_flights
+from tarmac.operators.quality import clean_from_distinct, distinct_counts, parse_dates
 from tarmac.session import scratch_root
 from tarmac.sources.star import flights_for
 
@@ -56,14 +56,30 @@ def stored(spark: SparkSession, key: str, name: str, build) -> DataFrame:
 @dataclass
 class FlightTables:
     raw: DataFrame
+    distinct: DataFrame
     clean: DataFrame
     featured: DataFrame
 
 
+_TABLES: dict[tuple[str, str], FlightTables] = {}
+
+
 def flight_tables(spark: SparkSession, sf_dir: str) -> FlightTables:
-    """Raw (with duplicates), cleaned and featured flight tables for a data folder."""
+    """Raw, distinct (with copy counts), cleaned and featured flight tables.
+
+    Two tables are written: the raw flights and the date-parsed distinct rows
+    with their copy counts (the one all-column shuffle of the cleaning chain).
+    Clean and featured are lazy views over the distinct table: the cleaning
+    filters reach its Parquet scan, the derived columns are cheap projections
+    computed only for the columns a query reads.
+    """
     key = os.path.abspath(sf_dir)
-    raw = stored(spark, key, "flights_raw", lambda: flights_for(spark, sf_dir))
-    featured = stored(spark, key, "flights_featured", lambda: add_features(clean_flights(raw)))
-    base_cols = raw.columns
-    return FlightTables(raw=raw, clean=featured.select(*base_cols), featured=featured)
+    ident = (spark.sparkContext.applicationId, key)
+    if ident not in _TABLES:
+        raw = stored(spark, key, "flights_raw", lambda: flights_for(spark, sf_dir))
+        distinct = stored(spark, key, "flights_distinct",
+                          lambda: distinct_counts(parse_dates(raw)))
+        clean = clean_from_distinct(distinct)
+        _TABLES[ident] = FlightTables(raw=raw, distinct=distinct, clean=clean,
+                                      featured=add_features(clean))
+    return _TABLES[ident]
