@@ -9,7 +9,7 @@ dimension tables with the same columns, e.g. from ``read_dimension``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The derivation rule parameters.
@@ -51,3 +51,33 @@ def read_dimension(spark: SparkSession, path: str, fmt: str = "csv", schema: str
     if schema:
         reader = reader.schema(schema)
     return reader.csv(path)
+
+
+# US state / territory names and their two-letter postal codes.
+US_STATE_CODES = [
+    ("Alabama", "AL"), ("Alaska", "AK"), ("Arizona", "AZ"), ("Arkansas", "AR"),
+    ("California", "CA"), ("Colorado", "CO"), ("Connecticut", "CT"), ("Delaware", "DE"),
+    ("District of Columbia", "DC"), ("Florida", "FL"), ("Georgia", "GA"), ("Hawaii", "HI"),
+    ("Idaho", "ID"), ("Illinois", "IL"), ("Indiana", "IN"), ("Iowa", "IA"),
+    ("Kansas", "KS"), ("Kentucky", "KY"), ("Louisiana", "LA"), ("Maine", "ME"),
+    ("Maryland", "MD"), ("Massachusetts", "MA"), ("Michigan", "MI"), ("Minnesota", "MN"),
+    ("Mississippi", "MS"), ("Missouri", "MO"), ("Montana", "MT"), ("Nebraska", "NE"),
+    ("Nevada", "NV"), ("New Hampshire", "NH"), ("New Jersey", "NJ"), ("New Mexico", "NM"),
+    ("New York", "NY"), ("North Carolina", "NC"), ("North Dakota", "ND"), ("Ohio", "OH"),
+    ("Oklahoma", "OK"), ("Oregon", "OR"), ("Pennsylvania", "PA"), ("Rhode Island", "RI"),
+    ("South Carolina", "SC"), ("South Dakota", "SD"), ("Tennessee", "TN"), ("Texas", "TX"),
+    ("Utah", "UT"), ("Vermont", "VT"), ("Virginia", "VA"), ("Washington", "WA"),
+    ("West Virginia", "WV"), ("Wisconsin", "WI"), ("Wyoming", "WY"),
+    ("Puerto Rico", "PR"), ("Virgin Islands", "VI"),
+]
+
+
+def us_state_codes(spark: SparkSession) -> DataFrame:
+    """(state, code) for the US states, DC and two territories (53 rows)."""
+    return spark.createDataFrame(US_STATE_CODES, "state string, code string")
+
+
+def state_code(name: Column) -> Column:
+    """Single-value lookup of a US state name as a map literal; unknown -> NULL."""
+    pairs = [x for s, c in US_STATE_CODES for x in (F.lit(s), F.lit(c))]
+    return F.try_element_at(F.create_map(*pairs), name)
