@@ -596,3 +596,22 @@ def q_busiest_origins(spark, sf_dir):
 @query("delay_scatter_bernoulli")
 def q_delay_scatter_bernoulli(spark, sf_dir):
     return R.scatter_sample(featured(spark, sf_dir), n=5000, method="bernoulli")
+
+
+# --- approximate percentiles, the reference's own mode (AD2, AD4, AD12) ----------
+# percentile_approx at its default accuracy (10000) is exact for groups smaller
+# than that, which holds for airlines on sf0.01, so the exact oracle applies.
+
+@query("airline_percentiles_approx", ORACLE["airline_percentiles"])
+def q_airline_percentiles_approx(spark, sf_dir):
+    return D.percentiles_by_group(featured(spark, sf_dir), min_flights=1000, exact=False)
+
+
+@query("airline_score_approx", ORACLE["airline_score"])
+def q_airline_score_approx(spark, sf_dir):
+    return SC.airline_scorecard(featured(spark, sf_dir), min_flights=1000, exact=False)
+
+
+@query("arr_delay_percentiles_approx")
+def q_arr_delay_percentiles_approx(spark, sf_dir):
+    return D.delay_percentiles(featured(spark, sf_dir), exact=False, rel_error=0.001)

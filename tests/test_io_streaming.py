@@ -60,3 +60,20 @@ def test_stream_summary_equals_batch(spark):
     batch = (S.delay_summary(add_features(clean_flights(raw)), "op_unique_carrier")
              .orderBy("op_unique_carrier").collect())
     assert [tuple(r) for r in got] == [tuple(r) for r in batch]
+
+
+def test_stream_dedup_within_watermark(spark):
+    raw = flight_tables(spark, SF001).raw
+    src = tempfile.mkdtemp(prefix="tarmac-stream-dup-")
+    save_table(raw, src)  # raw still holds its exact duplicate rows
+    stream = clean_stream(read_flight_stream(spark, src), dedup_within="3650 days")
+    q = (stream.writeStream.outputMode("append").format("memory")
+         .queryName("tarmac_stream_dedup")
+         .option("checkpointLocation", tempfile.mkdtemp(prefix="tarmac-stream-ck-"))
+         .start())
+    try:
+        q.processAllAvailable()
+        n = spark.sql("SELECT count(*) FROM tarmac_stream_dedup").first()[0]
+    finally:
+        q.stop()
+    assert n == clean_flights(raw).count()
