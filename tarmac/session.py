@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -54,3 +55,37 @@ def scratch_root(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="tarmac-ckpt-"))
     return sc.getCheckpointDir()
+
+
+# Target shuffle partition size for the big one-off writes (de-duplication of
+# the whole flight table). Parquet expands several-fold into shuffle rows. The
+# cap keeps the task count schedulable by one driver; past it partitions grow and
+# the aggregate spills (sort-based fallback) instead of failing.
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+PARQUET_EXPANSION = 3
+MAX_SHUFFLE_PARTITIONS = 200_000
+
+
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path`` (Hadoop file system API, no data read)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
+@contextmanager
+def shuffle_partitions_for(spark: SparkSession, input_bytes: int,
+                           target_bytes: int = TARGET_PARTITION_BYTES):
+    """Raise ``spark.sql.shuffle.partitions`` for one job so each shuffle partition
+    holds about ``target_bytes``; a larger current setting is kept. AQE then
+    coalesces partitions that come out small. Restored afterwards."""
+    key = "spark.sql.shuffle.partitions"
+    current = int(spark.conf.get(key))
+    wanted = min(MAX_SHUFFLE_PARTITIONS, -(-input_bytes * PARQUET_EXPANSION // target_bytes))
+    if wanted > current:
+        spark.conf.set(key, str(wanted))
+    try:
+        yield max(wanted, current)
+    finally:
+        spark.conf.set(key, str(current))

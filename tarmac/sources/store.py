@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.functions.derive import add_features
 from tarmac.operators.quality import clean_from_distinct, distinct_counts, parse_dates
-from tarmac.session import scratch_root
+from tarmac.session import path_bytes, scratch_root, shuffle_partitions_for
 from tarmac.sources.star import flights_for
 
 _LOCK = threading.Lock()
@@ -37,17 +37,23 @@ def scratch_path(spark: SparkSession, key: str, name: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/tarmac-tables/{digest}/{name}"
 
 
-def stored(spark: SparkSession, key: str, name: str, build) -> DataFrame:
+def stored(spark: SparkSession, key: str, name: str, build, sized_by: str | None = None) -> DataFrame:
     """Write ``build()`` once per (application, key, name); return a read of the files.
 
     The resolved read is kept too, so later queries skip listing the files.
+    ``sized_by`` names a written input whose size sets the job's shuffle
+    partition count (see ``shuffle_partitions_for``).
     """
     app = spark.sparkContext.applicationId
     ident = (app, key, name)
     with _LOCK:
         if ident not in _READS:
             path = scratch_path(spark, key, name)
-            write_table(build(), path)
+            if sized_by is not None:
+                with shuffle_partitions_for(spark, path_bytes(spark, sized_by)):
+                    write_table(build(), path)
+            else:
+                write_table(build(), path)
             _WRITTEN[ident] = path
             _READS[ident] = spark.read.parquet(path)
         return _READS[ident]
@@ -78,7 +84,8 @@ def flight_tables(spark: SparkSession, sf_dir: str) -> FlightTables:
     if ident not in _TABLES:
         raw = stored(spark, key, "flights_raw", lambda: flights_for(spark, sf_dir))
         distinct = stored(spark, key, "flights_distinct",
-                          lambda: distinct_counts(parse_dates(raw)))
+                          lambda: distinct_counts(parse_dates(raw)),
+                          sized_by=_WRITTEN[(ident[0], key, "flights_raw")])
         clean = clean_from_distinct(distinct)
         _TABLES[ident] = FlightTables(raw=raw, distinct=distinct, clean=clean,
                                       featured=add_features(clean))
