@@ -111,6 +111,35 @@ def distinct_counts(df: DataFrame) -> DataFrame:
 _distinct_counts = distinct_counts
 
 
+def merge_counts(distinct: DataFrame) -> DataFrame:
+    """Re-aggregate distinct rows whose values became equal (summing copy counts)."""
+    keys = [c for c in distinct.columns if c != COPY_COUNT]
+    return distinct.groupBy(*keys).agg(F.sum(COPY_COUNT).alias(COPY_COUNT))
+
+
+def dates_round_trip(df: DataFrame, col: str = "fl_date", fmt: str = "yyyy-MM-dd") -> bool:
+    """True when every non-NULL date text parses and prints back unchanged.
+
+    Then parsing is one-to-one on the column, so rows distinct before parsing
+    stay distinct after it. One filtered scan that stops at the first offender.
+    """
+    t = F.col(col)
+    bad = t.isNotNull() & (F.try_to_date(t, fmt).isNull()
+                           | (F.date_format(F.try_to_date(t, fmt), fmt) != t))
+    return df.filter(bad).limit(1).count() == 0
+
+
+def parsed_distinct(distinct_raw: DataFrame, col: str = "fl_date",
+                    fmt: str = "yyyy-MM-dd") -> DataFrame:
+    """Distinct date-parsed rows with copy counts, from distinct raw rows.
+
+    A projection when the dates round-trip; otherwise the rows that parsing
+    made equal are merged (one more aggregate).
+    """
+    parsed = parse_dates(distinct_raw, col, fmt)
+    return parsed if dates_round_trip(distinct_raw, col, fmt) else merge_counts(parsed)
+
+
 def clean_from_distinct(distinct: DataFrame, low: float = OUTLIER_LOW,
                         high: float = OUTLIER_HIGH) -> DataFrame:
     """CL3-CL5 over the (date-parsed) distinct rows: the same rows as ``clean_flights``."""
@@ -120,9 +149,12 @@ def clean_from_distinct(distinct: DataFrame, low: float = OUTLIER_LOW,
                     .transform(lambda d: remove_delay_outliers(d, low, high)))
 
 
-def duplicate_stats(df: DataFrame) -> DataFrame:
-    """CL9: total_rows, distinct_rows, duplicate_rows in one pass."""
-    return (_distinct_counts(df)
+def duplicate_stats(df: DataFrame, distinct: DataFrame | None = None) -> DataFrame:
+    """CL9: total_rows, distinct_rows, duplicate_rows in one pass.
+
+    ``distinct`` (``distinct_counts(df)``, e.g. already written) skips the shuffle.
+    """
+    return ((distinct if distinct is not None else distinct_counts(df))
             .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows"),
                  F.count(F.lit(1)).alias("distinct_rows"))
             .withColumn("duplicate_rows", F.col("total_rows") - F.col("distinct_rows")))

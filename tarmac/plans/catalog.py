@@ -85,7 +85,8 @@ def q_null_profile(spark, sf_dir):
     "FROM (SELECT count(*) AS total_rows FROM flights_raw) t, "
     "(SELECT count(*) AS distinct_rows FROM (SELECT DISTINCT * FROM flights_raw)) d"))
 def q_duplicate_stats(spark, sf_dir):
-    return Q.duplicate_stats(raw(spark, sf_dir))
+    t = flight_tables(spark, sf_dir)
+    return Q.duplicate_stats(t.raw, distinct=t.distinct_raw)
 
 
 _STEP_SQL = [

@@ -17,6 +17,9 @@ SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # a long-lived session running ~60 distinct query shapes: keep their compiled
+    # whole-stage code (the default cache of 100 classes evicts and recompiles)
+    "spark.sql.codegen.cache.maxEntries": "2000",
 }
 
 

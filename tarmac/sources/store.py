@@ -17,7 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.functions.derive import add_features
-from tarmac.operators.quality import clean_from_distinct, distinct_counts, parse_dates
+from tarmac.operators.quality import (clean_from_distinct, dates_round_trip, distinct_counts,
+                                      merge_counts, parse_dates)
 from tarmac.session import path_bytes, scratch_root, shuffle_partitions_for
 from tarmac.sources.star import flights_for
 
@@ -62,6 +63,7 @@ def stored(spark: SparkSession, key: str, name: str, build, sized_by: str | None
 @dataclass
 class FlightTables:
     raw: DataFrame
+    distinct_raw: DataFrame
     distinct: DataFrame
     clean: DataFrame
     featured: DataFrame
@@ -73,20 +75,26 @@ _TABLES: dict[tuple[str, str], FlightTables] = {}
 def flight_tables(spark: SparkSession, sf_dir: str) -> FlightTables:
     """Raw, distinct (with copy counts), cleaned and featured flight tables.
 
-    Two tables are written: the raw flights and the date-parsed distinct rows
-    with their copy counts (the one all-column shuffle of the cleaning chain).
-    Clean and featured are lazy views over the distinct table: the cleaning
-    filters reach its Parquet scan, the derived columns are cheap projections
-    computed only for the columns a query reads.
+    Written: the raw flights and their distinct rows with copy counts (the one
+    all-column shuffle; duplicate statistics read it directly). The date-parsed
+    distinct rows the cleaning needs are a projection of it when every date text
+    round-trips through the parser (one LIMIT-1 scan checks), else a written
+    re-aggregation. Clean and featured are lazy views: the cleaning filters reach
+    the Parquet scan, derived columns are computed only for the columns read.
     """
     key = os.path.abspath(sf_dir)
     ident = (spark.sparkContext.applicationId, key)
     if ident not in _TABLES:
         raw = stored(spark, key, "flights_raw", lambda: flights_for(spark, sf_dir))
-        distinct = stored(spark, key, "flights_distinct",
-                          lambda: distinct_counts(parse_dates(raw)),
-                          sized_by=_WRITTEN[(ident[0], key, "flights_raw")])
+        raw_path = _WRITTEN[(ident[0], key, "flights_raw")]
+        distinct_raw = stored(spark, key, "flights_distinct_raw", lambda: distinct_counts(raw),
+                              sized_by=raw_path)
+        if dates_round_trip(distinct_raw):
+            distinct = parse_dates(distinct_raw)
+        else:
+            distinct = stored(spark, key, "flights_distinct",
+                              lambda: merge_counts(parse_dates(distinct_raw)), sized_by=raw_path)
         clean = clean_from_distinct(distinct)
-        _TABLES[ident] = FlightTables(raw=raw, distinct=distinct, clean=clean,
-                                      featured=add_features(clean))
+        _TABLES[ident] = FlightTables(raw=raw, distinct_raw=distinct_raw, distinct=distinct,
+                                      clean=clean, featured=add_features(clean))
     return _TABLES[ident]
