@@ -108,15 +108,11 @@ def distinct_counts(df: DataFrame) -> DataFrame:
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(COPY_COUNT))
 
 
-_distinct_counts = distinct_counts
-
-
 def merge_counts(distinct: DataFrame) -> DataFrame:
     """Re-aggregate distinct rows whose values became equal (summing copy counts)."""
     keys = [c for c in distinct.columns if c != COPY_COUNT]
     return distinct.groupBy(*keys).agg(F.sum(COPY_COUNT).alias(COPY_COUNT))
 
-
 def dates_round_trip(df: DataFrame, col: str = "fl_date", fmt: str = "yyyy-MM-dd") -> bool:
     """True when every non-NULL date text parses and prints back unchanged.
 

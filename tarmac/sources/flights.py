@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 from tarmac.schema import FLIGHT_SCHEMA
 
@@ -18,19 +18,28 @@ def _read_schema(schema: StructType) -> StructType:
 
 def load_flights(spark: SparkSession, path: str, fmt: str = "csv",
                  schema: StructType = FLIGHT_SCHEMA, mode: str = "PERMISSIVE",
-                 header: bool = True) -> DataFrame:
+                 header: bool = True, corrupt_col: str | None = None) -> DataFrame:
     """IO1: read flight files with the fixed schema (no inference pass).
 
     CSV: header row, numeric integer columns read as double and cast back.
-    ``mode`` is Spark's CSV parse mode (PERMISSIVE / DROPMALFORMED / FAILFAST).
+    ``mode`` is Spark's CSV parse mode (PERMISSIVE / DROPMALFORMED / FAILFAST);
+    with ``corrupt_col`` (PERMISSIVE) a malformed line's text is kept in that
+    extra string column and its fields are NULL.
     Parquet: read as stored, then cast to the schema.
     """
     if fmt == "parquet":
         df = spark.read.parquet(path)
     else:
-        df = (spark.read.option("header", header).option("mode", mode)
-              .schema(_read_schema(schema)).csv(path))
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+        read_schema = _read_schema(schema)
+        reader = spark.read.option("header", header).option("mode", mode)
+        if corrupt_col:
+            read_schema = read_schema.add(StructField(corrupt_col, StringType(), True))
+            reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
+        df = reader.schema(read_schema).csv(path)
+    cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
+    if corrupt_col and fmt != "parquet":
+        cols.append(F.col(corrupt_col))
+    return df.select(*cols)
 
 
 def save_table(df: DataFrame, path: str, fmt: str = "csv", single_file: bool = False) -> DataFrame:

@@ -77,3 +77,16 @@ def test_stream_dedup_within_watermark(spark):
     finally:
         q.stop()
     assert n == clean_flights(raw).count()
+
+
+def test_corrupt_lines_kept_aside(spark):
+    d = tempfile.mkdtemp(prefix="tarmac-bad-")
+    good = ",".join(["2024", "1", "5", "5", "2024-01-05", "AA"] + [""] * 29)
+    bad = ",".join(["2024", "oops", "5"] + [""] * 32)
+    _write_csv(f"{d}/a.csv", [good, bad])
+    rows = load_flights(spark, d, corrupt_col="_corrupt").collect()
+    assert len(rows) == 2
+    by = {r.month: r for r in rows}
+    assert by[1]._corrupt is None and by[None]._corrupt.startswith("2024,oops")
+    # count() alone prunes every column, so the parser never sees the bad field
+    assert len(load_flights(spark, d, mode="DROPMALFORMED").collect()) == 1
