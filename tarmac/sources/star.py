@@ -41,7 +41,7 @@ def _hhmm(minutes: Column) -> Column:
 def flights_from_star(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
                       supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     places = bounded_broadcast(
-        nation.join(F.broadcast(region.select("r_regionkey", "r_name")),
+        nation.join(bounded_broadcast(region.select("r_regionkey", "r_name")),
                     nation.n_regionkey == region.r_regionkey)
         .select("n_nationkey", "n_name", "r_name"))
     o_place = places.select(F.col("n_nationkey").alias("cn"), F.col("n_name").alias("o_nation"),
