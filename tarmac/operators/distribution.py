@@ -84,6 +84,7 @@ def box_stats(df: DataFrame, group: str = "season", value: str = "arr_delay",
              .groupBy(group).agg(F.count(F.lit(1)).alias("group_rows"))
              .orderBy(F.desc("group_rows"), group).limit(max_groups))
     vals = df.select(group, value).filter(F.col(value).isNotNull())
+    # top has at most max_groups rows (LIMIT), so broadcasting it is bounded
     vals = vals.join(F.broadcast(top), group, "inner")
     stats = vals.groupBy(group).agg(
         F.count(F.lit(1)).alias("n"),
