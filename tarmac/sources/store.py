@@ -38,11 +38,12 @@ def scratch_path(spark: SparkSession, key: str, name: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/tarmac-tables/{digest}/{name}"
 
 
-def stored(spark: SparkSession, key: str, name: str, build, sized_by: str | None = None) -> DataFrame:
+def stored(spark: SparkSession, key: str, name: str, build,
+           sized_by: str | list[str] | None = None) -> DataFrame:
     """Write ``build()`` once per (application, key, name); return a read of the files.
 
     The resolved read is kept too, so later queries skip listing the files.
-    ``sized_by`` names a written input whose size sets the job's shuffle
+    ``sized_by`` names input paths whose total size sets the job's shuffle
     partition count (see ``shuffle_partitions_for``).
     """
     app = spark.sparkContext.applicationId
@@ -51,7 +52,8 @@ def stored(spark: SparkSession, key: str, name: str, build, sized_by: str | None
         if ident not in _READS:
             path = scratch_path(spark, key, name)
             if sized_by is not None:
-                with shuffle_partitions_for(spark, path_bytes(spark, sized_by)):
+                paths = [sized_by] if isinstance(sized_by, str) else sized_by
+                with shuffle_partitions_for(spark, sum(path_bytes(spark, p) for p in paths)):
                     write_table(build(), path)
             else:
                 write_table(build(), path)
@@ -85,7 +87,10 @@ def flight_tables(spark: SparkSession, sf_dir: str) -> FlightTables:
     key = os.path.abspath(sf_dir)
     ident = (spark.sparkContext.applicationId, key)
     if ident not in _TABLES:
-        raw = stored(spark, key, "flights_raw", lambda: flights_for(spark, sf_dir))
+        # the lineitem x orders hash join builds orders per shuffle partition:
+        # partitions sized from both inputs keep that build side small
+        raw = stored(spark, key, "flights_raw", lambda: flights_for(spark, sf_dir),
+                     sized_by=[f"{sf_dir}/lineitem.parquet", f"{sf_dir}/orders.parquet"])
         raw_path = _WRITTEN[(ident[0], key, "flights_raw")]
         distinct_raw = stored(spark, key, "flights_distinct_raw", lambda: distinct_counts(raw),
                               sized_by=raw_path)
