@@ -90,3 +90,12 @@ def test_corrupt_lines_kept_aside(spark):
     assert by[1]._corrupt is None and by[None]._corrupt.startswith("2024,oops")
     # count() alone prunes every column, so the parser never sees the bad field
     assert len(load_flights(spark, d, mode="DROPMALFORMED").collect()) == 1
+
+
+def test_cli_lists_queries(capsys):
+    from tarmac.__main__ import main
+    assert main(["list"]) == 0
+    out = capsys.readouterr().out
+    assert "delay_by_airline" in out and "rows-only" in out
+    assert main(["delay_by_airline", "--sql"]) == 0
+    assert "GROUP BY op_unique_carrier" in capsys.readouterr().out

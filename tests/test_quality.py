@@ -95,3 +95,11 @@ def test_parsed_distinct_merges_when_dates_do_not_round_trip(spark):
     # same rows as the direct chain
     direct = Q.drop_duplicates(Q.parse_dates(bad)).count()
     assert d.count() == direct == 2
+
+
+def test_strict_date_parse_raises_lenient_gives_null(spark):
+    import pytest
+    df = flight_rows(spark, [dict(fl_date="2024-13-45")])
+    assert Q.parse_dates(df).first().fl_date is None
+    with pytest.raises(Exception):
+        Q.parse_dates(df, strict=True).collect()
