@@ -103,3 +103,25 @@ def flight_tables(spark: SparkSession, sf_dir: str) -> FlightTables:
         _TABLES[ident] = FlightTables(raw=raw, distinct_raw=distinct_raw, distinct=distinct,
                                       clean=clean, featured=add_features(clean))
     return _TABLES[ident]
+
+
+def release_tables(spark: SparkSession) -> int:
+    """Delete the scratch tables this application wrote; returns how many.
+
+    Only paths recorded by ``stored``/``scratch_path`` users for the current
+    application id are removed (through the Hadoop file system API, so shared
+    storage works too); cached reads of them are dropped.
+    """
+    app = spark.sparkContext.applicationId
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    with _LOCK:
+        for ident in [i for i in _WRITTEN if i[0] == app]:
+            p = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop(ident))
+            _READS.pop(ident, None)
+            if p.getFileSystem(conf).delete(p, True):
+                removed += 1
+        for ident in [i for i in _TABLES if i[0] == app]:
+            _TABLES.pop(ident)
+    return removed

@@ -99,3 +99,4 @@ def test_cli_lists_queries(capsys):
     assert "delay_by_airline" in out and "rows-only" in out
     assert main(["delay_by_airline", "--sql"]) == 0
     assert "GROUP BY op_unique_carrier" in capsys.readouterr().out
+
