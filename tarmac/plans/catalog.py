@@ -1,9 +1,10 @@
 """Named queries over the test-data folders, each paired with its oracle SQL.
 
 A query is ``fn(spark, sf_dir) -> DataFrame``. The flight tables are derived
-from the folder's star-schema tables once per application and read back from
-written Parquet (``tarmac.sources.store``); every query then runs its operator
-over the whole table.
+from the folder's star-schema tables once per application and written as
+Parquet (raw rows and distinct rows with copy counts, ``tarmac.sources.store``);
+cleaned and featured tables are views over them. Every query runs its operator
+over the whole table; the SQL next to it is the independent DuckDB oracle.
 """
 
 from __future__ import annotations
@@ -13,11 +14,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarmac.operators import distribution as D
+from tarmac.operators import network as N
+from tarmac.operators import predict as P
 from tarmac.operators import quality as Q
+from tarmac.operators import relate as R
+from tarmac.operators import score as SC
+from tarmac.operators import segment as G
 from tarmac.operators import summarize as S
 from tarmac.plans import oracle as O
 from tarmac.schema import CAUSES, FLIGHT_COLUMNS
-from tarmac.sources.store import flight_tables
+from tarmac.sources.dims import coords_for, state_codes_for
+from tarmac.sources.flights import load_flights, save_table
+from tarmac.sources.store import flight_tables, scratch_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -231,12 +240,6 @@ def q_cancel_by_month(spark, sf_dir):
 
 # --- distributions (AD1-AD4, VZ1) ------------------------------------------
 
-from tarmac.operators import distribution as D  # noqa: E402
-from tarmac.operators import network as N  # noqa: E402
-from tarmac.operators import relate as R  # noqa: E402
-from tarmac.operators import score as SC  # noqa: E402
-from tarmac.sources.dims import coords_for, state_codes_for  # noqa: E402
-
 
 @query("arr_delay_stats", O.with_featured(
     f"SELECT count(arr_delay) AS count, {O.r('avg(arr_delay)', 2)} AS mean, "
@@ -452,8 +455,6 @@ def q_airline_dep_vs_arr(spark, sf_dir):
 
 # --- segmentation (CU1-CU6) ------------------------------------------------
 
-from tarmac.operators import predict as P  # noqa: E402
-from tarmac.operators import segment as G  # noqa: E402
 
 PROFILE_MIN_FLIGHTS = 1000
 
@@ -530,9 +531,6 @@ def q_regressor_metrics(spark, sf_dir):
 
 # --- file round trip (IO1, IO3) ------------------------------------------------
 
-from tarmac.sources.flights import load_flights, save_table  # noqa: E402
-from tarmac.sources.store import scratch_path  # noqa: E402
-
 
 @query("flights_from_csv", O.with_raw("SELECT * FROM flights_raw"))
 def q_flights_from_csv(spark, sf_dir):
