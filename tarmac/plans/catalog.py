@@ -614,3 +614,17 @@ def q_airline_score_approx(spark, sf_dir):
 @query("arr_delay_percentiles_approx")
 def q_arr_delay_percentiles_approx(spark, sf_dir):
     return D.delay_percentiles(featured(spark, sf_dir), exact=False, rel_error=0.001)
+
+
+# --- AG1 with the notebook's per-dimension HAVING thresholds -----------------------
+
+_AG1_HAVING = {"origin": 200, "dest": 200, "route": 100}
+
+
+@query("delay_all_dimensions_having", O.with_featured(" UNION ALL ".join(
+    f"SELECT '{nm}' AS dimension, CAST({col} AS VARCHAR) AS key, {O.SUMMARY} "
+    f"FROM flights_featured GROUP BY {col}"
+    + (f" HAVING count(*) >= {_AG1_HAVING[nm]}" if nm in _AG1_HAVING else "")
+    for nm, col in S.DIMENSIONS.items())))
+def q_delay_all_dimensions_having(spark, sf_dir):
+    return S.delay_all_dimensions(featured(spark, sf_dir), min_flights=_AG1_HAVING)
