@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarmac.functions.numeric import stable_round
+
 # Outlier window for both delays, minutes, inclusive.
 OUTLIER_LOW = -120
 OUTLIER_HIGH = 1440
@@ -201,7 +203,7 @@ def numeric_summary(df: DataFrame, cols: Sequence[str] = DESCRIBE_COLUMNS,
     rows = F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("count"),
                  F.round(F.col(f"m{i}"), digits).alias("mean"),
-                 F.round(F.col(f"s{i}"), digits).alias("stddev"),
+                 stable_round(F.col(f"s{i}"), digits).alias("stddev"),
                  F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"))
         for i, c in enumerate(cols)])
     return wide.select(F.inline(rows))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.bands import DEP_BAND_BOUNDS, DEP_BAND_LABELS, band, band_order
+from tarmac.functions.numeric import GUARD_DIGITS
 from tarmac.schema import existing_columns
 
 # Default correlation columns.
@@ -23,7 +24,9 @@ def correlation_long(df: DataFrame, cols: Sequence[str] | None = None,
     reference does. Two aggregate passes, both map-side partial and
     code-generated: the column means (k numbers, read back to the driver),
     then the sums of centred cross products for every pair (k(k+1)/2 sums).
-    Centring keeps the sums well conditioned at any row count. The full square
+    Centring keeps the sums well conditioned at any row count; values are
+    rounded to 10 places before the reported ``digits`` (see
+    ``functions.numeric.stable_round``). The full square
     (both orders and the diagonal) is emitted so the table pivots to a matrix;
     a constant column gives NULL.
     """
@@ -36,8 +39,8 @@ def correlation_long(df: DataFrame, cols: Sequence[str] | None = None,
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
     sums = data.selectExpr(*[f"sum({cen[i]} * {cen[j]}) AS s{i}_{j}" for i, j in pairs])
     values = sums.selectExpr(*[
-        f"round(CASE WHEN sqrt(s{i}_{i} * s{j}_{j}) > 0 "
-        f"THEN s{i}_{j} / sqrt(s{i}_{i} * s{j}_{j}) END, {digits}) AS c{i}_{j}"
+        f"round(round(CASE WHEN sqrt(s{i}_{i} * s{j}_{j}) > 0 "
+        f"THEN s{i}_{j} / sqrt(s{i}_{i} * s{j}_{j}) END, {GUARD_DIGITS}), {digits}) AS c{i}_{j}"
         for i, j in pairs])
     structs = ", ".join(
         f"named_struct('col_a', '{a}', 'col_b', '{b}', 'corr', c{min(i, j)}_{max(i, j)})"

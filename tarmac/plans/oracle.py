@@ -4,9 +4,12 @@ Each query is ``WITH <flight derivation> <select>`` over the pre-registered
 test-data views. Written from the rules in FIXTURES.md and the operator
 semantics, not generated from the Spark plans.
 
-Engine differences handled here (see SURVEY §5.3): Spark rounds the decimal
-text of a double HALF_UP, so doubles are rounded through DECIMAL(18,8); Spark
-double -> int casts truncate; Spark integer sums are BIGINT.
+Engine differences handled here (see SURVEY §5.3): Spark rounds the shortest
+decimal text of a double HALF_UP, so doubles are rounded through their text
+form (DuckDB also prints the shortest round-trip text); Spark double -> int
+casts truncate; Spark integer sums are BIGINT. Measures whose last bits depend
+on the summation algorithm (correlation, standard deviation) are first rounded
+to 10 places on both sides (``r_stable``).
 """
 
 from __future__ import annotations
@@ -15,8 +18,14 @@ from tarmac.schema import CAUSES
 
 
 def r(expr: str, n: int) -> str:
-    """Round like Spark's ``round(double, n)``."""
-    return f"CAST(ROUND(CAST(({expr}) AS DECIMAL(18,8)), {n}) AS DOUBLE)"
+    """Round like Spark's ``round(double, n)`` (HALF_UP on the shortest decimal text)."""
+    return (f"CAST(ROUND(TRY_CAST(CAST(CAST(({expr}) AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18)), "
+            f"{n}) AS DOUBLE)")
+
+
+def r_stable(expr: str, n: int) -> str:
+    """``r`` after collapsing summation-order noise at 10 places (see ``stable_round``)."""
+    return r(r(expr, 10), n)
 
 
 def _hhmm(m: str) -> str:
