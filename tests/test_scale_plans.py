@@ -77,3 +77,26 @@ def test_traffic_is_one_shuffle_no_join(spark):
     df.collect()
     plan = _plan(df)
     assert "Join" not in plan and "Generate" in plan
+
+
+def test_shuffle_partitions_for_raises_caps_and_restores(spark):
+    from tarmac.session import MAX_SHUFFLE_PARTITIONS, shuffle_partitions_for
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    with shuffle_partitions_for(spark, 10 * 2**30) as n:       # 10 GiB -> 120 partitions
+        assert n == 120 and spark.conf.get(key) == "120"
+    assert spark.conf.get(key) == before
+    with shuffle_partitions_for(spark, 1) as n:                 # tiny input keeps the session value
+        assert n == int(before) and spark.conf.get(key) == before
+    with shuffle_partitions_for(spark, 10**18) as n:            # capped
+        assert n == MAX_SHUFFLE_PARTITIONS
+    assert spark.conf.get(key) == before
+
+
+def test_path_bytes_counts_written_files(spark):
+    from tarmac.session import path_bytes
+    from tarmac.sources import store
+    store.flight_tables(spark, SF01)
+    app = spark.sparkContext.applicationId
+    raw = store._WRITTEN[(app, __import__("os").path.abspath(SF01), "flights_raw")]
+    assert path_bytes(spark, raw) > 100_000
