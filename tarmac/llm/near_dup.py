@@ -16,12 +16,13 @@ the cells by a for each level, and elements of one cell are ordered by their has
 ``BANDS`` bands of ``ROWS`` samples each give the buckets: two texts of similarity s
 meet in one with probability 1 - (1 - s**ROWS)**BANDS, over 0.999 for s >= 0.8.
 
-Links: exact copies are one node. In every bucket all members are paired with the
-least one (never with each other, so a bucket costs its size), pairs are verified by the exact
-weighted Jaccard similarity of their elements, and components are formed. Members left
+Links: exact copies are one node. In every bucket all members are paired with its
+center, the member whose buckets are the largest in all (never with each other, so a
+bucket costs its size), pairs are verified by the exact weighted Jaccard similarity of
+their elements, and components are formed. Members left
 outside their bucket's largest component are then paired with the members of the
-other components, filtered by weight and by sampled similarity, and verified
-likewise; so a link is not lost because the least member is no match. Components of
+other components, unless an exact bound on what they can have in common or the sampled
+similarity rules the pair out, and verified likewise; so a link is not lost because the center is no match. Components of
 all verified links are the classes.
 
 Defined cases: null texts and texts without a word are a class of their own each. A
@@ -52,12 +53,20 @@ IDF_BUCKETS = 1 << 18
 IDF_SPAN = 0.25
 LEVELS = 8
 CELLS = 1 << 12
-# Sampled bits that must agree before a pair from a mixed bucket is verified: pairs of
-# similarity 0.8 agree in 90 of 100 on average, with a standard deviation of 3.
-LEAST_AGREEMENT = 76
+# Samples that must agree (by NIBBLE bits of each) before a pair is verified: pairs of
+# similarity 0.8 that share a band agree in 82 of 100 on average, with a standard deviation of 4.
+LEAST_AGREEMENT = 67
+NIBBLE = 4
+_IN_LONG = 64 // NIBBLE
+SKETCH = -(-SAMPLES // _IN_LONG)
+# One-bit samples by which pairs from mixed buckets are filtered, and how many may
+# differ: pairs of similarity 0.8 differ in 51 on average, with a standard deviation of 7.
+FINE_SAMPLES = 512
+MOST_APART = 78
 
 _RNG = np.random.RandomState(4021)
 _ODD = _RNG.randint(0, 1 << 62, SAMPLES).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+_FINE_ODD = _RNG.randint(0, 1 << 62, FINE_SAMPLES).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _BAND_MIX = _RNG.randint(0, 1 << 62, ROWS).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _SHINGLE_MIX = _RNG.randint(0, 1 << 62, WORDS).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _LEVEL_WEIGHT = 1.0 + IDF_SPAN * np.arange(LEVELS) / LEVELS
@@ -176,16 +185,16 @@ def idf_levels(df: np.ndarray, n: int) -> np.ndarray:
     return np.clip((rarity * LEVELS).astype(np.int64), 0, LEVELS - 1).astype(np.uint8)
 
 
-def signatures(first: np.ndarray, element: np.ndarray, level: np.ndarray) -> np.ndarray:
-    """Consistent weighted samples, one row per text and one column per sample."""
+def signatures(first: np.ndarray, element: np.ndarray, level: np.ndarray, odd: np.ndarray = _ODD) -> np.ndarray:
+    """Consistent weighted samples, one row per text and one column per multiplier."""
     order = sample_order()
-    out = np.empty((len(first), SAMPLES), np.uint64)
+    out = np.empty((len(first), len(odd)), np.uint64)
     base = level.astype(np.int64) * CELLS
-    for k in range(SAMPLES):
-        x = element * _ODD[k]
+    for k in range(len(odd)):
+        x = element * odd[k]
         cell = (x >> np.uint64(52)).astype(np.int64)
         cell += base
-        key = order[k][cell]
+        key = order[k % SAMPLES][cell]
         x <<= np.uint64(12)
         x >>= np.uint64(16)
         key |= x
@@ -198,7 +207,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-SIGNED = "doc_id long, digest binary, weight double, bits_a long, bits_b long, bands array<long>"
+SIGNED = "doc_id long, digest binary, weight double, bits array<long>, bands array<long>"
 
 
 def sign(docs: DataFrame, levels: np.ndarray) -> DataFrame:
@@ -206,22 +215,24 @@ def sign(docs: DataFrame, levels: np.ndarray) -> DataFrame:
     def signed(batches):
         for batch in batches:
             n = batch.num_rows
-            weight, bits = np.full(n, np.nan), np.zeros((n, 2), np.int64)
+            weight, bits = np.full(n, np.nan), np.zeros((n, SKETCH), np.uint64)
             bands = np.zeros((n, BANDS), np.uint64)
             for rows, first, element, bucket, _ in elements(batch.column("text")):
                 level = levels[bucket]
                 got = _mixed(signatures(first, element, level))
                 weight[rows] = np.add.reduceat(_LEVEL_WEIGHT[level], first)
-                half = (got & np.uint64(1)).reshape(len(rows), 2, SAMPLES // 2) << np.arange(SAMPLES // 2, dtype=np.uint64)
-                bits[rows] = half.sum(axis=2).view(np.int64)
+                low = np.zeros((len(rows), SKETCH * _IN_LONG), np.uint64)
+                low[:, :SAMPLES] = got & np.uint64(2**NIBBLE - 1)
+                shifts = np.arange(0, 64, NIBBLE, dtype=np.uint64)
+                bits[rows] = (low.reshape(len(rows), SKETCH, _IN_LONG) << shifts).sum(axis=2)
                 banded = _mixed((got.reshape(len(rows), BANDS, ROWS) * _BAND_MIX).sum(axis=2))
                 bands[rows] = banded + np.arange(BANDS, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)
             empty = pa.array(np.isnan(weight))
-            listed = pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * BANDS, BANDS, dtype=np.int32)),
-                                              pa.array(bands.view(np.int64).ravel()))
+            listed = lambda x: pa.ListArray.from_arrays(pa.array(np.arange(0, n + 1, dtype=np.int32) * x.shape[1]),
+                                                        pa.array(x.view(np.int64).ravel()))
             none = lambda x: pc.if_else(empty, pa.scalar(None, x.type), x)
             yield pa.record_batch([batch.column("doc_id"), none(batch.column("digest").cast(pa.binary())), none(pa.array(weight)),
-                                   pa.array(bits[:, 0]), pa.array(bits[:, 1]), none(listed)],
+                                   none(listed(bits)), none(listed(bands))],
                                   names=[f.split()[0] for f in SIGNED.split(", ")])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
@@ -284,21 +295,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, similarity: float = SI
     levels = idf_levels(df, n)
     rows = table(spark, sign(docs, levels), "signed")
     texts = rows.filter("digest IS NOT NULL").groupBy("digest").agg(
-        F.min("doc_id").alias("named"), F.first("weight").alias("weight"), F.first("bits_a").alias("bits_a"),
-        F.first("bits_b").alias("bits_b"), F.first("bands").alias("bands"))
+        F.min("doc_id").alias("named"), F.first("weight").alias("weight"), F.first("bits").alias("bits"), F.first("bands").alias("bands"))
     nodes = table(spark, texts.withColumn("node", F.monotonically_increasing_id()), "nodes")
     banded = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.min("node").alias("least"), F.count("*").alias("n")).filter("n > 1").select("bucket", "least")
-    members = table(spark, banded.join(shared, "bucket"), "members")
+    members = table(spark, _members(banded), "members")
     in_buckets = members.select("node").distinct()
     wanted = nodes.join(in_buckets, "node").select("node", F.col("digest").alias("key"), "named")
     payloads = table(spark, _payloads(docs, wanted, levels), "payloads")
 
-    sketch = nodes.select("node", "weight", "bits_a", "bits_b")
-    first = members.filter("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
+    sketch = nodes.select("node", "weight", "bits", "bands")
+    first = members.filter("node <> center").select(F.greatest("node", "center").alias("a"), F.least("node", "center").alias("b")).distinct()
     links = table(spark, _verified(_alike(first, sketch, similarity), payloads, similarity), "verified")
     roots = component_roots(spark, links)
-    second = _left_over(members, roots, sketch, similarity).join(links.select("a", "b"), ["a", "b"], "left_anti")
+    second = _left_over(spark, members, roots, sketch, payloads, similarity).join(links.select("a", "b"), ["a", "b"], "left_anti")
     more = table(spark, _verified(second, payloads, similarity), "verified")
     if not more.isEmpty():
         roots = component_roots(spark, links.select("a", "b").unionByName(more.select("a", "b")))
@@ -309,31 +318,99 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, similarity: float = SI
         "doc_id", "digest", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), "keeper")
 
 
+def _members(banded: DataFrame) -> DataFrame:
+    """(bucket, node, center) of the buckets with several members.
+
+    The center is the member whose buckets are the largest in all: the text that most
+    copies were made from shares more buckets with them than they do with each other.
+    """
+    sized = banded.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    members = banded.join(sized, "bucket")
+    middle = members.groupBy("node").agg(F.sum("n").alias("reach"))
+    center = members.join(middle, "node").groupBy("bucket").agg(F.max(F.struct("reach", (-F.col("node")).alias("node"))).alias("c"))
+    return members.join(center, "bucket").select("bucket", "node", (-F.col("c.node")).alias("center"))
+
+
 def _alike(pairs: DataFrame, sketch: DataFrame, similarity: float) -> DataFrame:
     """Pairs whose total weights and sampled bits allow the similarity."""
-    one = sketch.select(F.col("node").alias("a"), *(F.col(c).alias(f"{c}_1") for c in ("weight", "bits_a", "bits_b")))
-    two = sketch.select(F.col("node").alias("b"), *(F.col(c).alias(f"{c}_2") for c in ("weight", "bits_a", "bits_b")))
+    one = sketch.select(F.col("node").alias("a"), F.col("weight").alias("weight_1"), F.col("bits").alias("bits_1"))
+    two = sketch.select(F.col("node").alias("b"), F.col("weight").alias("weight_2"), F.col("bits").alias("bits_2"))
     return pairs.join(one, "a").join(two, "b").filter(_may_match(similarity)).select("a", "b")
 
 
 def _may_match(similarity: float):
-    apart = F.bit_count(F.col("bits_a_1").bitwiseXOR(F.col("bits_a_2"))) + F.bit_count(F.col("bits_b_1").bitwiseXOR(F.col("bits_b_2")))
     least, most = F.least("weight_1", "weight_2"), F.greatest("weight_1", "weight_2")
+    ones = F.lit(int("1" * _IN_LONG, 16)).cast("long")  # the low bit of each nibble
+    apart = F.lit(0)
+    for i in range(SKETCH):
+        x = F.get("bits_1", i).bitwiseXOR(F.get("bits_2", i))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        apart += F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseAND(ones))
     return (least >= most * (similarity - 1e-9)) & (SAMPLES - apart >= LEAST_AGREEMENT)
 
 
-def _left_over(members: DataFrame, roots: DataFrame, sketch: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of one bucket in different components, at least one outside the largest."""
+def _shared_weights(payloads: DataFrame) -> DataFrame:
+    """(node, common): weight of a node's elements that some other of the nodes holds."""
+    def listed(batches):
+        for batch in batches:
+            for node, raw in zip(batch.column("node").to_pylist(), batch.column("payload")):
+                x = np.frombuffer(raw.as_py(), np.int64)
+                yield pa.record_batch([pa.array(x), pa.array(np.full(len(x), node, np.int64))], names=["element", "node"])
+
+    level = F.col("element").bitwiseAND(F.lit(LEVELS - 1).cast("long"))
+    private = payloads.select("node", "payload").mapInArrow(listed, "element long, node long").groupBy("element").agg(
+        F.count("*").alias("n"), F.min("node").alias("node")).filter("n = 1").groupBy("node").agg(
+        F.sum(1.0 + IDF_SPAN / LEVELS * level).alias("private"))
+    return payloads.select("node", "total").join(private, "node", "left").select(
+        "node", (F.col("total") - F.coalesce("private", F.lit(0.0))).alias("common"))
+
+
+def _fine_sketches(payloads: DataFrame) -> DataFrame:
+    """(node, fine): FINE_SAMPLES one-bit consistent weighted samples of each node."""
+    def sketched(batches):
+        for batch in batches:
+            nodes, raw = batch.column("node"), batch.column("payload").to_pylist()
+            for lo in range(0, len(raw), 64):
+                parts = [np.frombuffer(x, np.uint64) for x in raw[lo:lo + 64]]
+                first = np.cumsum([0] + [len(x) for x in parts[:-1]])
+                flat = np.concatenate(parts)
+                got = signatures(first, flat, flat & np.uint64(LEVELS - 1), _FINE_ODD)
+                bits = np.packbits((_mixed(got) & np.uint64(1)).astype(np.uint8), axis=1, bitorder="little").view(np.int64)
+                yield pa.record_batch([nodes.slice(lo, len(parts)), pa.array(list(bits), pa.list_(pa.int64()))], names=["node", "fine"])
+
+    return payloads.select("node", "payload").mapInArrow(sketched, "node long, fine array<long>")
+
+
+def _left_over(spark: SparkSession, members: DataFrame, roots: DataFrame, sketch: DataFrame, payloads: DataFrame,
+               similarity: float) -> DataFrame:
+    """Pairs of one bucket in different components, at least one outside the largest.
+
+    What two texts have in common is at most the lesser of their weights that any other
+    text of these buckets shares; this bound leaves out only pairs that cannot reach
+    the similarity, and keeps the many variants of one text from meeting each other.
+    """
     placed = members.select("bucket", "node").join(roots, "node", "left").select(
         "bucket", "node", F.coalesce("root", "node").alias("root"))
     sized = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"))
     largest = sized.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("parts")).filter("parts > 1")
-    full = placed.join(largest.select("bucket", "main"), "bucket").join(sketch, "node")
-    suffix = lambda df, i: df.select("bucket", *(F.col(c).alias(f"{c}_{i}") for c in ("node", "root", "weight", "bits_a", "bits_b")), F.col("main").alias(f"main_{i}"))
+    mixed = table(spark, placed.join(largest.select("bucket", "main"), "bucket"), "mixed")
+    shared = _shared_weights(payloads.join(mixed.select("node").distinct(), "node"))
+    able = sketch.select("node", "weight", "bands").join(shared, "node").filter(F.col("common") >= F.col("weight") * similarity - 1e-6)
+    fine = _fine_sketches(payloads.join(able.select("node"), "node", "left_semi"))
+    full = mixed.join(table(spark, able.join(fine, "node"), "able"), "node")
+    fields = ("node", "root", "main", "weight", "fine", "bands", "common")
+    suffix = lambda df, i: df.select("bucket", *(F.col(c).alias(f"{c}_{i}") for c in fields))
     out, every = suffix(full.filter("root <> main"), 1), suffix(full, 2)
+    most = F.least("common_1", "common_2")
+    reachable = most * (1 + similarity) >= (F.col("weight_1") + F.col("weight_2")) * similarity - 1e-6
+    apart = F.lit(0)
+    for i in range(FINE_SAMPLES // 64):
+        apart += F.bit_count(F.get("fine_1", i).bitwiseXOR(F.get("fine_2", i)))
     pairs = out.join(every, "bucket").filter(
         (F.col("root_1") != F.col("root_2")) & ((F.col("root_2") == F.col("main_2")) | (F.col("node_1") > F.col("node_2")))
-        & _may_match(similarity))
+        & reachable & (apart <= MOST_APART)
+        # a pair comes from the least of the buckets it shares
+        & (F.array_min(F.array_intersect("bands_1", "bands_2")) == F.col("bucket")))
     return pairs.select(F.greatest("node_1", "node_2").alias("a"), F.least("node_1", "node_2").alias("b")).distinct()
 
 
