@@ -28,6 +28,17 @@ def table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Rows that a Python task receives at once. Texts average a few kilobytes; the default of
+# 10,000 rows would hold tens of megabytes twice in every task.
+BATCH_ROWS = 512
+
+
+def map_arrow(df: DataFrame, fn, schema) -> DataFrame:
+    """``mapInArrow`` with small batches (a session setting, read when the query is planned)."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df.mapInArrow(fn, schema)
+
+
 def fold(doc_id: Column) -> Column:
     """crc32 of the id's text, modulo 4 (null for a null id)."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 4

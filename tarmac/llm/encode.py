@@ -19,7 +19,7 @@ import numpy as np
 
 from tarmac.llm.blocks import blocks, span_hashes
 
-KEPT = 1 << 21
+KEPT = 1 << 20
 
 # Bytes that may stand before or after a cut: ASCII graphic characters, and the parts
 # of two-byte characters from U+00C0 on, none of which is white space.

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.blocks import blocks, text_bytes
-from tarmac.llm.common import draw, learnable
+from tarmac.llm.common import draw, learnable, map_arrow
 
 BUCKETS = 1 << 15
 SAMPLE_DOCS = 3200
@@ -134,7 +134,7 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, buckets: int = BUCKET
     if buckets > 1 << 16:
         raise ValueError("buckets must fit 16 bits")
     sample = training_sample(docs, sample_docs, seed)
-    rows = sample.select("lang", "order", "text").mapInArrow(
+    rows = sample.select("lang", "order", "text").transform(map_arrow, 
         lambda it: _features(it, buckets), "lang string, order long, ids binary, counts binary").collect()
     rows = sorted(rows, key=lambda r: (r["order"], r["lang"]))
     languages = sorted({r["lang"] for r in rows})
@@ -236,7 +236,7 @@ def predict(docs: DataFrame, model: LanguageModel, *keep: Column) -> DataFrame:
 
     narrow = docs.select("doc_id", *keep, F.col("text").cast("string").alias("text"))
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in narrow.schema if f.name != "text")
-    return narrow.mapInArrow(score, f"{fields}, lang_pred string, score double, accepted boolean")
+    return narrow.transform(map_arrow, score, f"{fields}, lang_pred string, score double, accepted boolean")
 
 
 def keep_accepted(docs: DataFrame, model: LanguageModel) -> DataFrame:
@@ -246,4 +246,4 @@ def keep_accepted(docs: DataFrame, model: LanguageModel) -> DataFrame:
             accepted = classify(batch.column("text"), model)[2]
             yield batch.filter(pa.array(accepted, pa.bool_()))
 
-    return docs.mapInArrow(passed, docs.schema)
+    return docs.transform(map_arrow, passed, docs.schema)

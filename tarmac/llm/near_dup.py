@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.llm.blocks import blocks, text_bytes, word_hashes
-from tarmac.llm.common import WORD, table
+from tarmac.llm.common import WORD, map_arrow, table
 from tarmac.llm.components import component_roots
 
 WORDS = 5
@@ -172,7 +172,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
         used = np.flatnonzero(seen)
         yield pa.record_batch([pa.array(used.astype(np.int32)), pa.array(seen[used])], names=["bucket", "n"])
 
-    rows = (docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "bucket int, n long")
+    rows = (docs.select(F.col("text").cast("string").alias("text")).transform(map_arrow, count, "bucket int, n long")
             .groupBy("bucket").agg(F.sum("n").alias("n")).toPandas())
     df = np.zeros(IDF_BUCKETS, np.int64)
     df[rows["bucket"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
@@ -236,7 +236,7 @@ def sign(docs: DataFrame, levels: np.ndarray) -> DataFrame:
                                   names=[f.split()[0] for f in SIGNED.split(", ")])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-                       _digest().alias("digest")).mapInArrow(signed, SIGNED)
+                       _digest().alias("digest")).transform(map_arrow, signed, SIGNED)
 
 
 def _digest():
@@ -263,7 +263,7 @@ def _payloads(docs: DataFrame, wanted: DataFrame, levels: np.ndarray) -> DataFra
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("digest", _digest())
     # one row per distinct text: repeated (doc_id, text) rows fall together
     found = texts.join(wanted, (texts["digest"] == wanted["key"]) & texts["doc_id"].eqNullSafe(wanted["named"]))
-    return found.select("node", "text").mapInArrow(packed, "node long, total double, payload binary").dropDuplicates(["node"])
+    return found.select("node", "text").transform(map_arrow, packed, "node long, total double, payload binary").dropDuplicates(["node"])
 
 
 def _verified(pairs: DataFrame, payloads: DataFrame, similarity: float) -> DataFrame:
@@ -285,7 +285,7 @@ def _verified(pairs: DataFrame, payloads: DataFrame, similarity: float) -> DataF
 
     one = payloads.select(F.col("node").alias("a"), F.col("total").alias("ta"), F.col("payload").alias("pa"))
     two = payloads.select(F.col("node").alias("b"), F.col("total").alias("tb"), F.col("payload").alias("pb"))
-    return pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "ta", "tb", "pa", "pb").mapInArrow(
+    return pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "ta", "tb", "pa", "pb").transform(map_arrow, 
         check, "a long, b long, similarity double")
 
 
@@ -353,12 +353,14 @@ def _shared_weights(payloads: DataFrame) -> DataFrame:
     """(node, common): weight of a node's elements that some other of the nodes holds."""
     def listed(batches):
         for batch in batches:
-            for node, raw in zip(batch.column("node").to_pylist(), batch.column("payload")):
-                x = np.frombuffer(raw.as_py(), np.int64)
-                yield pa.record_batch([pa.array(x), pa.array(np.full(len(x), node, np.int64))], names=["element", "node"])
+            nodes, raw = batch.column("node").to_numpy(), batch.column("payload").to_pylist()
+            for lo in range(0, len(raw), 64):
+                parts = [np.frombuffer(x, np.int64) for x in raw[lo:lo + 64]]
+                owner = np.repeat(nodes[lo:lo + 64], [len(x) for x in parts])
+                yield pa.record_batch([pa.array(np.concatenate(parts)), pa.array(owner)], names=["element", "node"])
 
     level = F.col("element").bitwiseAND(F.lit(LEVELS - 1).cast("long"))
-    private = payloads.select("node", "payload").mapInArrow(listed, "element long, node long").groupBy("element").agg(
+    private = payloads.select("node", "payload").transform(map_arrow, listed, "element long, node long").groupBy("element").agg(
         F.count("*").alias("n"), F.min("node").alias("node")).filter("n = 1").groupBy("node").agg(
         F.sum(1.0 + IDF_SPAN / LEVELS * level).alias("private"))
     return payloads.select("node", "total").join(private, "node", "left").select(
@@ -378,7 +380,7 @@ def _fine_sketches(payloads: DataFrame) -> DataFrame:
                 bits = np.packbits((_mixed(got) & np.uint64(1)).astype(np.uint8), axis=1, bitorder="little").view(np.int64)
                 yield pa.record_batch([nodes.slice(lo, len(parts)), pa.array(list(bits), pa.list_(pa.int64()))], names=["node", "fine"])
 
-    return payloads.select("node", "payload").mapInArrow(sketched, "node long, fine array<long>")
+    return payloads.select("node", "payload").transform(map_arrow, sketched, "node long, fine array<long>")
 
 
 def _left_over(spark: SparkSession, members: DataFrame, roots: DataFrame, sketch: DataFrame, payloads: DataFrame,

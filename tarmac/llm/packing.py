@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tarmac.llm.blocks import text_bytes
-from tarmac.llm.common import table
+from tarmac.llm.common import map_arrow, table
 from tarmac.llm.encode import shared_encoder
 
 WINDOW = 1024
@@ -70,7 +70,7 @@ def cut_documents(docs: DataFrame, tokenizer: str, ranks: str, pattern: str,
                                   names=["piece", "doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "ids"])
 
     narrow = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(cut, PIECES.format(id=narrow.schema["doc_id"].dataType.simpleString()))
+    return narrow.transform(map_arrow, cut, PIECES.format(id=narrow.schema["doc_id"].dataType.simpleString()))
 
 
 def fill(counts: dict[int, int], capacity: int) -> dict[int, int]:

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.blocks import blocks, runs, span_hashes, text_bytes
-from tarmac.llm.common import draw, learnable
+from tarmac.llm.common import draw, learnable, map_arrow
 
 BUCKETS = 1 << 18
 SAMPLE_DOCS = 4000
@@ -97,7 +97,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, bu
           seed: int = 5) -> QualityModel:
     """Fit on the bounded sample; its hashed counts (not its texts) reach the driver."""
     rows = (training_sample(docs, labels, sample_docs, seed).select("quality", "order", "text")
-            .mapInArrow(lambda it: _features(it, buckets), "quality int, order long, ids binary, shares binary").collect())
+            .transform(map_arrow, lambda it: _features(it, buckets), "quality int, order long, ids binary, shares binary").collect())
     rows = sorted(rows, key=lambda r: (r["order"], r["quality"]))
     data = [(1.0 if r["quality"] == 1 else 0.0,
              np.append(np.frombuffer(bytes(r["ids"]), np.uint32).astype(np.int64), buckets),
@@ -149,7 +149,7 @@ def predict(docs: DataFrame, model: QualityModel, *keep: Column) -> DataFrame:
 
     narrow = docs.select("doc_id", *keep, F.col("text").cast("string").alias("text"))
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in narrow.schema if f.name != "text")
-    return narrow.mapInArrow(score, f"{fields}, score double, predicted int")
+    return narrow.transform(map_arrow, score, f"{fields}, score double, predicted int")
 
 
 def keep_good(docs: DataFrame, model: QualityModel) -> DataFrame:
@@ -158,4 +158,4 @@ def keep_good(docs: DataFrame, model: QualityModel) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(scores(batch.column("text"), model) >= model.threshold))
 
-    return docs.mapInArrow(passed, docs.schema)
+    return docs.transform(map_arrow, passed, docs.schema)

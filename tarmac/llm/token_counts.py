@@ -31,12 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.blocks import NON_WHITE, blocks, span_hashes, text_bytes
+from tarmac.llm.common import map_arrow
 
 ZIPF_SHIFT = 2.7
 LONG = 48
 LONGEST_PIECE = 32
 ROWS_AT_ONCE = 1 << 13
-KEPT = 1 << 21
+KEPT = 1 << 20
 
 _RNG = np.random.RandomState(77)
 _STEP = np.uint64(int(_RNG.randint(1, 1 << 62)) * 2 + 1)
@@ -214,4 +215,4 @@ def token_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
 
     narrow = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
-    return narrow.mapInArrow(count, f"doc_id {kind}, n_bytes long, n_pretokens long, n_tokens long")
+    return narrow.transform(map_arrow, count, f"doc_id {kind}, n_bytes long, n_pretokens long, n_tokens long")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import table
+from tarmac.llm.common import map_arrow, table
 
 K = 5
 ROWS_PER_BLOCK = 1 << 15
@@ -201,7 +201,7 @@ def build_index(vectors: DataFrame, is_query: Column, rows_per_block: int = ROWS
         if kept:
             yield block()
 
-    return narrow.repartition(tasks).mapInArrow(build, INDEX)
+    return narrow.repartition(tasks).transform(map_arrow, build, INDEX)
 
 
 def _search_pair(index: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import draw
+from tarmac.llm.common import draw, map_arrow
 from tarmac.session import scratch_root
 
 DICTIONARY_BYTES = 64 * 1024
@@ -140,7 +140,7 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, level: int =
 
     marked = mark_revisits(pages, min_bytes).select("page_id", "url", "payload", "sha1", "refers_to")
     # the line writer copies the bytes as they are
-    marked.mapInArrow(compressed, "value binary").select(F.col("value").cast("string")).write.text(path, lineSep="\n")
+    marked.transform(map_arrow, compressed, "value binary").select(F.col("value").cast("string")).write.text(path, lineSep="\n")
 
 
 def frames_of(raw: bytes):
@@ -174,7 +174,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                                       names=[f.split()[0] for f in RECORDS.split(", ")])
 
     files = spark.read.format("binaryFile").load(path)
-    return files.select("content").mapInArrow(rows, RECORDS)
+    return files.select("content").transform(map_arrow, rows, RECORDS)
 
 
 def archive_round_trip(spark: SparkSession, pages: DataFrame, min_bytes: int = 0) -> DataFrame:
