@@ -39,6 +39,7 @@ BUCKETS = 1 << 15
 SAMPLE_DOCS = 3200
 DIM = 16
 EPOCHS = 4
+LEAST_STEPS = 6000
 RATE = 0.5
 REJECT_SHARE = 0.001
 SCALE = 1 << 16
@@ -153,6 +154,7 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, buckets: int = BUCKET
     emb = rng.uniform(-1.0, 1.0, (buckets, dim)) / dim
     out = np.zeros((dim, len(languages)))
     bias = np.zeros(len(languages))
+    epochs = max(epochs, -(-LEAST_STEPS // max(1, len(fit))))  # a small sample is gone over more often
     steps, done = max(1, epochs * len(fit)), 0
     for _ in range(epochs):
         for i in rng.permutation(len(fit)):
