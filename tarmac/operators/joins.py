@@ -1,28 +1,11 @@
-"""Dimension joins (JN2, JN3) and the size-checked broadcast they rely on."""
+"""Dimension joins (JN2, JN3). No hints: the planner broadcasts a side only below its byte
+threshold, and AQE only when the size at run time allows it."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension we hand to every executor as a broadcast copy. A coordinate
-# or state table has at most a few thousand rows; anything past this bound is
-# joined by the planner's own choice (AQE broadcasts it only if the runtime
-# size is small, else shuffles both sides).
-DIMENSION_ROW_BOUND = 100_000
-
-
-def bounded_broadcast(dim: DataFrame, max_rows: int = DIMENSION_ROW_BOUND) -> DataFrame:
-    """Mark ``dim`` for broadcast only after checking it holds at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (a LIMIT job), so it is cheap
-    for a real dimension and stops early for a large table.
-    """
-    if dim.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(dim)
-    return dim
-
-
 def attach_coords(df: DataFrame, coords: DataFrame, code_col: str = "origin") -> DataFrame:
     """JN2: inner join on an airport code; adds ``airport_name, lat, lon``.
 
@@ -31,7 +14,7 @@ def attach_coords(df: DataFrame, coords: DataFrame, code_col: str = "origin") ->
     """
     dim = coords.select(
         F.col("code").alias(code_col), F.col("name").alias("airport_name"), "lat", "lon")
-    return df.join(bounded_broadcast(dim), code_col, "inner")
+    return df.join(dim, code_col, "inner")
 
 
 def attach_state_codes(df: DataFrame, states: DataFrame, state_col: str = "origin_state_nm",
@@ -39,4 +22,4 @@ def attach_state_codes(df: DataFrame, states: DataFrame, state_col: str = "origi
     """JN3: state name -> short code. Unmatched names are dropped (or kept as NULL)."""
     dim = states.select(F.col("state").alias(state_col), "code")
     how = "left" if keep_unmatched else "inner"
-    return df.join(bounded_broadcast(dim), state_col, how)
+    return df.join(dim, state_col, how)

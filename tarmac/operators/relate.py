@@ -21,25 +21,22 @@ def correlation_long(df: DataFrame, cols: Sequence[str] | None = None,
     """AD5: Pearson correlation of every column pair, long (col_a, col_b, corr).
 
     Rows with a NULL in any listed column are dropped first (listwise), as the
-    reference does. Two aggregate passes, both map-side partial and
-    code-generated: the column means (k numbers, read back to the driver),
-    then the sums of centred cross products for every pair (k(k+1)/2 sums).
-    Centring keeps the sums well conditioned at any row count; values are
-    rounded to 10 places before the reported ``digits`` (see
-    ``functions.numeric.stable_round``). The full square
+    reference does. One lazy aggregate pass, map-side partial: the covariance of every
+    pair by Spark's running-mean update (well conditioned at any row count), and each
+    column's least and greatest value. Values are rounded to 10 places before the
+    reported ``digits`` (see ``functions.numeric.stable_round``). The full square
     (both orders and the diagonal) is emitted so the table pivots to a matrix;
     a constant column gives NULL.
     """
     cols = existing_columns(df, cols or CORR_COLUMNS)
     q = [f"`{c}`" for c in cols]
     data = df.selectExpr(*[f"CAST({c} AS DOUBLE) AS {c}" for c in q]).dropna()
-    means = data.selectExpr(*[f"avg({c}) AS {c}" for c in q]).first()
     # expressions are built as SQL text: one JVM call per projection
-    cen = [f"({c} - CAST({float(means[i] or 0.0)!r} AS DOUBLE))" for i, c in enumerate(q)]
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    sums = data.selectExpr(*[f"sum({cen[i]} * {cen[j]}) AS s{i}_{j}" for i, j in pairs])
+    sums = data.selectExpr(*[f"covar_pop({q[i]}, {q[j]}) AS s{i}_{j}" for i, j in pairs],
+                           *[f"min({c}) < max({c}) AS v{i}" for i, c in enumerate(q)])
     values = sums.selectExpr(*[
-        f"round(round(CASE WHEN sqrt(s{i}_{i} * s{j}_{j}) > 0 "
+        f"round(round(CASE WHEN v{i} AND v{j} AND s{i}_{i} * s{j}_{j} > 0 "
         f"THEN s{i}_{j} / sqrt(s{i}_{i} * s{j}_{j}) END, {GUARD_DIGITS}), {digits}) AS c{i}_{j}"
         for i, j in pairs])
     structs = ", ".join(
@@ -57,22 +54,28 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None,
                 .withColumnRenamed("col_a", "column_name"))
 
 
+# What identifies a scheduled flight; the numeric number is written as a whole number.
+IDENTITY = ["CAST(fl_date AS STRING)", "op_unique_carrier", "CAST(CAST(op_carrier_fl_num AS BIGINT) AS STRING)",
+            "origin", "dest", "CAST(crs_dep_time AS STRING)"]
+
+
 def scatter_sample(df: DataFrame, n: int = 5000, cols: Sequence[str] = ("dep_delay", "arr_delay"),
-                   seed: int = 42, method: str = "hash") -> DataFrame:
+                   seed: int = 42, method: str = "hash", identity: Sequence[str] = tuple(IDENTITY)) -> DataFrame:
     """AD6: up to ``n`` rows of two measures for a scatter plot.
 
-    ``method="hash"`` keeps the ``n`` rows with the smallest xxhash64 of the
-    values and seed: repeatable on any partitioning, a top-k per task then a
-    final merge of at most n rows per task. ``method="bernoulli"`` is the
-    reference's ``sample(fraction n/count, seed).limit(n)``.
+    ``method="hash"`` keeps the ``n`` rows with the smallest MD5 of the seed and the
+    row's ``identity`` (SQL expressions), ties by the values: flights are drawn one by
+    one whatever their values, and alike on any partitioning; a top-k per task, then a
+    final merge of at most n rows per task. ``method="bernoulli"`` is the reference's
+    ``sample(fraction n/count, seed).limit(n)``.
     """
     data = df.select(*cols)
     if method == "bernoulli":
         total = data.count()
         frac = min(1.0, n / max(total, 1))
         return data.sample(False, frac, seed).limit(n)
-    key = F.xxhash64(F.lit(seed), *[F.col(c) for c in cols])
-    return data.orderBy(key, *cols).limit(n)
+    key = F.expr(f"md5(concat_ws('|', '{seed}', {', '.join(identity)}))")
+    return df.select(key.alias("_draw"), *cols).orderBy("_draw", *cols).limit(n).select(*cols)
 
 
 def propagation_by_dep_band(df: DataFrame) -> DataFrame:

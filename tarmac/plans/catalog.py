@@ -489,7 +489,10 @@ def q_segment_profiles(spark, sf_dir):
 
 # --- sampling (AD6) ----------------------------------------------------------
 
-@query("delay_scatter_sample")
+@query("delay_scatter_sample", O.with_featured(
+    "SELECT dep_delay, arr_delay FROM flights_featured ORDER BY md5(concat_ws('|', '42', "
+    "strftime(fl_date, '%Y-%m-%d'), op_unique_carrier, CAST(CAST(op_carrier_fl_num AS BIGINT) AS VARCHAR), "
+    "origin, dest, CAST(crs_dep_time AS VARCHAR))), dep_delay, arr_delay LIMIT 5000"))
 def q_delay_scatter_sample(spark, sf_dir):
     return R.scatter_sample(featured(spark, sf_dir), n=5000)
 

@@ -54,19 +54,16 @@ def scratch_root(spark: SparkSession) -> str:
     if conf:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir() or conf
-    if not sc.master.startswith("local"):
+    if not (sc.master == "local" or sc.master.startswith("local[")):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="tarmac-ckpt-"))
     return sc.getCheckpointDir()
 
 
 # Target shuffle partition size for the big one-off writes (de-duplication of
-# the whole flight table). Parquet expands several-fold into shuffle rows. The
-# cap keeps the task count schedulable by one driver; past it partitions grow and
-# the aggregate spills (sort-based fallback) instead of failing.
+# the whole flight table). Parquet expands several-fold into shuffle rows.
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
 PARQUET_EXPANSION = 3
-MAX_SHUFFLE_PARTITIONS = 200_000
 
 
 def path_bytes(spark: SparkSession, path: str) -> int:
@@ -85,7 +82,7 @@ def shuffle_partitions_for(spark: SparkSession, input_bytes: int,
     coalesces partitions that come out small. Restored afterwards."""
     key = "spark.sql.shuffle.partitions"
     current = int(spark.conf.get(key))
-    wanted = min(MAX_SHUFFLE_PARTITIONS, -(-input_bytes * PARQUET_EXPANSION // target_bytes))
+    wanted = -(-input_bytes * PARQUET_EXPANSION // target_bytes)
     if wanted > current:
         spark.conf.set(key, str(wanted))
     try:

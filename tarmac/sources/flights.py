@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import DataType, DoubleType, IntegerType, StringType, StructField, StructType
 
 from tarmac.schema import FLIGHT_SCHEMA
 
@@ -16,12 +16,21 @@ def _read_schema(schema: StructType) -> StructType:
                                    else f.dataType, True) for f in schema.fields])
 
 
+def typed(name: str, kind: DataType) -> Column:
+    """A read column in its schema type; an integer cell that is no whole number, is not
+    finite or does not fit is NULL, and the rest of its row is kept."""
+    c = F.col(name)
+    if isinstance(kind, IntegerType):
+        c = F.when(c.try_cast("double") % 1 == 0, c)
+    return c.try_cast(kind).alias(name)
+
+
 def load_flights(spark: SparkSession, path: str, fmt: str = "csv",
                  schema: StructType = FLIGHT_SCHEMA, mode: str = "PERMISSIVE",
                  header: bool = True, corrupt_col: str | None = None) -> DataFrame:
     """IO1: read flight files with the fixed schema (no inference pass).
 
-    CSV: header row, numeric integer columns read as double and cast back.
+    CSV: header row, numeric integer columns read as double and cast back (``typed``).
     ``mode`` is Spark's CSV parse mode (PERMISSIVE / DROPMALFORMED / FAILFAST);
     with ``corrupt_col`` (PERMISSIVE) a malformed line's text is kept in that
     extra string column and its fields are NULL.
@@ -36,7 +45,7 @@ def load_flights(spark: SparkSession, path: str, fmt: str = "csv",
             read_schema = read_schema.add(StructField(corrupt_col, StringType(), True))
             reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
         df = reader.schema(read_schema).csv(path)
-    cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
+    cols = [typed(f.name, f.dataType) for f in schema.fields]
     if corrupt_col and fmt != "parquet":
         cols.append(F.col(corrupt_col))
     return df.select(*cols)

@@ -18,15 +18,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.operators.joins import bounded_broadcast
 from tarmac.schema import FLIGHT_COLUMNS
 
 STAR_TABLES = ("lineitem", "orders", "customer", "supplier", "nation", "region")
 
-# Largest customer / supplier projection (key + nation key, ~16 bytes a row)
-# shipped to every executor as a broadcast copy; beyond it the join shuffles.
-SIDE_ROW_BOUND = 5_000_000
-
 
 def read_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in STAR_TABLES}
@@ -40,8 +35,8 @@ def _hhmm(minutes: Column) -> Column:
 
 def flights_from_star(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
                       supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
-    places = bounded_broadcast(
-        nation.join(bounded_broadcast(region.select("r_regionkey", "r_name")),
+    places = (
+        nation.join(region.select("r_regionkey", "r_name"),
                     nation.n_regionkey == region.r_regionkey)
         .select("n_nationkey", "n_name", "r_name"))
     o_place = places.select(F.col("n_nationkey").alias("cn"), F.col("n_name").alias("o_nation"),
@@ -50,11 +45,11 @@ def flights_from_star(lineitem: DataFrame, orders: DataFrame, customer: DataFram
                             F.col("r_name").alias("d_region"))
 
     # orders x customer first: lineitem, the largest table, is then shuffled once,
-    # on the order key. Customer and supplier are broadcast only when a row-count
-    # check proves them small; otherwise they are shuffled like any other side.
+    # on the order key. Whether customer and supplier are broadcast is the planner's
+    # choice, by its byte threshold and the sizes AQE sees.
     cu = customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("cn"))
     oc = (orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-          .join(bounded_broadcast(cu, SIDE_ROW_BOUND), "o_custkey")
+          .join(cu, "o_custkey")
           .select("l_orderkey", "cn"))
     su = supplier.select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("sn"))
     li = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate")
@@ -64,7 +59,7 @@ def flights_from_star(lineitem: DataFrame, orders: DataFrame, customer: DataFram
     # partition. The hint keeps the planner from broadcasting either side on a
     # small-file size estimate; AQE still splits a hot lineitem key.
     base = (li.join(oc.hint("shuffle_hash"), "l_orderkey")
-            .join(bounded_broadcast(su, SIDE_ROW_BOUND), "l_suppkey")
+            .join(su, "l_suppkey")
             .join(o_place, "cn").join(d_place, "sn"))
 
     h = (F.col("l_orderkey") * 31 + F.col("l_linenumber") * 17

@@ -4,20 +4,17 @@ The analysis itself is batch; nothing here adds semantics. New flight files
 dropped into a folder can be read as a stream with the same fixed schema
 (IO1), cleaned with the stateless steps (CL1, CL3-CL5) and summarised by the
 AG0 measures, kept as running per-key state by Structured Streaming.
-Exact de-duplication (CL2) over an unbounded stream needs a watermark bound;
-``dedup_within`` uses ``dropDuplicatesWithinWatermark`` on the flight date.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tarmac.functions.derive import add_features
 from tarmac.operators import quality as Q
 from tarmac.operators.summarize import summary_metrics
 from tarmac.schema import FLIGHT_SCHEMA
-from tarmac.sources.flights import _read_schema
+from tarmac.sources.flights import _read_schema, typed
 
 
 def read_flight_stream(spark: SparkSession, path: str, fmt: str = "csv",
@@ -30,17 +27,13 @@ def read_flight_stream(spark: SparkSession, path: str, fmt: str = "csv",
         df = reader.option("header", True).schema(_read_schema(FLIGHT_SCHEMA)).csv(path)
     else:
         df = reader.schema(FLIGHT_SCHEMA).parquet(path)
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FLIGHT_SCHEMA.fields])
+    return df.select(*[typed(f.name, f.dataType) for f in FLIGHT_SCHEMA.fields])
 
 
-def clean_stream(df: DataFrame, dedup_within: str | None = None) -> DataFrame:
-    """CL1, CL3-CL5 on a stream; CL2 only with a watermark delay (e.g. "2 days")."""
+def clean_stream(df: DataFrame) -> DataFrame:
+    """CL1, CL3-CL5 on a stream. De-duplicate (CL2) the stored rows in batch: a watermark
+    would drop rows that arrive late."""
     out = Q.parse_dates(df)
-    if dedup_within:
-        out = (out.withColumn("_event_ts", F.col("fl_date").cast("timestamp"))
-                  .withWatermark("_event_ts", dedup_within)
-                  .dropDuplicatesWithinWatermark([c for c in df.columns])
-                  .drop("_event_ts"))
     return (out.transform(Q.drop_cancelled_and_diverted)
                .transform(Q.drop_missing_delays)
                .transform(Q.remove_delay_outliers))

@@ -62,21 +62,13 @@ def test_stream_summary_equals_batch(spark):
     assert [tuple(r) for r in got] == [tuple(r) for r in batch]
 
 
-def test_stream_dedup_within_watermark(spark):
-    raw = flight_tables(spark, SF001).raw
-    src = tempfile.mkdtemp(prefix="tarmac-stream-dup-")
-    save_table(raw, src)  # raw still holds its exact duplicate rows
-    stream = clean_stream(read_flight_stream(spark, src), dedup_within="3650 days")
-    q = (stream.writeStream.outputMode("append").format("memory")
-         .queryName("tarmac_stream_dedup")
-         .option("checkpointLocation", tempfile.mkdtemp(prefix="tarmac-stream-ck-"))
-         .start())
-    try:
-        q.processAllAvailable()
-        n = spark.sql("SELECT count(*) FROM tarmac_stream_dedup").first()[0]
-    finally:
-        q.stop()
-    assert n == clean_flights(raw).count()
+def test_bad_integer_cells_become_null(spark):
+    d = tempfile.mkdtemp(prefix="tarmac-cells-")
+    line = lambda day: ",".join(["2024", "1", day, "5", "2024-01-05", "AA"] + [""] * 29)
+    _write_csv(f"{d}/a.csv", [line("5"), line("NaN"), line("99999999999"), line("12.7")])
+    rows = load_flights(spark, d).collect()
+    assert sorted(str(r.day_of_month) for r in rows) == ["5", "None", "None", "None"]
+    assert all(r.op_unique_carrier == "AA" for r in rows)
 
 
 def test_corrupt_lines_kept_aside(spark):
