@@ -31,11 +31,15 @@ def table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 # Rows that a Python task receives at once. Texts average a few kilobytes; the default of
 # 10,000 rows would hold tens of megabytes twice in every task.
 BATCH_ROWS = 512
+# Bytes after which a batch ends before it has that many rows (long texts, whole files).
+BATCH_BYTES = 16 << 20
 
 
 def map_arrow(df: DataFrame, fn, schema) -> DataFrame:
-    """``mapInArrow`` with small batches (a session setting, read when the query is planned)."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """``mapInArrow`` with small batches (session settings, read when the query is planned)."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df.mapInArrow(fn, schema)
 
 

@@ -12,11 +12,13 @@ its own bytes alone.
 Files are written by Spark's line writer, which commits a file only when its task ends
 well and works on any store. The writer puts one newline after each row; every row
 therefore ends in the header of a one-byte skippable frame whose content is that newline,
-and the whole file is a valid sequence of Zstandard frames.
+and the whole file is a valid sequence of Zstandard frames. A file takes at most
+``FILE_ROWS`` rows and every file begins with the dictionary, so a reader's memory is
+bounded by that many records and not by the size of a task.
 
-Reading: whole files by Spark's binary reader; records are parsed, payloads
-decompressed, and their length and digest computed anew and held against the record's
-header. A revisit's length and digest come from its own headers.
+Reading: files by Spark's binary reader, a few megabytes of files at once; records are
+decompressed one at a time, and their payload's length and digest computed anew and held
+against the record's header. A revisit's length and digest come from its own headers.
 
 Defined cases: a null payload is empty. Pages that share their smallest page_id and
 payload are all responses; a null page_id counts after all others. An empty table writes
@@ -42,6 +44,8 @@ DICTIONARY_BYTES = 64 * 1024
 SAMPLE_RECORDS = 400
 SAMPLE_BYTES = 16 * 1024
 LEVEL = 3
+FILE_ROWS = 8192  # rows of an archive file, the dictionary's included
+READ_BYTES = 32 * 1024  # compressed bytes handed to the decompressor at once
 # Fixed values of the archive format: frame magic numbers, and the trailing frame's header.
 DICTIONARY_MAGIC = 0x184D2A5D
 SKIPPABLE_MAGIC = 0x184D2A50
@@ -119,8 +123,9 @@ def _dictionary(raw: bytes):
     return zstandard.ZstdCompressionDict(raw) if raw else None
 
 
-def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, level: int = LEVEL) -> None:
-    """Write the pages as archive files below ``path``, one file per task."""
+def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, level: int = LEVEL,
+                   file_rows: int = FILE_ROWS) -> None:
+    """Write the pages as archive files below ``path``, ``file_rows`` rows a file."""
     dictionary = build_dictionary(pages)
 
     def compressed(batches):
@@ -128,19 +133,22 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, level: int =
 
         frames = zstandard.ZstdCompressor(level=level, dict_data=_dictionary(dictionary), write_checksum=True)
         first = struct.pack("<II", DICTIONARY_MAGIC, len(dictionary)) + dictionary + NEWLINE_FRAME
+        row = 0
         for batch in batches:
             cols = [batch.column(n) for n in ("page_id", "url", "payload", "sha1", "refers_to")]
             out = []
-            for page_id, url, payload, sha1, refers_to in zip(*(c.to_pylist() for c in cols)):
-                out.append(frames.compress(record(page_id, url, payload, sha1, refers_to)) + NEWLINE_FRAME)
-            if out and first:
-                out.insert(0, first)
-                first = b""
+            for fields in zip(*cols):
+                if row % file_rows == 0:  # the writer opens a file here
+                    out.append(first)
+                    row += 1
+                out.append(frames.compress(record(*(x.as_py() for x in fields))) + NEWLINE_FRAME)
+                row += 1
             yield pa.record_batch([pa.array(out, pa.binary())], names=["value"])
 
     marked = mark_revisits(pages, min_bytes).select("page_id", "url", "payload", "sha1", "refers_to")
     # the line writer copies the bytes as they are
-    marked.transform(map_arrow, compressed, "value binary").select(F.col("value").cast("string")).write.text(path, lineSep="\n")
+    lines = marked.transform(map_arrow, compressed, "value binary").select(F.col("value").cast("string"))
+    lines.write.option("maxRecordsPerFile", file_rows).text(path, lineSep="\n")
 
 
 def frames_of(raw: bytes):
@@ -156,10 +164,15 @@ def frames_of(raw: bytes):
             at += 8 + size
             continue
         stream = (reader or zstandard.ZstdDecompressor()).decompressobj()
-        held = memoryview(raw)[at:]
-        out = stream.decompress(held)
-        at += len(held) - len(stream.unused_data)
-        yield out
+        out = []
+        while not stream.eof:
+            held = raw[at:at + READ_BYTES]
+            if not held:
+                raise ValueError("an archive file ends inside a record")
+            out.append(stream.decompress(held))
+            at += len(held)
+        at -= len(stream.unused_data)
+        yield b"".join(out)
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:

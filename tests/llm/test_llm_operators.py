@@ -140,6 +140,18 @@ def test_warc_round_trip(spark):
     assert warc.archive_round_trip(spark, pages.limit(0)).count() == 0
 
 
+def test_every_archive_file_holds_its_dictionary(spark, tmp_path):
+    pages = read(spark, SF001, "pages").coalesce(1)
+    path = str(tmp_path / "archives")
+    warc.write_archives(pages, path, file_rows=7)
+    files = [f.read_bytes() for f in (tmp_path / "archives").glob("part-*")]
+    assert all(raw.startswith(warc.struct.pack("<I", warc.DICTIONARY_MAGIC)) for raw in files)
+    counts = [sum(1 for _ in warc.frames_of(raw)) for raw in files]
+    assert max(counts) == 6 and sum(counts) == pages.count()
+    got = {(r.page_id, r.payload_bytes) for r in warc.read_archives(spark, path).collect()}
+    assert got == {(r.page_id, len((r.html or "").encode())) for r in pages.collect()}
+
+
 @pytest.mark.parametrize("rows_per_block", [40, 1 << 15])
 def test_top_k_against_brute_force(spark, rows_per_block):
     table = read(spark, SF001, "embeddings").select("vec_id", "embedding")
