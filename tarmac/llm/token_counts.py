@@ -35,7 +35,6 @@ from tarmac.llm.common import map_arrow
 
 ZIPF_SHIFT = 2.7
 LONG = 48
-LONGEST_PIECE = 32
 ROWS_AT_ONCE = 1 << 13
 KEPT = 1 << 20
 
@@ -47,11 +46,11 @@ _BYTE = _RNG.randint(0, 1 << 62, 256).astype(np.uint64) * np.uint64(4) + np.uint
 class UnigramPieces:
     """Pieces and log probabilities, with per-length hash tables for whole levels."""
 
-    def __init__(self, path: str, longest: int = LONGEST_PIECE):
+    def __init__(self, path: str):
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(p): int(r) for p, r in map(bytes.split, lines)}
         total = np.log(sum(1.0 / (r + ZIPF_SHIFT) for r in ranks.values()))
-        self.logp = {p: float(-np.log(r + ZIPF_SHIFT) - total) for p, r in ranks.items() if len(p) <= longest}
+        self.logp = {p: float(-np.log(r + ZIPF_SHIFT) - total) for p, r in ranks.items()}
         self.longest = max(map(len, self.logp))
         self.levels = {}
         with np.errstate(over="ignore"):
@@ -71,7 +70,9 @@ class UnigramPieces:
         best, count = [0.0], [0]
         for end in range(1, len(raw) + 1):
             score, tokens = -np.inf, 0
-            for n in range(1, min(end, self.longest) + 1):
+            for n in self.levels:
+                if n > end:
+                    break
                 p = self.logp.get(raw[end - n:end])
                 if p is not None:
                     s, t = best[end - n] + p, count[end - n] + 1
@@ -115,10 +116,9 @@ class UnigramPieces:
                 fresh[1:] = h[alive[1:]] != h[alive[:-1]]
                 node = alive[fresh]  # the first word below each trie node
                 best, count = np.full(len(node), -np.inf), np.zeros(len(node), np.int32)
-                for n in range(1, min(d, self.longest) + 1):
-                    if n not in self.levels:
-                        continue
-                    known, logp = self.levels[n]
+                for n, (known, logp) in self.levels.items():
+                    if n > d:
+                        break
                     suffix = h[node] - hashes[d - n][node] * self.powers[n - 1]
                     at = np.minimum(np.searchsorted(known, suffix), len(known) - 1)
                     hit = np.flatnonzero(known[at] == suffix)

@@ -87,6 +87,29 @@ def test_token_counts_against_plain_recurrence(docs, rows):
     assert got == collections.Counter((r.doc_id, *count(r.text)) for r in rows)
 
 
+def test_token_counts_use_every_piece_of_the_vocabulary(spark):
+    with open(PATHS[1], "rb") as lines:
+        ranks = {base64.b64decode(p): int(r) for p, r in map(bytes.split, lines)}
+    longest = max(map(len, ranks))
+    total = np.log(sum(1 / (r + token_counts.ZIPF_SHIFT) for r in ranks.values()))
+    logp = {p: -np.log(r + token_counts.ZIPF_SHIFT) - total for p, r in ranks.items()}
+
+    def count(word):
+        best = [(0.0, 0)]
+        for end in range(1, len(word) + 1):
+            found = [(best[start][0] + logp[word[start:end]], -best[start][1] - 1)
+                     for start in range(max(0, end - longest), end) if word[start:end] in logp]
+            score, tokens = max(found)
+            best.append((score, -tokens))
+        return best[-1][1]
+
+    words = [c * n for c in "-._=*\u2014" for n in (16, 32, 33, 47, 48, 64, 65, 128, 200)]
+    words += [p.decode() for p in ranks if len(p) > 32 and not re.search(rb"[\x00-\x20\x80-\xff]", p)]
+    got = token_counts.token_counts(spark.createDataFrame(list(enumerate(words)), "doc_id long, text string"), PATHS[1]).collect()
+    assert {r.doc_id: r.n_tokens for r in got} == {i: count(w.encode()) for i, w in enumerate(words)}
+    assert {r.doc_id: r.n_tokens for r in got}[words.index("-" * 64)] == 1
+
+
 def test_packing_covers_every_id_once(spark, docs, rows):
     got = packing.pack(spark, docs.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]), *PATHS).toPandas()
     tokenizer = Tokenizer.from_file(PATHS[0])
