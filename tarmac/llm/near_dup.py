@@ -4,9 +4,13 @@ Words are lower-cased and separated by white space; shingles are ``WORDS`` of th
 row (a shorter text is one shingle). The j-th occurrence of a shingle in a text is an
 element of its own, so a text is a set of elements weighted by the inverse document
 frequency of their shingle, and the weighted Jaccard similarity of two texts is that of
-their TF-IDF vectors. Document frequencies are counted over all rows, hashed into
-``IDF_BUCKETS``; the damped weight 1 + IDF_SPAN * ln(N / df) / ln(N) is rounded down
-to one of ``LEVELS`` levels, so texts that thousands copy keep their similarity.
+their TF-IDF vectors. Document frequencies are counted over all rows, by shingle hashes
+of 32 bits and those that number the parts, of which there are the more the larger the
+input (over 5,000 hash values a shingle); the damped weight
+1 + IDF_SPAN * ln(N / df) / ln(N) is rounded down to one of ``LEVELS`` levels, so texts
+that thousands copy keep their similarity. Texts are dealt into places; a part counts
+its shingles and answers every place with the levels of those that are not in one text
+only, so no table of all shingles is held anywhere.
 
 Sampling: for sample k an element of weight w draws r, c from Gamma(2, 1) and b from U(0, 1), all
 fixed by its hash, and t = floor(ln w / r + b), a = c * exp(-r * (t - b + 1)); the
@@ -49,7 +53,13 @@ SIMILARITY = 0.8
 BANDS = 20
 ROWS = 5
 SAMPLES = BANDS * ROWS
-IDF_BUCKETS = 1 << 18
+# Shingles that a part of the document frequencies counts, and bytes of text of a place.
+PART_SHINGLES = 1 << 19
+PLACE_BYTES = 1 << 24
+LEAST_PARTS = 8  # bits
+MOST_PARTS = 16  # bits
+# Shingles that a task sorts before it sends them to their parts.
+ASKED_AT_ONCE = 1 << 21
 IDF_SPAN = 0.25
 LEVELS = 8
 CELLS = 1 << 12
@@ -96,8 +106,8 @@ def sample_order() -> np.ndarray:
     return _ORDER[0]
 
 
-def elements(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(rows, first element of each row, element hashes, shingle buckets) by groups of rows.
+def elements(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows, first element of each row, element hashes, shingles, first of its shingle) by groups of rows.
 
     Rows without a word are left out. Elements of a row are sorted by shingle.
     """
@@ -159,28 +169,87 @@ def _shingled(rows: np.ndarray, words: list[np.ndarray]):
     element = (s + nth.astype(np.uint64) * np.uint64(0xD1342543DE82EF95)) * np.uint64(0x9E3779B97F4A7C15)
     element ^= element >> np.uint64(32)
     first = np.searchsorted(which, np.arange(len(rows)))
-    return rows, first, element, (s >> np.uint64(64 - 18)).astype(np.int64), new
+    return rows, first, element, s, new
 
 
-def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """Texts that hold a shingle of each bucket, over all rows, and the number of rows."""
-    def count(batches):
-        seen = np.zeros(IDF_BUCKETS, np.int64)
-        for batch in batches:
-            for _, first, _, bucket, new in elements(batch.column("text")):
-                seen += np.bincount(bucket[new], minlength=IDF_BUCKETS)
-        used = np.flatnonzero(seen)
-        yield pa.record_batch([pa.array(used.astype(np.int32)), pa.array(seen[used])], names=["bucket", "n"])
+def placed(docs: DataFrame, places: int) -> DataFrame:
+    """doc_id, text and place of every row; the row itself fixes its place."""
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return narrow.withColumn("place", F.pmod(F.xxhash64("doc_id", "text"), F.lit(places)).cast("int"))
+
+
+def layout(docs: DataFrame) -> tuple[int, int, int]:
+    """(rows, bits of the part number, places) in proportion to the texts."""
+    size = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.col("text").cast("string"))).alias("bytes")).first()
+    parts = (size["bytes"] or 0) // 6 // PART_SHINGLES  # a word is about 6 bytes
+    bits = min(MOST_PARTS, max(LEAST_PARTS, parts.bit_length()))
+    return size["n"], bits, min(1 << 16, max(1 << LEAST_PARTS, (size["bytes"] or 0) // PLACE_BYTES))
+
+
+def _keys(shingle: np.ndarray, bits: int) -> np.ndarray:
+    """The part number and the 32 bits by which a part knows a shingle."""
+    return shingle >> np.uint64(32 - bits)
+
+
+ASKED = "part int, hashes binary, places binary, counts binary"
+ANSWERS = "place int, part int, hashes binary, levels binary"
+
+
+def _asked(docs: DataFrame, bits: int) -> DataFrame:
+    """ASKED: the shingles of each part with the places and numbers of the texts that hold them."""
+    low = np.uint64(2**32 - 1)
+
+    def packed(held):
+        # by part, place and hash
+        x, n = np.unique(np.concatenate(held), return_counts=True)
+        part = (x >> np.uint64(48)).astype(np.int32)
+        cut = np.flatnonzero(np.diff(part, prepend=-1))
+        fields = (x & low).astype(np.uint32), (x >> np.uint64(32)).astype(np.uint16), n.astype(np.uint32)
+        return pa.record_batch([pa.array(part[cut])] + [pa.array([y.tobytes() for y in np.split(f, cut[1:])], pa.binary()) for f in fields],
+                               names=["part", "hashes", "places", "counts"])
 
-    rows = (docs.select(F.col("text").cast("string").alias("text")).transform(map_arrow, count, "bucket int, n long")
-            .groupBy("bucket").agg(F.sum("n").alias("n")).toPandas())
-    df = np.zeros(IDF_BUCKETS, np.int64)
-    df[rows["bucket"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
-    return df, docs.count()
+    def ask(batches):
+        held, size = [], 0
+        for batch in batches:
+            place = batch.column("place").to_numpy().astype(np.uint64)
+            for rows, first, _, shingle, new in elements(batch.column("text")):
+                key = _keys(shingle[new], bits)
+                of = np.repeat(place[rows], np.add.reduceat(new.astype(np.int64), first))
+                held.append((key >> np.uint64(32)) << np.uint64(48) | of << np.uint64(32) | key & low)
+                size += len(key)
+                if size > ASKED_AT_ONCE:
+                    yield packed(held)
+                    held, size = [], 0
+        if held:
+            yield packed(held)
+
+    return docs.select("place", "text").transform(map_arrow, ask, ASKED)
+
+
+def document_levels(docs: DataFrame, n: int, bits: int) -> DataFrame:
+    """ANSWERS: per place and part the levels of its shingles, where they differ from that of a shingle of one text."""
+    usual = idf_levels(np.array([1]), n)[0]
+
+    def answer(asked: pa.Table) -> pa.Table:
+        hashes, places, counts = (np.frombuffer(b"".join(asked.column(c).to_pylist()), t)
+                                  for c, t in (("hashes", np.uint32), ("places", np.uint16), ("counts", np.uint32)))
+        _, which = np.unique(hashes, return_inverse=True)
+        df = np.bincount(which, weights=counts).astype(np.int64)
+        level = idf_levels(df, n)[which]
+        told = level != usual
+        x, at = np.unique(places[told].astype(np.uint64) << np.uint64(32) | hashes[told], return_index=True)
+        place = (x >> np.uint64(32)).astype(np.int32)
+        cut = np.flatnonzero(np.diff(place, prepend=-1))
+        fields = x.astype(np.uint32), level[told][at]
+        cells = [[y.tobytes() for y in np.split(f, cut[1:])] if len(cut) else [] for f in fields]
+        return pa.table([pa.array(place[cut]), pa.array([asked.column("part")[0].as_py()] * len(cut), pa.int32()),
+                         *(pa.array(c, pa.binary()) for c in cells)], names=["place", "part", "hashes", "levels"])
+
+    return _asked(docs, bits).groupBy("part").applyInArrow(answer, ANSWERS)
 
 
 def idf_levels(df: np.ndarray, n: int) -> np.ndarray:
-    """Level of each bucket: 0 for one in every text, LEVELS - 1 for the rarest."""
+    """Level of each document frequency: 0 for one in every text, LEVELS - 1 for the rarest."""
     rarity = np.log((n + 1.0) / (df + 1.0)) / np.log(n + 2.0)
     return np.clip((rarity * LEVELS).astype(np.int64), 0, LEVELS - 1).astype(np.uint8)
 
@@ -207,50 +276,96 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-SIGNED = "doc_id long, digest binary, weight double, bits array<long>, bands array<long>"
+class PlaceLevels:
+    """Levels of the shingles of one place's texts, from the answers of all parts."""
+
+    def __init__(self, answers: list[tuple[int, bytes, bytes]], usual: int, bits: int):
+        self.usual, self.bits = usual, bits
+        keys = [np.frombuffer(h, np.uint32).astype(np.uint64) | np.uint64(part << 32) for part, h, _ in answers]
+        self.keys = np.concatenate([np.zeros(0, np.uint64), *keys])
+        order = np.argsort(self.keys)
+        self.keys = self.keys[order]
+        self.levels = np.frombuffer(b"".join(v for _, _, v in answers), np.uint8)[order]
+
+    def of(self, shingle: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.full(len(shingle), self.usual, np.uint8)
+        key = _keys(shingle, self.bits)
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.levels[at], self.usual).astype(np.uint8)
+
+
+SIGNED = "doc_id long, digest binary, weight double, bits array<long>, bands array<long>, levels binary"
 
 
-def sign(docs: DataFrame, levels: np.ndarray) -> DataFrame:
-    """SIGNED of every row; digest, weight and bands are null for a text without a word."""
+def sign(docs: DataFrame, answers: DataFrame, n: int, bits: int) -> DataFrame:
+    """SIGNED of every row; all but doc_id are null for a text without a word.
+
+    The answers to a place arrive in front of its texts; levels are those of the elements.
+    """
+    usual = int(idf_levels(np.array([1]), n)[0])
+
     def signed(batches):
+        place, told, levels = -1, [], None
         for batch in batches:
-            n = batch.num_rows
-            weight, bits = np.full(n, np.nan), np.zeros((n, SKETCH), np.uint64)
-            bands = np.zeros((n, BANDS), np.uint64)
-            for rows, first, element, bucket, _ in elements(batch.column("text")):
-                level = levels[bucket]
-                got = _mixed(signatures(first, element, level))
-                weight[rows] = np.add.reduceat(_LEVEL_WEIGHT[level], first)
-                low = np.zeros((len(rows), SKETCH * _IN_LONG), np.uint64)
-                low[:, :SAMPLES] = got & np.uint64(2**NIBBLE - 1)
-                shifts = np.arange(0, 64, NIBBLE, dtype=np.uint64)
-                bits[rows] = (low.reshape(len(rows), SKETCH, _IN_LONG) << shifts).sum(axis=2)
-                banded = _mixed((got.reshape(len(rows), BANDS, ROWS) * _BAND_MIX).sum(axis=2))
-                bands[rows] = banded + np.arange(BANDS, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)
-            empty = pa.array(np.isnan(weight))
-            listed = lambda x: pa.ListArray.from_arrays(pa.array(np.arange(0, n + 1, dtype=np.int32) * x.shape[1]),
-                                                        pa.array(x.view(np.int64).ravel()))
-            none = lambda x: pc.if_else(empty, pa.scalar(None, x.type), x)
-            yield pa.record_batch([batch.column("doc_id"), none(batch.column("digest").cast(pa.binary())), none(pa.array(weight)),
-                                   none(listed(bits)), none(listed(bands))],
-                                  names=[f.split()[0] for f in SIGNED.split(", ")])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-                       _digest().alias("digest")).transform(map_arrow, signed, SIGNED)
+            places = batch.column("place").to_numpy()
+            is_text = np.array(batch.column("hashes").is_null().to_pylist(), bool)
+            cut = np.flatnonzero(np.diff(places * 2 + is_text, prepend=-1))
+            for lo, hi in zip(cut, [*cut[1:], batch.num_rows]):
+                if places[lo] != place:
+                    place, told, levels = places[lo], [], None
+                run = batch.slice(lo, hi - lo)
+                if not is_text[lo]:
+                    told += zip(*(run.column(c).to_pylist() for c in ("part", "hashes", "levels")))
+                    continue
+                if levels is None:
+                    levels, told = PlaceLevels(told, usual, bits), []
+                yield _signed(run.take(pa.array(range(run.num_rows))), levels)  # a copy without offsets
+
+    texts = docs.withColumn("digest", _digest())
+    both = texts.unionByName(answers, allowMissingColumns=True).repartition("place").sortWithinPartitions("place", F.col("hashes").isNull())
+    return both.transform(map_arrow, signed, SIGNED)
+
+
+def _signed(batch: pa.RecordBatch, levels: PlaceLevels) -> pa.RecordBatch:
+    n = batch.num_rows
+    weight, bits = np.full(n, np.nan), np.zeros((n, SKETCH), np.uint64)
+    bands = np.zeros((n, BANDS), np.uint64)
+    told: list[bytes | None] = [None] * n
+    for rows, first, element, shingle, _ in elements(batch.column("text")):
+        level = levels.of(shingle)
+        got = _mixed(signatures(first, element, level))
+        weight[rows] = np.add.reduceat(_LEVEL_WEIGHT[level], first)
+        low = np.zeros((len(rows), SKETCH * _IN_LONG), np.uint64)
+        low[:, :SAMPLES] = got & np.uint64(2**NIBBLE - 1)
+        shifts = np.arange(0, 64, NIBBLE, dtype=np.uint64)
+        bits[rows] = (low.reshape(len(rows), SKETCH, _IN_LONG) << shifts).sum(axis=2)
+        banded = _mixed((got.reshape(len(rows), BANDS, ROWS) * _BAND_MIX).sum(axis=2))
+        bands[rows] = banded + np.arange(BANDS, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)
+        for row, part in zip(rows, np.split(level, first[1:])):
+            told[row] = part.tobytes()
+    empty = pa.array(np.isnan(weight))
+    listed = lambda x: pa.ListArray.from_arrays(pa.array(np.arange(0, n + 1, dtype=np.int32) * x.shape[1]),
+                                                pa.array(x.view(np.int64).ravel()))
+    none = lambda x: pc.if_else(empty, pa.scalar(None, x.type), x)
+    return pa.record_batch([batch.column("doc_id"), none(batch.column("digest").cast(pa.binary())), none(pa.array(weight)),
+                            none(listed(bits)), none(listed(bands)), pa.array(told, pa.binary())],
+                           names=[f.split()[0] for f in SIGNED.split(", ")])
 
 
 def _digest():
     return F.unhex(F.md5(F.col("text").cast("string").cast("binary")))
 
 
-def _payloads(docs: DataFrame, wanted: DataFrame, levels: np.ndarray) -> DataFrame:
+def _payloads(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, total, payload): sorted elements with their level in the low bits."""
     def packed(batches):
         for batch in batches:
             nodes = batch.column("node").to_numpy()
             ids, totals, raw = [], [], []
-            for rows, first, element, bucket, _ in elements(batch.column("text")):
-                level = levels[bucket]
+            told = batch.column("levels").to_pylist()
+            for rows, first, element, _, _ in elements(batch.column("text")):
+                level = np.frombuffer(b"".join(told[row] for row in rows), np.uint8)
                 total = np.add.reduceat(_LEVEL_WEIGHT[level], first)
                 tagged = (element & np.uint64(2**64 - LEVELS)) | level.astype(np.uint64)
                 for row, part, w in zip(rows, np.split(tagged, first[1:]), total):
@@ -263,7 +378,7 @@ def _payloads(docs: DataFrame, wanted: DataFrame, levels: np.ndarray) -> DataFra
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("digest", _digest())
     # one row per distinct text: repeated (doc_id, text) rows fall together
     found = texts.join(wanted, (texts["digest"] == wanted["key"]) & texts["doc_id"].eqNullSafe(wanted["named"]))
-    return found.select("node", "text").transform(map_arrow, packed, "node long, total double, payload binary").dropDuplicates(["node"])
+    return found.select("node", "levels", "text").transform(map_arrow, packed, "node long, total double, payload binary").dropDuplicates(["node"])
 
 
 def _verified(pairs: DataFrame, payloads: DataFrame, similarity: float) -> DataFrame:
@@ -289,19 +404,32 @@ def _verified(pairs: DataFrame, payloads: DataFrame, similarity: float) -> DataF
         check, "a long, b long, similarity double")
 
 
+def _written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """``table`` of a shuffle of all texts or shingles, whose files go when it is written."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        return table(spark, df, name)
+    finally:
+        spark.conf.set(key, before)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, digest, class_id, keeper of every row; keeper is the kept text's digest."""
-    df, n = document_frequencies(docs)
-    levels = idf_levels(df, n)
-    rows = table(spark, sign(docs, levels), "signed")
+    n, bits, places = layout(docs)
+    texts = placed(docs, places)
+    answers = _written(spark, document_levels(texts, n, bits), "levels")
+    rows = _written(spark, sign(texts, answers, n, bits), "signed")
     texts = rows.filter("digest IS NOT NULL").groupBy("digest").agg(
-        F.min("doc_id").alias("named"), F.first("weight").alias("weight"), F.first("bits").alias("bits"), F.first("bands").alias("bands"))
+        F.min("doc_id").alias("named"), F.first("weight").alias("weight"), F.first("bits").alias("bits"), F.first("bands").alias("bands"),
+        F.first("levels").alias("levels"))
     nodes = table(spark, texts.withColumn("node", F.monotonically_increasing_id()), "nodes")
     banded = nodes.select("node", F.explode("bands").alias("bucket"))
     members = table(spark, _members(banded), "members")
     in_buckets = members.select("node").distinct()
-    wanted = nodes.join(in_buckets, "node").select("node", F.col("digest").alias("key"), "named")
-    payloads = table(spark, _payloads(docs, wanted, levels), "payloads")
+    wanted = nodes.join(in_buckets, "node").select("node", F.col("digest").alias("key"), "named", "levels")
+    payloads = _written(spark, _payloads(docs, wanted), "payloads")
 
     sketch = nodes.select("node", "weight", "bits", "bands")
     first = members.filter("node <> center").select(F.greatest("node", "center").alias("a"), F.least("node", "center").alias("b")).distinct()

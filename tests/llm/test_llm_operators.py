@@ -234,6 +234,22 @@ def test_near_duplicates_against_all_pairs(spark, docs, rows):
     assert near_dup.near_duplicates(spark, docs.limit(0)).count() == 0
 
 
+def test_near_duplicate_levels_are_those_of_exact_document_frequencies(spark):
+    # far more shingles than 2^18: 600 texts of 1,000 words, one passage in all, one in every tenth
+    texts = [" ".join(["all"] * 6 + (["tenth"] * 6 if i % 10 == 0 else []) + [f"w{i}_{k}" for k in range(1000)]) for i in range(600)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    n, bits, places = near_dup.layout(docs)
+    at = near_dup.placed(docs, places)
+    rows = near_dup.sign(at, near_dup.document_levels(at, n, bits), n, bits).collect()
+    of = lambda df: int(near_dup.idf_levels(np.array([df]), n)[0])
+    assert n == len(rows) == 600 and of(1) > of(60) > of(600)
+    for r in rows:
+        words = texts[r.doc_id].split()
+        want = collections.Counter({of(600): 2, of(60): 6 if r.doc_id % 10 == 0 else 0})
+        want[of(1)] = len(words) - 4 - sum(want.values())
+        assert collections.Counter(r.levels) == +want
+
+
 def _against_sql(docs, sql, got, name="documents"):
     con = duckdb.connect()
     con.register(name, docs.toArrow())
