@@ -13,9 +13,9 @@ resolved exactly by the smaller id. A second step merges the blocks' k best per
 Blocks of rows meet blocks of queries as pairs of keys; every pair is a group of its
 own, so memory holds one index block and one query block, whatever the table's size.
 
-Defined cases: vectors that are null, empty or hold a null or non-finite component, or
-one whose quantised value needs more than 31 bits, take no part, nor do rows with a null
-id. Vectors of unequal lengths meet on their common dimensions. Repeated ids are
+Defined cases: vectors that are null, empty or hold a null or non-finite component take
+no part, nor do rows with a null id. As in the SQL, a component whose quantised value
+needs more than 64 bits, or a score that does, is an error. Vectors of unequal lengths meet on their common dimensions. Repeated ids are
 separate rows; a query's own row never is its candidate. Extra columns are ignored.
 """
 
@@ -50,8 +50,10 @@ def slice_block(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray
     """(least component, number of bits) per dimension, and all bitmaps in order."""
     words = -(-len(vectors) // 64)
     base = vectors.min(axis=0)
-    bits = np.array([int(x).bit_length() for x in vectors.max(axis=0) - base], np.int64)
-    maps = [_bitmap((vectors[:, d] - base[d]) >> b & 1, words) for d in range(vectors.shape[1]) for b in range(bits[d])]
+    # differences of 64-bit numbers need all 64 bits without a sign
+    over = (vectors - base).view(np.uint64)
+    bits = np.array([int(x).bit_length() for x in over.max(axis=0)], np.int64)
+    maps = [_bitmap(over[:, d] >> np.uint64(b) & np.uint64(1), words) for d in range(vectors.shape[1]) for b in range(bits[d])]
     return base, bits, np.array(maps, np.uint64).reshape(-1, words)
 
 
@@ -151,7 +153,12 @@ def quantised(vectors: list[list | None]) -> list[np.ndarray | None]:
             out.append(None)
             continue
         x = np.floor(FACTOR * np.asarray(v, np.float64))
-        out.append(x.astype(np.int64) if np.isfinite(x).all() and (np.abs(x) < 2**31).all() else None)
+        if not np.isfinite(np.asarray(v, np.float64)).all():
+            out.append(None)
+            continue
+        if (x < -2.0**63).any() or (x >= 2.0**63).any():
+            raise OverflowError("a vector's quantised component needs more than 64 bits")
+        out.append(x.astype(np.int64))
     return out
 
 
@@ -180,7 +187,7 @@ def build_index(vectors: DataFrame, is_query: Column, rows_per_block: int = ROWS
             base, bits, slices = slice_block(at)
             own = np.flatnonzero(asks)
             queries = [{"chunk": c, "at": part.astype(np.int32).tobytes(), "ids": np.array(ids)[part].astype(np.int64).tobytes(),
-                        "vectors": at[part].astype(np.int32).tobytes()}
+                        "vectors": at[part].tobytes()}
                        for c, part in enumerate(np.split(own, range(QUERIES_PER_BLOCK, len(own), QUERIES_PER_BLOCK)))
                        if len(part)]
             return pa.RecordBatch.from_pylist([{
@@ -212,7 +219,7 @@ def _search_pair(index: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataF
         ids, base, bits = (np.frombuffer(x, np.int64) for x in (row.ids, row.base, row.bits))
         for q in queries.itertuples():
             at, qids = np.frombuffer(q.at, np.int32), np.frombuffer(q.qids, np.int64)
-            vectors = np.frombuffer(q.vectors, np.int32).reshape(len(at), -1)
+            vectors = np.frombuffer(q.vectors, np.int64).reshape(len(at), -1)
             for p, qid, v in zip(at, qids, vectors):
                 own = int(p) if q.query_block == row.block else -1
                 out += [(q.query_block, p, qid, i, s) for i, s in search_block(base, bits, slices, row.n, ids, v, own, k)]

@@ -193,6 +193,19 @@ def test_top_k_against_brute_force(spark, rows_per_block):
     assert topk.top_k(spark, vectors.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_top_k_of_large_components_against_sql(spark):
+    rng = np.random.RandomState(5)
+    rows = [(i, [float(x) for x in rng.uniform(-1, 1, 8)]) for i in range(120)]
+    for i, big in ((0, 2.0**23), (7, -2.0**23), (50, 2.0**40), (61, -2.0**44), (99, 2.0**33)):
+        rows[i][1][i % 8] = big
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.top_k(spark, vectors, F.col("vec_id") % 50 == 0, rows_per_block=40)
+    assert {r.query_id for r in got.collect()} == {0, 50, 100}
+    _against_sql(vectors, oracle.TOPK, got, "embeddings")
+    with pytest.raises(Exception, match="64 bits"):
+        topk.top_k(spark, spark.createDataFrame([(0, [1e30]), (1, [1.0])], "vec_id long, embedding array<double>"), F.lit(True)).collect()
+
+
 def test_near_duplicates_against_all_pairs(spark, docs, rows):
     base = " ".join(f"w{i}" for i in range(200)).split()
     near = [(30_000 + k, " ".join(base[:k * 3] + [f"new{k}"] + base[k * 3 + 1:]), "en", "s", 0, None, None) for k in range(40)]
