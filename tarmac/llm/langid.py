@@ -6,9 +6,10 @@ boundary at either end), hashed into ``buckets`` rows. A linear softmax on that
 average gives language probabilities. Embeddings and softmax are trained together by
 stochastic gradient descent in numpy on a bounded sample of labelled texts
 (``sample_docs``, spread over the languages by a hash of the id). A slice of the
-sample is left out to calibrate: a temperature fitted to its likelihood, and a
-rejection threshold on the calibrated probability, low enough that at most
-``reject_share`` of the rightly labelled calibration texts would be rejected.
+sample is left out to calibrate a temperature, fitted to its likelihood. The rejection
+threshold on the calibrated probability is a quantile over all labelled texts that may be
+learned from and are not in the sample (over the slice if there are none), low enough
+that at most ``reject_share`` of those labelled rightly would be rejected.
 
 The average and the softmax are linear, so scoring folds the embedding and the softmax
 into one table of per-language integers (fixed point); sums over a text are exact in
@@ -43,6 +44,7 @@ LEAST_STEPS = 6000
 RATE = 0.5
 REJECT_SHARE = 0.001
 SCALE = 1 << 16
+STEPS = 1 << 16  # of the probability, for the quantile
 UNDEFINED = "und"
 
 # Letters of the subword view: ASCII letters and every byte of a multi-byte character.
@@ -111,6 +113,11 @@ def training_sample(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, seed: int =
     Rows are drawn by a hash of the id, so the choice does not depend on the layout;
     the draw rate comes from counts over all labelled rows.
     """
+    return _labelled(docs, sample_docs, seed).filter("drawn").drop("drawn")
+
+
+def _labelled(docs: DataFrame, sample_docs: int, seed: int) -> DataFrame:
+    """All rows to learn from, with their order and whether they are drawn for the sample."""
     usable = (learnable(F.col("doc_id")) & F.col("lang").isNotNull() & (F.col("lang") != "")
               & (F.col("lang") != UNDEFINED) & F.col("text").isNotNull())
     sized = docs.select("doc_id", "lang", "text").filter(usable)
@@ -119,8 +126,8 @@ def training_sample(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, seed: int =
     rate = F.lit(0.0)
     for r in counts:
         rate = F.when(F.col("lang") == r["lang"], min(1.0, each / r["count"])).otherwise(rate)
-    return sized.withColumn("order", F.xxhash64(F.lit(seed), "doc_id", "text")).filter(
-        draw(F.col("doc_id"), seed) < rate)
+    return sized.withColumn("order", F.xxhash64(F.lit(seed), "doc_id", "text")).withColumn(
+        "drawn", draw(F.col("doc_id"), seed) < rate)
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -134,8 +141,8 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, buckets: int = BUCKET
     """Fit on the bounded sample; its gram counts (not its texts) reach the driver."""
     if buckets > 1 << 16:
         raise ValueError("buckets must fit 16 bits")
-    sample = training_sample(docs, sample_docs, seed)
-    rows = sample.select("lang", "order", "text").transform(map_arrow, 
+    labelled = _labelled(docs, sample_docs, seed)
+    rows = labelled.filter("drawn").select("lang", "order", "text").transform(map_arrow, 
         lambda it: _features(it, buckets), "lang string, order long, ids binary, counts binary").collect()
     rows = sorted(rows, key=lambda r: (r["order"], r["lang"]))
     languages = sorted({r["lang"] for r in rows})
@@ -174,7 +181,27 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, buckets: int = BUCKET
     logits = np.stack([share @ weights[ids] / SCALE + bias for _, ids, share in check]) if check else np.zeros((0, len(languages)))
     truth = np.array([y for y, _, _ in check], np.int64)
     temperature, threshold = _calibrate(logits, truth, reject_share)
-    return LanguageModel(languages, weights, bias, temperature, threshold)
+    model = LanguageModel(languages, weights, bias, temperature, threshold)
+    spread = _right_answers(labelled.filter("NOT drawn"), model).groupBy("step").agg(F.sum("n").alias("n")).orderBy("step").collect()
+    if spread:
+        passed = np.cumsum([r["n"] for r in spread])
+        model.threshold = min(spread[int(np.searchsorted(passed, int(reject_share * passed[-1]), "right"))]["step"] / STEPS, 0.5)
+    return model
+
+
+def _right_answers(labelled: DataFrame, model: LanguageModel) -> DataFrame:
+    """(step, n): numbers of rightly labelled texts by their probability in STEPS."""
+    def count(batches):
+        seen = np.zeros(STEPS + 1, np.int64)
+        for batch in batches:
+            names, scores, _ = classify(batch.column("text"), model)
+            right = np.array([n == x for n, x in zip(names, batch.column("lang").to_pylist())], bool)
+            seen += np.bincount((scores[right] * STEPS).astype(np.int64), minlength=STEPS + 1)
+        used = np.flatnonzero(seen)
+        yield pa.record_batch([pa.array(used), pa.array(seen[used])], names=["step", "n"])
+
+    texts = labelled.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    return texts.transform(map_arrow, count, "step long, n long")
 
 
 def _calibrate(logits: np.ndarray, truth: np.ndarray, reject_share: float) -> tuple[float, float]:

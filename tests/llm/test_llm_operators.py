@@ -61,6 +61,24 @@ def test_language_id(spark, docs):
     assert {r.lang_pred for r in langid.predict(docs, unlabelled).collect()} == {"und"}
 
 
+def test_language_threshold_is_a_quantile_over_all_labelled_rows(spark, monkeypatch):
+    # as if one odd text of the calibration slice had set the threshold
+    monkeypatch.setattr(langid, "_calibrate", lambda *_: (0.1, 0.05))
+    words = {"en": "the house and water of this".split(), "xx": "zorg blik vrun plakt druv".split()}
+    rng = np.random.RandomState(2)
+    rows = [(i, " ".join(rng.choice(words[lang], 20)), lang) for i in range(8000) for lang in [("en", "xx")[i % 2]]]
+    rows = [(i, " ".join(words["en"][:5] + words["xx"]) if i % 2000 == 7 else t, lang) for i, t, lang in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs, sample_docs=1000)
+    assert model.threshold > 0.05
+    labelled = langid._labelled(docs, 1000, 11).filter("NOT drawn").select("doc_id", "lang").collect()
+    truth = {r.doc_id: r.lang for r in labelled}
+    right = sorted(r.score for r in langid.predict(docs, model).collect() if truth.get(r.doc_id) == r.lang_pred)
+    want = right[int(langid.REJECT_SHARE * len(right))]
+    assert len(right) > 4000
+    assert want - 1 / langid.STEPS <= model.threshold <= want or (want > 0.5 and model.threshold == 0.5)
+
+
 def test_quality_classifier(spark, docs):
     labels = read(spark, SF001, "labels")
     model = quality_model.train(docs, labels)
