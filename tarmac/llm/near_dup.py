@@ -417,6 +417,8 @@ def _written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, digest, class_id, keeper of every row; keeper is the kept text's digest."""
+    if similarity < SIMILARITY:
+        raise ValueError(f"bands and sketch bounds are made for a similarity of {SIMILARITY} or more, not {similarity}")
     n, bits, places = layout(docs)
     texts = placed(docs, places)
     answers = _written(spark, document_levels(texts, n, bits), "levels")

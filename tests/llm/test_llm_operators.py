@@ -265,6 +265,13 @@ def test_near_duplicates_against_all_pairs(spark, docs, rows):
     assert near_dup.near_duplicates(spark, docs.limit(0)).count() == 0
 
 
+def test_near_duplicates_refuse_a_similarity_below_the_bands(spark, docs):
+    with pytest.raises(ValueError, match="0.8 or more"):
+        near_dup.near_duplicates(spark, docs, similarity=0.6)
+    with pytest.raises(ValueError, match="0.8 or more"):
+        near_dup.keep_one(spark, docs, similarity=0.79)
+
+
 def test_near_duplicate_levels_are_those_of_exact_document_frequencies(spark):
     # far more shingles than 2^18: 600 texts of 1,000 words, one passage in all, one in every tenth
     texts = [" ".join(["all"] * 6 + (["tenth"] * 6 if i % 10 == 0 else []) + [f"w{i}_{k}" for k in range(1000)]) for i in range(600)]
