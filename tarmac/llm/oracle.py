@@ -114,3 +114,97 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_b
   coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, CAST(0 AS DOUBLE)) AS score
 FROM d LEFT JOIN a USING (r)
 """
+
+
+def _clusters() -> str:
+    """Five rounds over the kept vectors; a round is an assignment and the floors of the means."""
+    q = "list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))"
+    steps = [f"""v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, {q} AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY sha256('2:' || CAST(vec_id AS VARCHAR)) NULLS LAST, q) - 1 AS INTEGER) AS c, q
+  FROM v QUALIFY c < 40)"""]
+    for i in range(6):
+        steps.append(f"""d{i} AS (SELECT v.r, c{i}.c,
+  CAST(list_sum(list_transform(list_zip(v.q, c{i}.q), lambda x: (x[1] - x[2]) * (x[1] - x[2]))) AS BIGINT) AS d FROM v, c{i}),
+a{i} AS MATERIALIZED (SELECT r, c, d FROM d{i} QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1)""")
+        if i < 5:
+            steps.append(f"""s{i} AS (SELECT a.c, j, CAST(sum(v.q[j]) AS BIGINT) AS s, count(*) AS n
+  FROM a{i} a JOIN v USING (r), (SELECT unnest(range(1, 65)) AS j) GROUP BY a.c, j),
+m{i} AS (SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY j) AS q FROM s{i} GROUP BY c),
+c{i + 1} AS MATERIALIZED (SELECT c{i}.c, coalesce(m{i}.q, c{i}.q) AS q FROM c{i} LEFT JOIN m{i} USING (c))""")
+    return "WITH " + ",\n".join(steps) + """
+SELECT v.vec_id, a.c AS cluster, a.d AS distance, CAST(sum(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(a.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c5.q, ',')) AS centroid_sha256
+FROM a5 a JOIN v USING (r) JOIN c5 ON c5.c = a.c
+"""
+
+
+CLUSTERS = _clusters()
+
+
+def _least(*options: str) -> str:
+    """The least (cost, letters) of some, absent ones left out."""
+    return f"list_min([{', '.join(options)}])"
+
+
+def _repair() -> str:
+    """Damage, faults, then one row per conversation and step: the best (cost, letters) that reaches
+    each of the four states (no turn yet, after system, after user, after assistant)."""
+    crc = ("xor(list_reduce(list_transform(range(1, length(k) + 1), lambda i: CAST(ascii(substr(k, i, 1)) AS BIGINT)), "
+           "lambda c, b: list_reduce(range(8), lambda x, n: xor(x >> 1, 3988292384 * (x & 1)), xor(c, b)), CAST(4294967295 AS BIGINT)), "
+           "CAST(4294967295 AS BIGINT))")
+
+    def add(state: str, cost: str, letter: str, when: str = "TRUE") -> str:
+        return f"CASE WHEN {state} IS NOT NULL AND {when} THEN {{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}'}} END"
+
+    may, keep = "f NOT IN (1, 2)", "(CASE WHEN f = 3 THEN 3 ELSE 0 END)"
+    row = {  # a row is consumed
+        "n": _least(add("w.n", "4", "D")),
+        "s": _least(add("w.s", "4", "D"), add("w.n", keep, "K", f"{may} AND r.first = 's'")),
+        "u": _least(add("w.u", "4", "D"), *(add(f"w.{x}", keep, "K", f"{may} AND r.first = 'u'") for x in "nsa"),
+                    *(add(f"w.{x}", f"3 + {keep}", "R", may) for x in "nsa")),
+        "a": _least(add("w.a", "4", "D"), add("w.u", keep, "K", f"{may} AND r.first = 'a'"), add("w.u", f"3 + {keep}", "R", may)),
+    }
+    user = _least("x.u", *(add(f"x.{x}", "3", "I") for x in "nsa"))  # turns are put in
+    assistant = _least("y.a", add("y.u", "3", "I"))
+    again = _least("z.u", add("z.a", "3", "I"))
+    return f"""
+WITH RECURSIVE given AS (SELECT conv_id, dense_rank() OVER (ORDER BY conv_id) AS g, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+harmed AS (SELECT *, {crc} % 20 AS harm FROM given),
+rows_left AS (SELECT g, turn, CASE WHEN harm = 4 THEN 'user' ELSE role END AS role,
+  CASE harm WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+  unnest(CASE WHEN harm = 3 THEN [0, 1] ELSE [0] END) AS copy FROM harmed WHERE harm <> 0),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY turn NULLS FIRST, role, text) AS i FROM rows_left),
+placed AS (SELECT *, row_number() OVER (PARTITION BY g, role, text ORDER BY i) AS again FROM ordered),
+r AS MATERIALIZED (SELECT g, i, turn, role, text, substr(role, 1, 1) AS first, CASE WHEN NOT regexp_matches(text, '{_WORD}') THEN 1 WHEN again > 1 THEN 2
+  WHEN right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS f FROM placed),
+counts AS (SELECT g, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (f = 1) AS blank,
+  count(*) FILTER (f = 2) AS duplicate, count(*) FILTER (f = 3) AS truncated, count(*) AS n FROM r GROUP BY g),
+pairs AS (SELECT g, count(*) FILTER (before IS NOT NULL AND before || first NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT g, first, lag(first) OVER (PARTITION BY g ORDER BY i) AS before FROM r) GROUP BY g),
+walk AS (
+  SELECT DISTINCT g, CAST(0 AS BIGINT) AS i, {{'c': 0, 'a': ''}} AS n, CAST(NULL AS STRUCT(c INTEGER, a VARCHAR)) AS s,
+    {{'c': 3, 'a': 'I'}} AS u, {{'c': 6, 'a': 'II'}} AS a FROM given
+  UNION ALL
+  SELECT z.g, z.i, z.n, z.s, {again} AS u, z.a FROM (
+    SELECT y.g, y.i, y.n, y.s, y.u, {assistant} AS a FROM (
+      SELECT x.g, x.i, x.n, x.s, {user} AS u, x.a FROM (
+        SELECT w.g, r.i, {row["n"]} AS n, {row["s"]} AS s, {row["u"]} AS u, {row["a"]} AS a
+        FROM walk w JOIN r ON r.g = w.g AND r.i = w.i + 1) x) y) z),
+best AS (SELECT w.g, {_least("w.n", "w.a")} AS b FROM walk w LEFT JOIN counts USING (g) WHERE w.i = coalesce(counts.n, 0)),
+letters AS (SELECT g, b.a AS audit, unnest(range(1, length(b.a) + 1)) AS p FROM best),
+spelt AS (SELECT g, p, substr(audit, p, 1) AS e, length(replace(substr(audit, 1, p), 'I', '')) AS i,
+  length(replace(substr(audit, 1, p), 'D', '')) AS turn_no FROM letters),
+turns AS (SELECT t.g, t.p, t.e, t.turn_no, r.role, r.text, max(CASE WHEN t.turn_no = 1 AND t.e = 'K' AND r.first = 's' THEN 1 ELSE 0 END)
+  OVER (PARTITION BY t.g) AS system FROM spelt t LEFT JOIN r ON r.g = t.g AND r.i = t.i AND t.e <> 'I' WHERE t.e <> 'D'),
+said AS (SELECT g, string_agg(CASE WHEN e = 'K' THEN role WHEN (turn_no - system) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':'
+  || CASE WHEN e = 'I' THEN '' ELSE text END, chr(10) ORDER BY p) AS whole FROM turns GROUP BY g)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(best.b.c AS BIGINT) AS cost, best.b.a AS audit,
+  sha256(coalesce(whole, '')) AS repaired_sha256
+FROM (SELECT DISTINCT g, conv_id FROM given) JOIN best USING (g) LEFT JOIN counts USING (g) LEFT JOIN pairs USING (g) LEFT JOIN said USING (g)
+"""
+
+
+REPAIR = _repair()

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import (langid, licenses, mixing, near_dup, packing, quality_model, quality_rules, token_counts,
+from tarmac.llm import (clusters, conversations, langid, licenses, mixing, near_dup, packing, quality_model, quality_rules, token_counts,
                         topk, warc)
 from tarmac.llm import oracle as O
 from tarmac.llm.common import held_out, read
@@ -84,6 +84,16 @@ def op10(spark, sf_dir):
     return licenses.scan(spark, read(spark, sf_dir, "documents"))
 
 
+@query("op12_clusters", O.CLUSTERS)
+def op12(spark, sf_dir):
+    return clusters.cluster(spark, read(spark, sf_dir, "embeddings"))
+
+
+@query("op13_conversations", O.REPAIR)
+def op13(spark, sf_dir):
+    return conversations.report(conversations.damaged(read(spark, sf_dir, "conversations")))
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline
