@@ -28,6 +28,17 @@ def table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def swept_table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """``table`` of a large shuffle, whose files go when the table is written."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        return table(spark, df, name)
+    finally:
+        spark.conf.set(key, before)
+
+
 # Rows that a Python task receives at once. Texts average a few kilobytes; the default of
 # 10,000 rows would hold tens of megabytes twice in every task.
 BATCH_ROWS = 512

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import (clusters, conversations, langid, licenses, mixing, near_dup, packing, quality_model, quality_rules, token_counts,
+from tarmac.llm import (clusters, conversations, katz, langid, licenses, mixing, near_dup, packing, quality_model, quality_rules, token_counts,
                         topk, warc)
 from tarmac.llm import oracle as O
 from tarmac.llm.common import held_out, read
@@ -84,6 +84,15 @@ def op10(spark, sf_dir):
     return licenses.scan(spark, read(spark, sf_dir, "documents"))
 
 
+@query("op11_katz")
+def op11(spark, sf_dir):
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    docs = read(spark, sf_dir, "documents")
+    model, scored = katz.train_and_score(spark, docs, fold != 1)
+    return scored.select("doc_id", F.coalesce(fold == 1, F.lit(False)).alias("held_out"), "n_tokens", "n_known",
+                         F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 @query("op12_clusters", O.CLUSTERS)
 def op12(spark, sf_dir):
     return clusters.cluster(spark, read(spark, sf_dir, "embeddings"))
