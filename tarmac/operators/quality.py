@@ -99,49 +99,28 @@ def missing_value_long(df: DataFrame) -> DataFrame:
 
 
 COPY_COUNT = "_n"
+SPELLINGS = "_spellings"
 
 
-def distinct_counts(df: DataFrame) -> DataFrame:
-    """Each distinct row once, with its copy count ``_n`` (partial-aggregated).
+def distinct_counts(df: DataFrame, dates: str = "fl_date", fmt: str = "yyyy-MM-dd") -> DataFrame:
+    """Each distinct date-parsed row once, with its copies ``_n`` and how many different raw rows
+    (date texts) they were, ``_spellings``.
 
-    De-duplicated rows, the duplicate count and the cleaning waterfall all come
-    from this one aggregate; written once, it saves re-shuffling every column.
+    De-duplicated rows, the duplicate count and the cleaning waterfall all come from this one
+    aggregate, which shuffles once, after a map-side step; written once, it saves re-shuffling
+    every column. Texts that parse to the same date (all that do not parse give NULL) make
+    rows equal that were not.
     """
-    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(COPY_COUNT))
-
-
-def merge_counts(distinct: DataFrame) -> DataFrame:
-    """Re-aggregate distinct rows whose values became equal (summing copy counts)."""
-    keys = [c for c in distinct.columns if c != COPY_COUNT]
-    return distinct.groupBy(*keys).agg(F.sum(COPY_COUNT).alias(COPY_COUNT))
-
-def dates_round_trip(df: DataFrame, col: str = "fl_date", fmt: str = "yyyy-MM-dd") -> bool:
-    """True when every non-NULL date text parses and prints back unchanged.
-
-    Then parsing is one-to-one on the column, so rows distinct before parsing
-    stay distinct after it. One filtered scan that stops at the first offender.
-    """
-    t = F.col(col)
-    bad = t.isNotNull() & (F.try_to_date(t, fmt).isNull()
-                           | (F.date_format(F.try_to_date(t, fmt), fmt) != t))
-    return df.filter(bad).limit(1).count() == 0
-
-
-def parsed_distinct(distinct_raw: DataFrame, col: str = "fl_date",
-                    fmt: str = "yyyy-MM-dd") -> DataFrame:
-    """Distinct date-parsed rows with copy counts, from distinct raw rows.
-
-    A projection when the dates round-trip; otherwise the rows that parsing
-    made equal are merged (one more aggregate).
-    """
-    parsed = parse_dates(distinct_raw, col, fmt)
-    return parsed if dates_round_trip(distinct_raw, col, fmt) else merge_counts(parsed)
+    text = F.col("_text")
+    parsed = df.withColumns({"_text": F.col(dates), dates: F.try_to_date(F.col(dates), fmt)})
+    spellings = F.count_distinct(text) + F.max(F.when(text.isNull(), 1).otherwise(0))
+    return parsed.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(COPY_COUNT), spellings.alias(SPELLINGS))
 
 
 def clean_from_distinct(distinct: DataFrame, low: float = OUTLIER_LOW,
                         high: float = OUTLIER_HIGH) -> DataFrame:
     """CL3-CL5 over the (date-parsed) distinct rows: the same rows as ``clean_flights``."""
-    return (distinct.drop(COPY_COUNT)
+    return (distinct.drop(COPY_COUNT, SPELLINGS)
                     .transform(drop_cancelled_and_diverted)
                     .transform(drop_missing_delays)
                     .transform(lambda d: remove_delay_outliers(d, low, high)))
@@ -153,8 +132,8 @@ def duplicate_stats(df: DataFrame, distinct: DataFrame | None = None) -> DataFra
     ``distinct`` (``distinct_counts(df)``, e.g. already written) skips the shuffle.
     """
     return ((distinct if distinct is not None else distinct_counts(df))
-            .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows"),
-                 F.count(F.lit(1)).alias("distinct_rows"))
+            .agg(F.coalesce(F.sum(COPY_COUNT), F.lit(0)).alias("total_rows"),
+                 F.coalesce(F.sum(SPELLINGS), F.lit(0)).alias("distinct_rows"))
             .withColumn("duplicate_rows", F.col("total_rows") - F.col("distinct_rows")))
 
 
@@ -169,10 +148,9 @@ def cleaning_waterfall(df: DataFrame, low: float = OUTLIER_LOW, high: float = OU
 
     One scan: the de-duplication aggregate gives each distinct parsed row and its
     copy count; the later steps are cumulative conditional counts over it. Pass
-    ``distinct`` (``distinct_counts(parse_dates(df))``, e.g. already written) to
-    skip the aggregate.
+    ``distinct`` (``distinct_counts(df)``, e.g. already written) to skip the aggregate.
     """
-    d = distinct if distinct is not None else distinct_counts(parse_dates(df))
+    d = distinct if distinct is not None else distinct_counts(df)
     c3 = F.coalesce(flew_normally(), F.lit(False))
     c4 = c3 & F.coalesce(delays_present(), F.lit(False))
     c5 = c4 & F.coalesce(delays_in_range(low, high), F.lit(False))

@@ -10,11 +10,13 @@ over the whole table; the SQL next to it is the independent DuckDB oracle.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.operators import distribution as D
+from tarmac.operators import evaluate as E
 from tarmac.operators import network as N
 from tarmac.operators import predict as P
 from tarmac.operators import quality as Q
@@ -24,9 +26,10 @@ from tarmac.operators import segment as G
 from tarmac.operators import summarize as S
 from tarmac.plans import oracle as O
 from tarmac.schema import CAUSES, FLIGHT_COLUMNS
-from tarmac.sources.dims import coords_for, state_codes_for
-from tarmac.sources.flights import load_flights, save_table
-from tarmac.sources.store import flight_tables, scratch_path
+from tarmac.sources.dims import coords_for, read_dimension, state_codes_for
+from tarmac.sources.flights import load_flights, rejected_cells as load_rejects, save_table
+from tarmac.sources.star import STAR_TABLES
+from tarmac.sources.store import FlightTables, flight_files, flight_tables, stored, stored_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -95,7 +98,7 @@ def q_null_profile(spark, sf_dir):
     "(SELECT count(*) AS distinct_rows FROM (SELECT DISTINCT * FROM flights_raw)) d"))
 def q_duplicate_stats(spark, sf_dir):
     t = flight_tables(spark, sf_dir)
-    return Q.duplicate_stats(t.raw, distinct=t.distinct_raw)
+    return Q.duplicate_stats(t.raw, distinct=t.distinct)
 
 
 _STEP_SQL = [
@@ -124,7 +127,7 @@ _DESCRIBE = " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, count({c}) AS count, {O.r(f'avg({c})', 4)} AS mean, "
     f"{O.r_stable(f'stddev_samp({c})', 4)} AS stddev, CAST(min({c}) AS DOUBLE) AS min, "
     f"CAST(max({c}) AS DOUBLE) AS max FROM flights_raw"
-    for c in Q.DESCRIBE_COLUMNS)
+    for c in O.DESCRIBED)
 
 
 @query("numeric_summary", O.with_raw(_DESCRIBE))
@@ -134,36 +137,15 @@ def q_numeric_summary(spark, sf_dir):
 
 # --- delay breakdowns (AG0, AN1-AN12, AN14, AG1) ---------------------------
 
-def _by(name, op, key, min_flights=0, extra=""):
-    QUERIES[name] = lambda spark, sf_dir: op(featured(spark, sf_dir))
-    ORACLE[name] = O.summary_by(key, min_flights, extra)
-
-
-_by("delay_by_airline", S.delays_by_airline, "op_unique_carrier")
-_by("delay_by_origin", lambda d: S.delays_by_origin_airport(d, 200), "origin", 200)
-_by("delay_by_dest", lambda d: S.delays_by_dest_airport(d, 200), "dest", 200)
-_by("delay_by_route", lambda d: S.delays_by_route(d, 100), "route", 100)
-_by("delay_by_month", S.delays_by_month, "month")
-_by("delay_by_weekday", S.delays_by_day_of_week, "day_of_week")
-_by("delay_by_hour", S.delays_by_hour, "dep_hour")
-_by("delay_by_season", S.delays_by_season, "season")
-_by("delay_by_day_part", S.delays_by_day_part, "day_part")
-_by("delay_by_distance_band", S.delays_by_distance_band, "distance_band")
-_by("delay_by_weekend", S.delays_weekend_vs_weekday, "is_weekend",
-    extra=", CASE WHEN is_weekend = 1 THEN 'Weekend' ELSE 'Weekday' END AS kind")
-_by("delay_by_state", S.delays_by_state, "origin_state_nm")
-_by("delay_by_redeye", S.delays_by_redeye, "is_redeye",
-    extra=", CASE WHEN is_redeye = 1 THEN 'Red-eye' ELSE 'Daytime' END AS kind")
-
-_ALL_DIMS = " UNION ALL ".join(
-    f"SELECT '{nm}' AS dimension, CAST({col} AS VARCHAR) AS key, {O.SUMMARY} "
-    f"FROM flights_featured GROUP BY {col}"
-    for nm, col in S.DIMENSIONS.items())
-
-
-@query("delay_all_dimensions", O.with_featured(_ALL_DIMS))
+for _name, _column in O.DIMENSIONS.items():
+    _least = O.LEAST_FLIGHTS.get(_name, 0)
+    QUERIES[f"delay_by_{_name}"] = lambda spark, sf_dir, name=_name, least=_least: S.breakdown(featured(spark, sf_dir), name, least)
+    ORACLE[f"delay_by_{_name}"] = O.summary_by(_column, _least, O.KINDS.get(_name, ""))
+
+
+@query("delay_all_dimensions", O.all_breakdowns({}))
 def q_delay_all_dimensions(spark, sf_dir):
-    return S.delay_all_dimensions(featured(spark, sf_dir))
+    return S.all_breakdowns(featured(spark, sf_dir))
 
 
 # --- bands and causes (AN13, AN15-AN18, WN2, WN3) --------------------------
@@ -172,7 +154,7 @@ def q_delay_all_dimensions(spark, sf_dir):
     f"SELECT delay_band, flights, {O.r('100 * flights / sum(flights) OVER ()', 2)} AS share_pct "
     f"FROM (SELECT delay_band, count(*) AS flights FROM flights_featured GROUP BY delay_band)"))
 def q_delay_bands(spark, sf_dir):
-    return S.delay_band_counts(featured(spark, sf_dir))
+    return S.band_counts(featured(spark, sf_dir))
 
 
 _CAUSE_ROWS = " UNION ALL ".join(
@@ -184,14 +166,15 @@ _CAUSE_ROWS = " UNION ALL ".join(
     f"SELECT cause_no, cause, minutes, "
     f"{O.r('100 * minutes / sum(minutes) OVER ()', 2)} AS share_pct FROM ({_CAUSE_ROWS})"))
 def q_cause_totals(spark, sf_dir):
-    return S.cause_totals_long(featured(spark, sf_dir))
+    long = S.causes_long(S.per_cause(featured(spark, sf_dir), S.minutes), "minutes")
+    return long.withColumn("share_pct", S.share_of_total("minutes"))
 
 
 @query("cause_frequency", O.with_featured(" UNION ALL ".join(
     f"SELECT {i + 1} AS cause_no, '{c}' AS cause, {O.r(f'100 * avg(has_{c})', 2)} "
     f"AS pct_of_flights FROM flights_featured" for i, c in enumerate(CAUSES))))
 def q_cause_frequency(spark, sf_dir):
-    return S.cause_frequency_long(featured(spark, sf_dir))
+    return S.causes_long(S.per_cause(featured(spark, sf_dir), S.share_of_recorded), "pct_of_flights")
 
 
 _CAUSE_MONTH = " UNION ALL ".join(
@@ -204,7 +187,8 @@ _CAUSE_MONTH = " UNION ALL ".join(
     "PARTITION BY month ORDER BY cause_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) "
     f"AS BIGINT) AS stack_base FROM ({_CAUSE_MONTH})"))
 def q_cause_by_month(spark, sf_dir):
-    return S.cause_by_month_stacked(featured(spark, sf_dir))
+    wide = S.per_cause(featured(spark, sf_dir), S.minutes, ["month"])
+    return S.stacked(S.causes_long(wide, "minutes", ["month"]), "minutes", ["month"])
 
 
 # --- cancellations on raw rows (AN19-AN22) ---------------------------------
@@ -213,14 +197,14 @@ def q_cause_by_month(spark, sf_dir):
     f"SELECT count(*) AS total_flights, {O.r('100 * avg(cancelled)', 3)} AS cancelled_pct, "
     f"{O.r('100 * avg(diverted)', 3)} AS diverted_pct FROM flights_raw"))
 def q_cancel_overview(spark, sf_dir):
-    return S.cancellation_overview(raw(spark, sf_dir))
+    return S.rates(raw(spark, sf_dir), count="total_flights")
 
 
 @query("cancel_by_reason", O.with_raw(
     "SELECT cancellation_code, count(*) AS cancellations FROM flights_raw "
     "WHERE cancelled = 1 GROUP BY cancellation_code"))
 def q_cancel_by_reason(spark, sf_dir):
-    return S.cancellations_by_reason(raw(spark, sf_dir))
+    return S.counts_where(raw(spark, sf_dir), "cancelled", "cancellation_code", "cancellations")
 
 
 @query("cancel_by_airline", O.with_raw(
@@ -228,14 +212,14 @@ def q_cancel_by_reason(spark, sf_dir):
     f"AS cancelled_pct, {O.r('100 * avg(diverted)', 3)} AS diverted_pct FROM flights_raw "
     "GROUP BY op_unique_carrier"))
 def q_cancel_by_airline(spark, sf_dir):
-    return S.cancellations_by_airline(raw(spark, sf_dir))
+    return S.rates(raw(spark, sf_dir), ["op_unique_carrier"], worst_first=True)
 
 
 @query("cancel_by_month", O.with_raw(
     f"SELECT month, {O.r('100 * avg(cancelled)', 3)} AS cancelled_pct FROM flights_raw "
     "GROUP BY month"))
 def q_cancel_by_month(spark, sf_dir):
-    return S.cancellations_by_month(raw(spark, sf_dir))
+    return S.rates(raw(spark, sf_dir), ["month"], {"cancelled_pct": "cancelled"}, count=None)
 
 
 # --- distributions (AD1-AD4, VZ1) ------------------------------------------
@@ -246,21 +230,21 @@ def q_cancel_by_month(spark, sf_dir):
     f"{O.r_stable('stddev_samp(arr_delay)', 2)} AS stddev, min(arr_delay) AS min, "
     "max(arr_delay) AS max FROM flights_featured"))
 def q_arr_delay_stats(spark, sf_dir):
-    return D.delay_describe(featured(spark, sf_dir))
+    return D.value_summary(featured(spark, sf_dir))
 
 
 @query("arr_delay_percentiles", O.with_featured(" UNION ALL ".join(
     f"SELECT '{lab}' AS percentile, CAST(quantile_disc(arr_delay, {p}) AS DOUBLE) AS minutes "
-    f"FROM flights_featured" for p, lab in zip(D.PERCENTILES, D.PERCENTILE_LABELS))))
+    f"FROM flights_featured" for lab, p in O.PERCENTILES.items())))
 def q_arr_delay_percentiles(spark, sf_dir):
-    return D.delay_percentiles(featured(spark, sf_dir), exact=True)
+    return D.percentiles(featured(spark, sf_dir))
 
 
 @query("arr_delay_histogram", O.with_featured(
     "SELECT bin, count(*) AS flights FROM (SELECT CAST(floor(arr_delay / 15) * 15 AS INTEGER) "
     "AS bin FROM flights_featured) WHERE bin BETWEEN -60 AND 240 GROUP BY bin"))
 def q_arr_delay_histogram(spark, sf_dir):
-    return D.delay_histogram(featured(spark, sf_dir))
+    return D.binned_counts(featured(spark, sf_dir))
 
 
 @query("airline_percentiles", O.with_featured(
@@ -269,38 +253,48 @@ def q_arr_delay_histogram(spark, sf_dir):
     f"{O.r('quantile_disc(arr_delay, 0.9)', 1)} AS p90_delay FROM flights_featured "
     "GROUP BY op_unique_carrier HAVING count(*) >= 1000"))
 def q_airline_percentiles(spark, sf_dir):
-    return D.percentiles_by_group(featured(spark, sf_dir), min_flights=1000, exact=True)
-
-
-_FENCE = "v.arr_delay BETWEEN st.q1 - 1.5 * (st.q3 - st.q1) AND st.q3 + 1.5 * (st.q3 - st.q1)"
-
-
-@query("box_by_season", O.with_featured(
-    f"SELECT st.season, st.n, {O.r('st.q1', 4)} AS q1, {O.r('st.median', 4)} AS median, "
-    f"{O.r('st.q3', 4)} AS q3, "
-    f"CAST(min(v.arr_delay) FILTER (WHERE {_FENCE}) AS DOUBLE) AS lower_whisker, "
-    f"CAST(max(v.arr_delay) FILTER (WHERE {_FENCE}) AS DOUBLE) AS upper_whisker, "
-    f"count(*) FILTER (WHERE NOT ({_FENCE})) AS n_outliers "
-    "FROM st JOIN bx_vals v ON v.season = st.season "
-    "GROUP BY st.season, st.n, st.q1, st.median, st.q3",
-    ctes="""bx_top AS (SELECT season, count(*) AS c FROM flights_featured WHERE season IS NOT NULL
-                GROUP BY season ORDER BY c DESC, season LIMIT 12),
-bx_vals AS (SELECT f.season, f.arr_delay FROM flights_featured f JOIN bx_top t ON f.season = t.season
-            WHERE f.arr_delay IS NOT NULL),
-st AS (SELECT season, count(*) AS n, quantile_cont(arr_delay, 0.25) AS q1,
-              quantile_cont(arr_delay, 0.5) AS median, quantile_cont(arr_delay, 0.75) AS q3
-       FROM bx_vals GROUP BY season)"""))
+    return D.group_percentiles(featured(spark, sf_dir), min_flights=1000)
+
+
+def _box_sql(group: str) -> str:
+    fence = "v.arr_delay BETWEEN st.q1 - 1.5 * (st.q3 - st.q1) AND st.q3 + 1.5 * (st.q3 - st.q1)"
+    return O.with_featured(
+        f"SELECT st.g AS {group}, st.n, {O.r('st.q1', 4)} AS q1, {O.r('st.median', 4)} AS median, {O.r('st.q3', 4)} AS q3, "
+        f"CAST(min(v.arr_delay) FILTER (WHERE {fence}) AS DOUBLE) AS lower_whisker, "
+        f"CAST(max(v.arr_delay) FILTER (WHERE {fence}) AS DOUBLE) AS upper_whisker, "
+        f"count(*) FILTER (WHERE NOT ({fence})) AS n_outliers "
+        "FROM st JOIN bx_vals v ON v.g = st.g GROUP BY st.g, st.n, st.q1, st.median, st.q3",
+        ctes=f"""bx_top AS (SELECT {group} AS g, count(*) AS c FROM flights_featured WHERE {group} IS NOT NULL
+                GROUP BY {group} ORDER BY c DESC, {group} LIMIT 12),
+bx_vals AS (SELECT t.g, f.arr_delay FROM flights_featured f JOIN bx_top t ON f.{group} = t.g WHERE f.arr_delay IS NOT NULL),
+st AS (SELECT g, count(*) AS n, quantile_cont(arr_delay, 0.25) AS q1, quantile_cont(arr_delay, 0.5) AS median,
+              quantile_cont(arr_delay, 0.75) AS q3 FROM bx_vals GROUP BY g)""")
+
+
+@query("box_by_season", _box_sql("season"))
 def q_box_by_season(spark, sf_dir):
     return D.box_stats(featured(spark, sf_dir), "season", "arr_delay")
 
 
+@query("box_by_hour", _box_sql("dep_hour"))
+def q_box_by_hour(spark, sf_dir):
+    """25 hours: the cut of 12 groups bites."""
+    return D.box_stats(featured(spark, sf_dir), "dep_hour", "arr_delay")
+
+
+@query("frequent_routes", O.with_featured(
+    "SELECT route, count(*) AS rows FROM flights_featured WHERE route IS NOT NULL GROUP BY route ORDER BY rows DESC, route LIMIT 12"))
+def q_frequent_routes(spark, sf_dir):
+    return SC.top_groups(featured(spark, sf_dir), "route")
+
+
 # --- relationships (AD5, AD7-AD9) -------------------------------------------
 
-_CD = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in R.CORR_COLUMNS)
-_CD_WHERE = " AND ".join(f"{c} IS NOT NULL" for c in R.CORR_COLUMNS)
+_CD = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in O.CORRELATED)
+_CD_WHERE = " AND ".join(f"{c} IS NOT NULL" for c in O.CORRELATED)
 _CORR = " UNION ALL ".join(
     f"SELECT '{a}' AS col_a, '{b}' AS col_b, {O.r_stable(f'corr({a}, {b})', 6)} AS corr FROM cd"
-    for a in R.CORR_COLUMNS for b in R.CORR_COLUMNS)
+    for a in O.CORRELATED for b in O.CORRELATED)
 
 
 @query("correlations", O.with_featured(
@@ -407,7 +401,7 @@ def q_state_values(spark, sf_dir):
     f"SELECT dest, {O.SUMMARY} FROM flights_featured GROUP BY dest HAVING count(*) >= 200 "
     "ORDER BY avg_arr_delay DESC, dest LIMIT 15"))
 def q_worst_destinations(spark, sf_dir):
-    by_dest = S.delays_by_dest_airport(featured(spark, sf_dir), 200)
+    by_dest = S.breakdown(featured(spark, sf_dir), "dest", 200)
     return SC.top_rows(by_dest, 15, F.desc("avg_arr_delay"), "dest")
 
 
@@ -421,7 +415,7 @@ _SCORE = (f"SELECT op_unique_carrier, count(*) AS flights, "
 
 @query("airline_score", O.with_featured(_SCORE))
 def q_airline_score(spark, sf_dir):
-    return SC.airline_scorecard(featured(spark, sf_dir), min_flights=1000)
+    return SC.scorecard(featured(spark, sf_dir), min_flights=1000)
 
 
 _RADAR_METRICS = ["on_time_pct", "avg_arr_delay", "p90_delay", "big_delay_pct"]
@@ -436,7 +430,7 @@ _RADAR = ", ".join(
     "(SELECT * FROM sc ORDER BY on_time_pct DESC, op_unique_carrier LIMIT 5)",
     ctes=f"sc AS ({_SCORE})"))
 def q_airline_radar(spark, sf_dir):
-    score = SC.airline_scorecard(featured(spark, sf_dir), min_flights=1000)
+    score = SC.scorecard(featured(spark, sf_dir), min_flights=1000)
     return SC.normalise_top(score, "op_unique_carrier", _RADAR_METRICS,
                             [F.desc("on_time_pct"), "op_unique_carrier"], top=5)
 
@@ -447,7 +441,7 @@ def q_airline_radar(spark, sf_dir):
     ctes=f"top12 AS (SELECT op_unique_carrier, {O.SUMMARY} FROM flights_featured "
          "GROUP BY op_unique_carrier ORDER BY flights DESC, op_unique_carrier LIMIT 12)"))
 def q_airline_dep_vs_arr(spark, sf_dir):
-    by_airline = S.delays_by_airline(featured(spark, sf_dir))
+    by_airline = S.breakdown(featured(spark, sf_dir), "airline")
     top = SC.top_rows(by_airline, 12, F.desc("flights"), "op_unique_carrier")
     return SC.series_long(top, "op_unique_carrier",
                           {"dep": "avg_dep_delay", "arr": "avg_arr_delay"}, "minutes")
@@ -456,35 +450,24 @@ def q_airline_dep_vs_arr(spark, sf_dir):
 # --- segmentation (CU1-CU6) ------------------------------------------------
 
 
-PROFILE_MIN_FLIGHTS = 1000
-
-
-@query("airport_profiles", O.with_featured(
-    f"SELECT * FROM (SELECT origin, count(*) AS flights, {O.r('avg(arr_delay)', 2)} AS avg_arr_delay, "
-    f"{O.r('100 * avg(is_delayed)', 2)} AS delayed_pct, {O.r('avg(taxi_out)', 2)} AS avg_taxi_out, "
-    f"{O.r('100 * avg(is_longhaul)', 2)} AS pct_longhaul FROM flights_featured GROUP BY origin "
-    f"HAVING count(*) >= {PROFILE_MIN_FLIGHTS}) WHERE origin IS NOT NULL "
-    "AND avg_arr_delay IS NOT NULL AND delayed_pct IS NOT NULL AND avg_taxi_out IS NOT NULL "
-    "AND pct_longhaul IS NOT NULL"))
+@query("airport_profiles", O.with_featured("SELECT * FROM profiles", ctes=O.PROFILES))
 def q_airport_profiles(spark, sf_dir):
-    return G.build_airport_profiles(featured(spark, sf_dir), PROFILE_MIN_FLIGHTS)
+    return G.profiles(featured(spark, sf_dir))
 
 
-@query("k_sweep")
+@query("k_sweep", O.k_sweep())
 def q_k_sweep(spark, sf_dir):
-    return G.choose_k(G.build_airport_profiles(featured(spark, sf_dir), PROFILE_MIN_FLIGHTS))
+    return G.silhouettes(G.profiles(featured(spark, sf_dir)))
 
 
-@query("airport_segments")
+@query("airport_segments", O.airport_segments())
 def q_airport_segments(spark, sf_dir):
-    return G.cluster_airports(G.build_airport_profiles(featured(spark, sf_dir), PROFILE_MIN_FLIGHTS))
+    return G.segments(G.profiles(featured(spark, sf_dir)))
 
 
-@query("segment_profiles")
+@query("segment_profiles", O.segment_profiles())
 def q_segment_profiles(spark, sf_dir):
-    clustered = G.cluster_airports(
-        G.build_airport_profiles(featured(spark, sf_dir), PROFILE_MIN_FLIGHTS))
-    return G.cluster_profiles_summary(clustered)
+    return G.segment_means(G.segments(G.profiles(featured(spark, sf_dir))))
 
 
 # --- sampling (AD6) ----------------------------------------------------------
@@ -497,61 +480,170 @@ def q_delay_scatter_sample(spark, sf_dir):
     return R.scatter_sample(featured(spark, sf_dir), n=5000)
 
 
-# --- prediction (ML1-ML9) ----------------------------------------------------
+# --- prediction (ML1-ML9, TK6) -----------------------------------------------
 
 _RUNS: dict = {}
 
 
-def _classifier_run(spark, sf_dir) -> P.ClassifierRun:
+@dataclass
+class ClassifierRun:
+    models: dict
+    scored: DataFrame
+    slots: DataFrame
+
+
+def _inputs(sf_dir) -> list[str]:
+    return [f"{sf_dir}/{t}.parquet" for t in STAR_TABLES]
+
+
+def _classifier_run(spark, sf_dir) -> ClassifierRun:
+    """Both classifiers fitted once per application and folder; the scored test rows are written."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _RUNS:
-        _RUNS[key] = P.train_classifiers(P.prepare_model_data(featured(spark, sf_dir)))
+        prepared = P.prepare(P.model_rows(featured(spark, sf_dir)))
+        try:
+            models = P.fit_all(prepared, P.classifiers())
+            scored = stored(spark, "classifier-scores", _inputs(sf_dir), lambda: P.scored(prepared, models))
+        finally:
+            prepared.close()
+        _RUNS[key] = ClassifierRun(models, scored, P.slot_dictionary(prepared.train_rows))
     return _RUNS[key]
 
 
 @query("classifier_metrics")
 def q_classifier_metrics(spark, sf_dir):
-    return P.metrics_table(spark, _classifier_run(spark, sf_dir).metrics)
+    return E.classifier_quality(_classifier_run(spark, sf_dir).scored, ["model"])
 
 
 @query("classifier_confusion")
 def q_classifier_confusion(spark, sf_dir):
-    run = _classifier_run(spark, sf_dir)
-    return P.confusion_counts(run.models["RandomForest"], run.test)
+    scored = _classifier_run(spark, sf_dir).scored.filter("model = 'RandomForest'").drop("model")
+    return E.confusion(scored)
 
 
 @query("classifier_importance")
 def q_classifier_importance(spark, sf_dir):
     run = _classifier_run(spark, sf_dir)
-    return P.feature_importance(run, run.test, top=15)
+    return P.feature_importance(run.models["RandomForest"], run.slots, top=15)
 
 
 @query("regressor_metrics")
 def q_regressor_metrics(spark, sf_dir):
-    _, metrics = P.train_regressor(P.prepare_model_data(featured(spark, sf_dir)))
-    return spark.createDataFrame(metrics, "metric string, value double")
+    prepared = P.prepare(P.model_rows(featured(spark, sf_dir)))
+    try:
+        scored = P.scored(prepared, P.fit_all(prepared, P.regressor()), P.REG_LABEL)
+        return spark.createDataFrame(E.regression_quality(scored).collect(), "metric string, value double")
+    finally:
+        prepared.close()
+
+
+@query("model_split", O.with_model_rows("SELECT CASE WHEN draw < 0.8 THEN 'train' ELSE 'test' END AS side, "
+                                        "is_delayed, count(*) AS flights FROM model_rows GROUP BY 1, 2"))
+def q_model_split(spark, sf_dir):
+    sides = zip(("train", "test"), E.keyed_split(P.model_rows(featured(spark, sf_dir))))
+    train, test = (rows.select(F.lit(side).alias("side"), P.CLASS_LABEL) for side, rows in sides)
+    return train.unionByName(test).groupBy("side", P.CLASS_LABEL).agg(F.count(F.lit(1)).alias("flights"))
+
+
+@query("feature_slots", O.feature_slots())
+def q_feature_slots(spark, sf_dir):
+    train, _ = E.keyed_split(P.model_rows(featured(spark, sf_dir)))
+    return P.slot_dictionary(train)
+
+
+RATE_KEYS = ["op_unique_carrier", "dep_hour"]
+
+
+def _rate_scores(spark, sf_dir) -> DataFrame:
+    """The test rows scored by the training delay rate of their airline and hour."""
+    train, test = E.keyed_split(P.model_rows(featured(spark, sf_dir)).withColumn("label", F.col(P.CLASS_LABEL).cast("double")))
+    return E.rate_scores(train, test, RATE_KEYS)
+
+
+@query("rate_classifier_metrics", O.rate_metrics())
+def q_rate_classifier_metrics(spark, sf_dir):
+    return E.classifier_quality(_rate_scores(spark, sf_dir))
+
+
+@query("rate_classifier_confusion", O.rate_confusion())
+def q_rate_classifier_confusion(spark, sf_dir):
+    return E.confusion(_rate_scores(spark, sf_dir))
 
 
 # --- file round trip (IO1, IO3) ------------------------------------------------
 
 
+def flights_csv(spark, sf_dir) -> str:
+    """The raw flight table as a folder of header CSV, written once: a user's own files."""
+    return stored_path(spark, "flights-csv", _inputs(sf_dir), lambda path: save_table(raw(spark, sf_dir), path, fmt="csv"))
+
+
+def csv_tables(spark, sf_dir) -> FlightTables:
+    return flight_files(spark, flights_csv(spark, sf_dir))
+
+
 @query("flights_from_csv", O.with_raw("SELECT * FROM flights_raw"))
 def q_flights_from_csv(spark, sf_dir):
-    """The raw flight table written as header CSV and read back with the fixed schema."""
-    path = scratch_path(spark, sf_dir, "flights_raw_csv")
-    save_table(raw(spark, sf_dir), path, fmt="csv")
-    return load_flights(spark, path, fmt="csv")
+    """The raw flight table read back from CSV with the fixed schema."""
+    return load_flights(spark, flights_csv(spark, sf_dir), fmt="csv")
+
+
+@query("csv_flights_clean", ORACLE["flights_clean"])
+def q_csv_flights_clean(spark, sf_dir):
+    return csv_tables(spark, sf_dir).clean
+
+
+@query("csv_duplicate_stats", ORACLE["duplicate_stats"])
+def q_csv_duplicate_stats(spark, sf_dir):
+    t = csv_tables(spark, sf_dir)
+    return Q.duplicate_stats(t.raw, distinct=t.distinct)
+
+
+@query("csv_delay_by_airline", ORACLE["delay_by_airline"])
+def q_csv_delay_by_airline(spark, sf_dir):
+    return S.breakdown(csv_tables(spark, sf_dir).featured, "airline")
+
+
+# Planted bad cells of the CSV below: column, which flights (by number modulo 97), text.
+BAD_CELLS = [("day_of_month", 3, "x"), ("crs_dep_time", 3, "12.7"), ("dep_delay", 5, "n/a"), ("cancelled", 7, "99999999999"),
+             ("distance", 11, "far away")]
+
+
+def _spoilt_csv(spark, sf_dir) -> str:
+    """The raw flights as CSV with some cells that their columns cannot hold, written once."""
+    def write(path: str) -> None:
+        number = F.col("op_carrier_fl_num").cast("long") % 97
+        spoilt = {c: F.when(number == at, F.lit(text)).otherwise(F.col(c).cast("string")) for c, at, text in BAD_CELLS}
+        save_table(raw(spark, sf_dir).withColumns(spoilt), path)
+    return stored_path(spark, "flights-spoilt-csv", _inputs(sf_dir), write)
+
+
+@query("csv_rejected_cells", O.with_raw(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{text}' AS text, count(*) AS cells FROM flights_raw "
+    f"WHERE CAST(op_carrier_fl_num AS BIGINT) % 97 = {at}" for c, at, text in BAD_CELLS)))
+def q_csv_rejected_cells(spark, sf_dir):
+    rejected = load_rejects(spark, _spoilt_csv(spark, sf_dir))
+    return rejected.groupBy(F.col("column").alias("column_name"), "text").agg(F.count(F.lit(1)).alias("cells"))
+
+
+@query("airport_bubbles_csv", ORACLE["airport_bubbles"])
+def q_airport_bubbles_csv(spark, sf_dir):
+    """Coordinates from a file in which every code is repeated with other values; the least row stays."""
+    coords = coords_for(spark, sf_dir)
+    twice = coords.unionByName(coords.withColumns({"name": F.concat("name", F.lit(" (old)")), "lat": F.col("lat") + 1}))
+    path = stored_path(spark, "coords-csv", [f"{sf_dir}/nation.parquet"], lambda p: save_table(twice, p))
+    return N.airport_bubbles(featured(spark, sf_dir), read_dimension(spark, path), min_flights=200, on_repeat="least")
 
 
 # --- further inventory forms (JN1, AD5 square, AN15/AN16/AN18/CL7 wide, TK3, TK5) ---
 
 @query("airport_traffic_outer_join", ORACLE["airport_traffic"])
 def q_airport_traffic_outer_join(spark, sf_dir):
-    return N.airport_traffic_join(featured(spark, sf_dir), top=20)
+    return N.traffic_by_join(featured(spark, sf_dir), top=20)
 
 
 _CORR_WIDE = ", ".join(
-    f"max(corr) FILTER (WHERE col_b = '{b}') AS {b}" for b in R.CORR_COLUMNS)
+    f"max(corr) FILTER (WHERE col_b = '{b}') AS {b}" for b in O.CORRELATED)
 
 
 @query("correlation_matrix", O.with_featured(
@@ -561,25 +653,36 @@ def q_correlation_matrix(spark, sf_dir):
     return R.correlation_matrix(featured(spark, sf_dir))
 
 
+_LISTED = ["dep_delay", "arr_delay", "distance"]
+
+
+@query("correlations_listed", O.with_featured(" UNION ALL ".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, {O.r_stable(f'corr({a}, {b})', 6)} AS corr FROM flights_featured "
+    f"WHERE {' AND '.join(f'{c} IS NOT NULL' for c in _LISTED)}" for a in _LISTED for b in _LISTED)))
+def q_correlations_listed(spark, sf_dir):
+    """CL12: a wanted column that the table does not have is left out."""
+    return R.correlation_long(featured(spark, sf_dir), ["dep_delay", "arr_delay", "gate_delay", "distance"])
+
+
 @query("cause_totals_wide", O.with_featured(
     "SELECT " + ", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in CAUSES)
     + " FROM flights_featured"))
 def q_cause_totals_wide(spark, sf_dir):
-    return S.delay_cause_totals(featured(spark, sf_dir))
+    return S.per_cause(featured(spark, sf_dir), S.minutes)
 
 
 @query("cause_frequency_wide", O.with_featured(
     "SELECT " + ", ".join(f"{O.r(f'100 * avg(has_{c})', 2)} AS {c}" for c in CAUSES)
     + " FROM flights_featured"))
 def q_cause_frequency_wide(spark, sf_dir):
-    return S.delay_cause_frequency(featured(spark, sf_dir))
+    return S.per_cause(featured(spark, sf_dir), S.share_of_recorded)
 
 
 @query("cause_by_month_wide", O.with_featured(
     "SELECT month, " + ", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in CAUSES)
     + " FROM flights_featured GROUP BY month"))
 def q_cause_by_month_wide(spark, sf_dir):
-    return S.cause_share_by_month(featured(spark, sf_dir))
+    return S.per_cause(featured(spark, sf_dir), S.minutes, ["month"])
 
 
 @query("null_counts_wide", O.with_raw(f"SELECT {_NULLS} FROM flights_raw"))
@@ -591,7 +694,7 @@ def q_null_counts_wide(spark, sf_dir):
     f"SELECT origin, {O.SUMMARY} FROM flights_featured GROUP BY origin HAVING count(*) >= 200 "
     "ORDER BY flights DESC, origin LIMIT 20"))
 def q_busiest_origins(spark, sf_dir):
-    by_origin = S.delays_by_origin_airport(featured(spark, sf_dir), 200)
+    by_origin = S.breakdown(featured(spark, sf_dir), "origin", 200)
     return SC.top_rows(by_origin, 20, F.desc("flights"), "origin")
 
 
@@ -601,33 +704,47 @@ def q_delay_scatter_bernoulli(spark, sf_dir):
 
 
 # --- approximate percentiles, the reference's own mode (AD2, AD4, AD12) ----------
-# percentile_approx has no exact SQL counterpart (it agrees with the exact
-# quantile only while groups stay below its accuracy, 10000 rows): rows-only.
+# One KLL sketch per airline and day is stored; the queries merge them. A sketch draws
+# random numbers, so its answers are held against their exact ranks: the SQL states
+# what is promised, every answer within the bound.
 
-@query("airline_percentiles_approx")
-def q_airline_percentiles_approx(spark, sf_dir):
-    return D.percentiles_by_group(featured(spark, sf_dir), min_flights=1000, exact=False)
+def _sketches(spark, sf_dir) -> DataFrame:
+    return stored(spark, "airline-day-sketches", _inputs(sf_dir),
+                  lambda: D.sketch_values(featured(spark, sf_dir), "arr_delay", ["op_unique_carrier", "fl_date"]))
 
 
-@query("airline_score_approx")
-def q_airline_score_approx(spark, sf_dir):
-    return SC.airline_scorecard(featured(spark, sf_dir), min_flights=1000, exact=False)
+_POINTS = dict(zip(D.PERCENTILE_LABELS, D.PERCENTILES))
 
 
-@query("arr_delay_percentiles_approx")
+@query("arr_delay_percentiles_approx", O.with_featured(" UNION ALL ".join(
+    f"SELECT '{lab}' AS percentile, count(arr_delay) AS flights, TRUE AS within_bound FROM flights_featured" for lab in O.PERCENTILES)))
 def q_arr_delay_percentiles_approx(spark, sf_dir):
-    return D.delay_percentiles(featured(spark, sf_dir), exact=False, rel_error=0.001)
+    answers = D.percentiles_of(D.merged_sketches(_sketches(spark, sf_dir)), _POINTS)
+    return D.with_rank_error(answers, featured(spark, sf_dir), "arr_delay").select("percentile", "flights", "within_bound")
 
 
-# --- AG1 with the notebook's per-dimension HAVING thresholds -----------------------
+@query("airline_percentiles_approx", O.with_featured(" UNION ALL ".join(
+    f"SELECT op_unique_carrier, '{lab}' AS percentile, count(*) AS flights, TRUE AS within_bound FROM flights_featured "
+    "GROUP BY op_unique_carrier HAVING count(*) >= 1000" for lab in ("P50", "P90"))))
+def q_airline_percentiles_approx(spark, sf_dir):
+    by = ["op_unique_carrier"]
+    answers = D.percentiles_of(D.merged_sketches(_sketches(spark, sf_dir), by), {"P50": 0.5, "P90": 0.9}, by)
+    checked = D.with_rank_error(answers, featured(spark, sf_dir), "arr_delay", by)
+    return checked.filter("flights >= 1000").select(*by, "percentile", "flights", "within_bound")
 
-_AG1_HAVING = {"origin": 200, "dest": 200, "route": 100}
 
+@query("airline_score_approx", O.with_featured(
+    f"SELECT op_unique_carrier, flights, on_time_pct, avg_arr_delay, big_delay_pct, TRUE AS p90_within_bound FROM ({_SCORE})"))
+def q_airline_score_approx(spark, sf_dir):
+    by = ["op_unique_carrier"]
+    answers = D.percentiles_of(D.merged_sketches(_sketches(spark, sf_dir), by), SC.SCORE_PERCENTILES, by)
+    checked = D.with_rank_error(answers, featured(spark, sf_dir), "arr_delay", by)
+    plain = SC.scorecard(featured(spark, sf_dir), points={}, min_flights=1000)
+    return plain.join(checked.select(*by, F.col("within_bound").alias("p90_within_bound")), by)
+
+
+# --- AG1 with the notebook's per-dimension HAVING thresholds -----------------------
 
-@query("delay_all_dimensions_having", O.with_featured(" UNION ALL ".join(
-    f"SELECT '{nm}' AS dimension, CAST({col} AS VARCHAR) AS key, {O.SUMMARY} "
-    f"FROM flights_featured GROUP BY {col}"
-    + (f" HAVING count(*) >= {_AG1_HAVING[nm]}" if nm in _AG1_HAVING else "")
-    for nm, col in S.DIMENSIONS.items())))
+@query("delay_all_dimensions_having", O.all_breakdowns(O.LEAST_FLIGHTS))
 def q_delay_all_dimensions_having(spark, sf_dir):
-    return S.delay_all_dimensions(featured(spark, sf_dir), min_flights=_AG1_HAVING)
+    return S.all_breakdowns(featured(spark, sf_dir), min_flights={"origin": 200, "dest": 200, "route": 100})

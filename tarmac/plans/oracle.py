@@ -198,3 +198,141 @@ def summary_by(key: str, min_flights: int = 0, extra: str = "") -> str:
     having = f" HAVING count(*) >= {min_flights}" if min_flights else ""
     return with_featured(
         f"SELECT {key}, {SUMMARY}{extra} FROM flights_featured GROUP BY {key}{having}")
+
+
+# The reported percentile points.
+PERCENTILES = {"P10": 0.10, "P25": 0.25, "P50": 0.50, "P75": 0.75, "P90": 0.90, "P95": 0.95, "P99": 0.99}
+
+# --- segments ---------------------------------------------------------------------
+
+_MEANS = ["avg_arr_delay", "delayed_pct", "avg_taxi_out", "pct_longhaul"]
+PROFILES = f"""
+profiles AS (
+  SELECT * FROM (SELECT origin, count(*) AS flights, {r('avg(arr_delay)', 2)} AS avg_arr_delay,
+    {r('100 * avg(is_delayed)', 2)} AS delayed_pct, {r('avg(taxi_out)', 2)} AS avg_taxi_out,
+    {r('100 * avg(is_longhaul)', 2)} AS pct_longhaul FROM flights_featured GROUP BY origin)
+  WHERE flights >= CASE WHEN (SELECT count(*) FROM flights_featured) > 20000 THEN 1000 ELSE 50 END
+    AND origin IS NOT NULL AND {' AND '.join(f'{m} IS NOT NULL' for m in _MEANS)}
+)"""
+
+
+def _distance(a: str, b: str) -> str:
+    return f"list_sum(list_transform(list_zip({a}, {b}), lambda x: (x[1] - x[2]) * (x[1] - x[2])))"
+
+
+def _segments(most: int, sweep: str) -> str:
+    """Standardised profiles; the picked start; 20 rounds of K-Means for each k of the sweep."""
+    scaled = ", ".join(f"(CAST({m} AS DOUBLE) - avg({m}) OVER ()) / stddev_samp({m}) OVER ()" for m in ["flights", *_MEANS])
+    steps = [PROFILES, f"z AS MATERIALIZED (SELECT origin, flights, [{scaled}] AS v FROM profiles)",
+             "t1 AS MATERIALIZED (SELECT 0 AS c, v FROM z ORDER BY flights DESC, origin LIMIT 1)"]
+    for i in range(1, most):
+        steps.append(f"""t{i + 1} AS MATERIALIZED (SELECT * FROM t{i} UNION ALL SELECT {i}, v FROM (
+  SELECT z.origin, any_value(z.v) AS v, min({_distance('z.v', f't{i}.v')}) AS d FROM z, t{i} GROUP BY z.origin
+  ORDER BY d DESC, z.origin LIMIT 1))""")
+    steps.append(f"""m0 AS MATERIALIZED (SELECT k, t.c, t.v FROM t{most} t, (SELECT unnest({sweep}) AS k) ks
+  WHERE t.c < k AND k < (SELECT count(*) FROM z))""")
+    for i in range(21):
+        steps.append(f"""a{i} AS MATERIALIZED (SELECT m.k, z.origin, z.v, m.c FROM z, m{i} m
+  QUALIFY row_number() OVER (PARTITION BY m.k, z.origin ORDER BY {_distance('z.v', 'm.v')}, m.c) = 1)""")
+        if i < 20:
+            steps.append(f"""m{i + 1} AS MATERIALIZED (SELECT k, c, coalesce(w, m{i}.v) AS v FROM m{i} LEFT JOIN (
+  SELECT k, c, list(x ORDER BY j) AS w FROM (SELECT k, c, j, avg(v[j]) AS x FROM a{i}, (SELECT unnest([1, 2, 3, 4, 5]) AS j) GROUP BY k, c, j)
+  GROUP BY k, c) USING (k, c))""")
+    return ",\n".join(steps)
+
+
+def k_sweep() -> str:
+    pair = f"""pairs AS (SELECT a.k, a.origin, a.c AS own, b.c AS other, sum({_distance('a.v', 'b.v')}) AS d, count(*) AS n
+  FROM a20 a JOIN a20 b USING (k) GROUP BY a.k, a.origin, a.c, b.c),
+ab AS (SELECT k, origin, max(CASE WHEN own = other THEN n END) AS n, max(CASE WHEN own = other AND n > 1 THEN d / (n - 1) END) AS a,
+  min(CASE WHEN own <> other THEN d / n END) AS b FROM pairs GROUP BY k, origin)"""
+    return with_featured(f"SELECT CAST(k AS INTEGER) AS k, {r('avg(CASE WHEN n = 1 THEN 0 ELSE (b - a) / greatest(a, b) END)', 4)} AS silhouette "
+                         "FROM ab GROUP BY k", ctes=f"{_segments(6, '[2, 3, 4, 5, 6]')},\n{pair}")
+
+
+def _four() -> str:
+    return _segments(4, "[least(4, (SELECT count(*) - 1 FROM z))]")
+
+
+def airport_segments() -> str:
+    return with_featured("SELECT p.*, CAST(a20.c AS INTEGER) AS cluster FROM profiles p JOIN a20 USING (origin)", ctes=_four())
+
+
+def segment_profiles() -> str:
+    means = ", ".join(f"{r(f'avg({m})', 2)} AS {m}" for m in ["flights", *_MEANS])
+    return with_featured(f"SELECT CAST(c AS INTEGER) AS cluster, {means}, count(*) AS n_airports FROM profiles JOIN a20 USING (origin) GROUP BY c",
+                         ctes=_four())
+
+
+# --- models -----------------------------------------------------------------------
+
+_CATEGORIES = ["op_unique_carrier", "origin", "dest", "season", "day_part"]
+_NUMBERS = ["month", "day_of_week", "dep_hour", "distance", "is_weekend", "is_redeye"]
+_IDENTITY = ("strftime(fl_date, '%Y-%m-%d'), op_unique_carrier, CAST(CAST(op_carrier_fl_num AS BIGINT) AS VARCHAR), origin, dest, "
+             "CAST(crs_dep_time AS VARCHAR)")
+MODEL_ROWS = f"""
+model_rows AS (
+  SELECT {', '.join([*_CATEGORIES, *_NUMBERS])}, is_delayed, arr_delay,
+    CAST('0x' || substr(md5(concat_ws('|', 'split-42', {_IDENTITY})), 1, 8) AS BIGINT) / 4294967296.0 AS draw
+  FROM flights_featured WHERE {' AND '.join(f'{c} IS NOT NULL' for c in [*_CATEGORIES, *_NUMBERS, 'is_delayed', 'arr_delay'])}
+)"""
+
+
+def with_model_rows(select: str, ctes: str = "") -> str:
+    return with_featured(select, ctes=f"{MODEL_ROWS},\n{ctes}" if ctes else MODEL_ROWS)
+
+
+def feature_slots() -> str:
+    values = " UNION ALL ".join(f"SELECT {i} AS place, '{c}' AS source, {c} AS value, count(*) AS n FROM model_rows WHERE draw < 0.8 GROUP BY {c}"
+                                for i, c in enumerate(_CATEGORIES))
+    numbers = " UNION ALL ".join(f"SELECT CAST((SELECT count(*) FROM counted) + {i} AS BIGINT), '{c}', NULL, NULL" for i, c in enumerate(_NUMBERS))
+    return with_model_rows(
+        "SELECT CAST(row_number() OVER (ORDER BY place, n DESC, value) - 1 AS BIGINT) AS slot, source, value, n AS rows FROM counted "
+        f"UNION ALL {numbers}", f"counted AS ({values})")
+
+
+_RATES = """base AS (SELECT avg(CAST(is_delayed AS DOUBLE)) AS b FROM model_rows WHERE draw < 0.8),
+rates AS (SELECT op_unique_carrier, dep_hour, (sum(is_delayed) + 20.0 * any_value(b)) / (count(*) + 20.0) AS rate
+  FROM model_rows, base WHERE draw < 0.8 GROUP BY op_unique_carrier, dep_hour),
+scored AS (SELECT is_delayed AS label, coalesce(rate, b) AS score, CASE WHEN coalesce(rate, b) > b THEN 1 ELSE 0 END AS prediction
+  FROM base, model_rows m LEFT JOIN rates USING (op_unique_carrier, dep_hour) WHERE m.draw >= 0.8)"""
+
+
+def rate_confusion() -> str:
+    return with_model_rows(
+        "SELECT CAST(label AS DOUBLE) AS label, CAST(prediction AS DOUBLE) AS prediction, count(*) AS n, "
+        "CASE WHEN label = prediction THEN 'T' ELSE 'F' END || CASE WHEN prediction = 1 THEN 'P' ELSE 'N' END AS outcome "
+        "FROM scored GROUP BY label, prediction", _RATES)
+
+
+def rate_metrics() -> str:
+    # AUC from mean ranks of the positive rows, F1 from precision and recall
+    ranks = f"""ranks AS (SELECT label, prediction, rank() OVER (ORDER BY {r('score', 6)}) + (count(*) OVER (PARTITION BY {r('score', 6)}) - 1) / 2.0 AS rank
+  FROM scored),
+n AS (SELECT count(*) FILTER (label = 1) AS p, count(*) FILTER (label = 0) AS q, sum(rank) FILTER (label = 1) AS s,
+  count(*) FILTER (label = 1 AND prediction = 1) AS tp, count(*) FILTER (label = 0 AND prediction = 0) AS tn FROM ranks),
+f AS (SELECT *, tp + (q - tn) AS called_p, tn + (p - tp) AS called_q FROM n)"""
+    score = "(p * coalesce(2.0 * tp / (p + called_p), 0) + q * coalesce(2.0 * tn / (q + called_q), 0)) / (p + q)"
+    return with_model_rows(
+        f"SELECT 'AUC' AS metric, {r('(s - p * (p + 1) / 2.0) / (CAST(p AS DOUBLE) * q)', 4)} AS value FROM f "
+        f"UNION ALL SELECT 'accuracy', {r('CAST(tp + tn AS DOUBLE) / (p + q)', 4)} FROM f UNION ALL SELECT 'f1', {r(score, 4)} FROM f",
+        f"{_RATES},\n{ranks}")
+
+
+# --- breakdowns -------------------------------------------------------------------
+
+# The dimensions and their key columns, row thresholds and the names of flags.
+DIMENSIONS = {"airline": "op_unique_carrier", "origin": "origin", "dest": "dest", "route": "route", "month": "month",
+              "weekday": "day_of_week", "hour": "dep_hour", "season": "season", "day_part": "day_part",
+              "distance_band": "distance_band", "weekend": "is_weekend", "state": "origin_state_nm", "redeye": "is_redeye"}
+LEAST_FLIGHTS = {"origin": 200, "dest": 200, "route": 100}
+KINDS = {"weekend": ", CASE WHEN is_weekend = 1 THEN 'Weekend' ELSE 'Weekday' END AS kind",
+         "redeye": ", CASE WHEN is_redeye = 1 THEN 'Red-eye' ELSE 'Daytime' END AS kind"}
+CORRELATED = ["dep_delay", "arr_delay", "taxi_out", "taxi_in", "distance", "air_time", "crs_elapsed_time", "dep_hour"]
+DESCRIBED = ["dep_delay", "arr_delay", "distance", "air_time", "taxi_out"]
+
+
+def all_breakdowns(least: dict[str, int]) -> str:
+    return with_featured(" UNION ALL ".join(
+        f"SELECT '{name}' AS dimension, CAST({column} AS VARCHAR) AS key, {SUMMARY} FROM flights_featured GROUP BY {column}"
+        + (f" HAVING count(*) >= {least[name]}" if name in least else "") for name, column in DIMENSIONS.items()))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
@@ -60,6 +61,26 @@ def scratch_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_FOLDERS: dict[str, list[str]] = {}
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for one intermediate table, remembered for ``release_scratch``."""
+    path = f"{scratch_root(spark).rstrip('/')}/tarmac/{name}-{uuid.uuid4().hex}"
+    _FOLDERS.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete every folder that ``scratch_folder`` gave this application (by the Hadoop file system
+    API, so on shared storage too); returns how many held anything."""
+    conf, removed = spark.sparkContext._jsc.hadoopConfiguration(), 0
+    for path in _FOLDERS.pop(spark.sparkContext.applicationId, []):
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        removed += bool(p.getFileSystem(conf).delete(p, True))
+    return removed
+
+
 # Target shuffle partition size for the big one-off writes (de-duplication of
 # the whole flight table). Parquet expands several-fold into shuffle rows.
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024

@@ -4,7 +4,8 @@ For the test data both are derived from the ``nation`` table (FIXTURES §3):
 airport ``N<k>`` sits at (25 + k, -70 - 2k) for nations 0-21 (later keys stay
 without coordinates, to exercise the dropped-unmatched rule), and nation names
 map to ``S<k>`` except keys with k % 8 = 7. Real deployments pass their own
-dimension tables with the same columns, e.g. from ``read_dimension``.
+dimension tables with the same columns, e.g. from ``read_dimension``; ``unique_by`` sees to it
+that a repeated key multiplies no rows.
 """
 
 from __future__ import annotations
@@ -42,15 +43,41 @@ def state_codes_for(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state_codes_from_nations(spark.read.parquet(f"{sf_dir}/nation.parquet"))
 
 
-def read_dimension(spark: SparkSession, path: str, fmt: str = "csv", schema: str | None = None,
+# The columns of a coordinate file and of a state code file.
+COORDINATES = "code string, name string, lat double, lon double"
+STATES = "state string, code string"
+
+
+def read_dimension(spark: SparkSession, path: str, schema: str = COORDINATES, fmt: str = "csv",
                    header: bool = True) -> DataFrame:
-    """A dimension file (CSV with header by default, or Parquet)."""
+    """IO4: a dimension file in a fixed schema (CSV, or Parquet cast to it).
+
+    A CSV file's header must name the schema's columns, and a cell that its type cannot hold is
+    an error, so no latitude comes out as text or NULL unnoticed.
+    """
     if fmt == "parquet":
-        return spark.read.parquet(path)
-    reader = spark.read.option("header", header)
-    if schema:
-        reader = reader.schema(schema)
-    return reader.csv(path)
+        fields = spark.createDataFrame([], schema).schema.fields
+        return spark.read.parquet(path).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
+    return (spark.read.schema(schema).option("header", header).option("enforceSchema", False)
+            .option("mode", "FAILFAST").csv(path))
+
+
+def unique_by(dimension: DataFrame, key: str, on_repeat: str = "raise") -> DataFrame:
+    """The dimension with one row a key, so that a join on it multiplies no rows.
+
+    Rows that repeat a key with other values raise an error when the query runs
+    (``on_repeat="raise"``), or the least of them by its columns in order stays (``"least"``).
+    A NULL key joins nothing and is left out.
+    """
+    if on_repeat not in ("raise", "least"):
+        raise ValueError(f"on_repeat is 'raise' or 'least', not {on_repeat!r}")
+    rest = F.struct(*[F.col(c) for c in dimension.columns if c != key])
+    per = dimension.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(rest).alias("_least"), F.max(rest).alias("_most"))
+    row = F.col("_least")
+    if on_repeat == "raise":
+        message = F.concat(F.lit(f"repeated {key} in a dimension: "), F.col(key).cast("string"))
+        row = F.when(F.col("_least").eqNullSafe(F.col("_most")), row).otherwise(F.raise_error(message))
+    return per.select(key, row.alias("_row")).select(key, "_row.*").select(*dimension.columns)
 
 
 # US state / territory names and their two-letter postal codes.

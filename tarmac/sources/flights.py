@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DoubleType, IntegerType, StringType, StructField, StructType
 
@@ -21,10 +21,35 @@ def typed(name: str, kind: DataType) -> Column:
     finite or does not fit is NULL, and the rest of its row is kept."""
     c = F.col(name)
     if isinstance(kind, IntegerType):
-        c = F.when(c.try_cast("double") % 1 == 0, c)
+        wide = c.try_cast("double")
+        c = F.when(wide % 1 == 0, wide)
     return c.try_cast(kind).alias(name)
 
 
+def rejected_cells(spark: SparkSession, path: str, schema: StructType = FLIGHT_SCHEMA, header: bool = True) -> DataFrame:
+    """IO1: (file, line, column, text) of every cell that its column's type cannot hold.
+
+    ``load_flights`` reads such a cell as NULL; this is the record of what it was. Files are read
+    once more as text; ``line`` counts the file's lines from 1, the header apart. A file's
+    blocks are read by different tasks, so a line's number is the lines of the file's earlier
+    blocks (one row a block is aggregated for them) and its place in its own.
+    """
+    names = [f.name for f in schema.fields]
+    text = StructType([StructField(n, StringType(), True) for n in names])
+    lines = (spark.read.option("header", header).schema(text).csv(path)
+             .select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"),
+                     F.monotonically_increasing_id().alias("_at")))
+    cells = F.array(*[F.when(F.col(f.name).isNotNull() & typed(f.name, f.dataType).isNull(),
+                             F.struct(F.lit(f.name).alias("column"), F.col(f.name).alias("text")))
+                      for f in schema.fields if not isinstance(f.dataType, StringType)])
+    bad = lines.select("file", "_block", "_at", F.inline(F.filter(cells, lambda c: c.isNotNull())))
+    blocks = lines.groupBy("file", "_block").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    line = F.col("_before") + F.col("_at") - F.col("_first") + 1
+    return bad.join(blocks, ["file", "_block"]).select("file", line.alias("line"), "column", "text")
+
+
 def load_flights(spark: SparkSession, path: str, fmt: str = "csv",
                  schema: StructType = FLIGHT_SCHEMA, mode: str = "PERMISSIVE",
                  header: bool = True, corrupt_col: str | None = None) -> DataFrame:

@@ -1,127 +1,147 @@
-"""Written intermediate tables in the shared scratch folder.
-
-The flight table is derived once per application and data folder, written as
-Parquet under ``spark.checkpoint.dir`` and read back by every query. That cuts
-the lineage (a lost executor re-reads files instead of re-running the joins),
-lets each query read only the columns it needs, and replaces an in-memory cache
-that would not fit at full scale.
+"""Write-once tables in the shared scratch folder, for any input files.
+
+A table is stored under its name and the state of the files it was made from: their names,
+sizes and modification times. The first request writes it (Parquet by default) under
+``spark.checkpoint.dir``; later ones read those files. That cuts the lineage (a lost
+executor re-reads files instead of re-running joins), lets each query read only the columns
+it needs, and takes the place of an in-memory cache that would not fit at full scale. A file
+that was added, removed or changed gives another state, so the table is written anew; the
+older one stays for DataFrames that still read it. A folder counts only with the writer's
+commit marker, so a write that broke off is done again. ``release_tables`` deletes all that
+an application stored.
+
+``flight_files`` stores the tables of a user's own flight files, ``flight_tables`` those of
+the flights derived from a folder of the test data.
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
 import threading
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tarmac.functions.derive import add_features
-from tarmac.operators.quality import (clean_from_distinct, dates_round_trip, distinct_counts,
-                                      merge_counts, parse_dates)
-from tarmac.session import path_bytes, scratch_root, shuffle_partitions_for
-from tarmac.sources.star import flights_for
-
-_LOCK = threading.Lock()
-_WRITTEN: dict[tuple[str, str, str], str] = {}
-_READS: dict[tuple[str, str, str], DataFrame] = {}
+from tarmac.operators.quality import clean_from_distinct, distinct_counts
+from tarmac.session import path_bytes, release_scratch, scratch_folder, shuffle_partitions_for
+from tarmac.sources.flights import load_flights
+from tarmac.sources.star import STAR_TABLES, flights_for
 
+MARKER = "_SUCCESS"
 
-def write_table(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+_GUARD = threading.Lock()  # of the dictionaries; a table's own lock is held while it is written
+_LOCKS: dict[tuple, threading.Lock] = {}
+_PATHS: dict[tuple, str] = {}
+_READS: dict[str, DataFrame] = {}
 
 
-def scratch_path(spark: SparkSession, key: str, name: str) -> str:
-    """A folder for table ``name`` of data key ``key`` in this application."""
-    app = spark.sparkContext.applicationId
-    digest = hashlib.sha1(f"{app}|{os.path.abspath(key)}".encode()).hexdigest()[:16]
-    return f"{scratch_root(spark).rstrip('/')}/tarmac-tables/{digest}/{name}"
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def stored(spark: SparkSession, key: str, name: str, build,
-           sized_by: str | list[str] | None = None) -> DataFrame:
-    """Write ``build()`` once per (application, key, name); return a read of the files.
+def input_state(spark: SparkSession, paths: Sequence[str]) -> str:
+    """Digest of the names, sizes and modification times of the files at some paths or globs.
 
-    The resolved read is kept too, so later queries skip listing the files.
-    ``sized_by`` names input paths whose total size sets the job's shuffle
-    partition count (see ``shuffle_partitions_for``).
+    A folder's files are listed and folded together by Spark (sums over all files in it), so a
+    folder of a million files sends one row to the driver.
     """
-    app = spark.sparkContext.applicationId
-    ident = (app, key, name)
-    with _LOCK:
-        if ident not in _READS:
-            path = scratch_path(spark, key, name)
-            if sized_by is not None:
-                paths = [sized_by] if isinstance(sized_by, str) else sized_by
-                with shuffle_partitions_for(spark, sum(path_bytes(spark, p) for p in paths)):
-                    write_table(build(), path)
-            else:
-                write_table(build(), path)
-            _WRITTEN[ident] = path
-            _READS[ident] = spark.read.parquet(path)
-        return _READS[ident]
-
-
-@dataclass
+    parts = []
+    for path in sorted(paths):
+        p, fs = _file_system(spark, path)
+        for status in fs.globStatus(p) or []:
+            name = status.getPath().toString()
+            if not status.isDirectory():
+                parts.append((name, 1, status.getLen(), status.getModificationTime()))
+                continue
+            file = F.xxhash64("path", "length", "modificationTime")
+            listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(name)
+                      .agg(F.count(F.lit(1)), F.sum("length"), F.bit_xor(file), F.sum(file.cast("decimal(38,0)"))).first())
+            parts.append((name, *listed))
+    return hashlib.sha1(repr(parts).encode()).hexdigest()
+
+
+def stored_path(spark: SparkSession, name: str, inputs: Sequence[str],
+                write: Callable[[str], None]) -> str:
+    """The committed folder of a table, written by ``write(folder)`` unless it is there."""
+    key = (spark.sparkContext.applicationId, name, tuple(sorted(inputs)), input_state(spark, inputs))
+    with _GUARD:
+        lock = _LOCKS.setdefault(key, threading.Lock())
+    with lock:
+        path = _PATHS.get(key)
+        if path is not None:
+            marker, fs = _file_system(spark, f"{path}/{MARKER}")
+            if fs.exists(marker):
+                return path
+        path = scratch_folder(spark, name)
+        write(path)
+        _PATHS[key] = path
+        return path
+
+
+def stored(spark: SparkSession, name: str, inputs: Sequence[str], build: Callable[[], DataFrame],
+           sized_by: Sequence[str] | None = None) -> DataFrame:
+    """``build()`` written once per state of ``inputs``; a read of its files.
+
+    The read is kept, so later queries skip listing the files. The size of the files at
+    ``sized_by`` (default: the inputs) sets the job's shuffle partition count.
+    """
+    def write(path: str) -> None:
+        with shuffle_partitions_for(spark, sum(path_bytes(spark, p) for p in sized_by or inputs)):
+            build().write.parquet(path)
+
+    path = stored_path(spark, name, inputs, write)
+    with _GUARD:
+        if path not in _READS:
+            _READS[path] = spark.read.parquet(path)
+        return _READS[path]
+
+
+@dataclass(frozen=True)
 class FlightTables:
+    """Raw rows, distinct date-parsed rows with their copy counts (one all-column shuffle, which
+    the duplicate statistics and the cleaning waterfall read too), and the cleaned and featured
+    views over them: the cleaning filters reach the Parquet scan, derived columns are computed
+    only for the columns read."""
     raw: DataFrame
-    distinct_raw: DataFrame
     distinct: DataFrame
-    clean: DataFrame
-    featured: DataFrame
 
+    @property
+    def clean(self) -> DataFrame:
+        return clean_from_distinct(self.distinct)
 
-_TABLES: dict[tuple[str, str], FlightTables] = {}
+    @property
+    def featured(self) -> DataFrame:
+        return add_features(self.clean)
+
+
+def _tables(spark: SparkSession, inputs: Sequence[str], label: str, build: Callable[[], DataFrame]) -> FlightTables:
+    raw = stored(spark, f"{label}-raw", inputs, build)
+    return FlightTables(raw, stored(spark, f"{label}-distinct", inputs, lambda: distinct_counts(raw)))
+
+
+def flight_files(spark: SparkSession, path: str, fmt: str = "csv") -> FlightTables:
+    """The tables of flight files (a file, folder or glob), read with the fixed schema."""
+    return _tables(spark, [path], f"files-{fmt}", lambda: load_flights(spark, path, fmt=fmt))
 
 
 def flight_tables(spark: SparkSession, sf_dir: str) -> FlightTables:
-    """Raw, distinct (with copy counts), cleaned and featured flight tables.
-
-    Written: the raw flights and their distinct rows with copy counts (the one
-    all-column shuffle; duplicate statistics read it directly). The date-parsed
-    distinct rows the cleaning needs are a projection of it when every date text
-    round-trips through the parser (one LIMIT-1 scan checks), else a written
-    re-aggregation. Clean and featured are lazy views: the cleaning filters reach
-    the Parquet scan, derived columns are computed only for the columns read.
+    """The tables of the flights derived from a test-data folder's star schema.
+
+    The lineitem x orders hash join builds orders per shuffle partition: partitions sized
+    from the inputs keep that build side small.
     """
-    key = os.path.abspath(sf_dir)
-    ident = (spark.sparkContext.applicationId, key)
-    if ident not in _TABLES:
-        # the lineitem x orders hash join builds orders per shuffle partition:
-        # partitions sized from both inputs keep that build side small
-        raw = stored(spark, key, "flights_raw", lambda: flights_for(spark, sf_dir),
-                     sized_by=[f"{sf_dir}/lineitem.parquet", f"{sf_dir}/orders.parquet"])
-        raw_path = _WRITTEN[(ident[0], key, "flights_raw")]
-        distinct_raw = stored(spark, key, "flights_distinct_raw", lambda: distinct_counts(raw),
-                              sized_by=raw_path)
-        if dates_round_trip(distinct_raw):
-            distinct = parse_dates(distinct_raw)
-        else:
-            distinct = stored(spark, key, "flights_distinct",
-                              lambda: merge_counts(parse_dates(distinct_raw)), sized_by=raw_path)
-        clean = clean_from_distinct(distinct)
-        _TABLES[ident] = FlightTables(raw=raw, distinct_raw=distinct_raw, distinct=distinct,
-                                      clean=clean, featured=add_features(clean))
-    return _TABLES[ident]
+    inputs = [f"{sf_dir}/{t}.parquet" for t in STAR_TABLES]
+    return _tables(spark, inputs, "star", lambda: flights_for(spark, sf_dir))
 
 
 def release_tables(spark: SparkSession) -> int:
-    """Delete the scratch tables this application wrote; returns how many.
-
-    Only paths recorded by ``stored``/``scratch_path`` users for the current
-    application id are removed (through the Hadoop file system API, so shared
-    storage works too); cached reads of them are dropped.
-    """
+    """Delete the scratch folders this application wrote; returns how many were there."""
     app = spark.sparkContext.applicationId
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    removed = 0
-    with _LOCK:
-        for ident in [i for i in _WRITTEN if i[0] == app]:
-            p = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop(ident))
-            _READS.pop(ident, None)
-            if p.getFileSystem(conf).delete(p, True):
-                removed += 1
-        for ident in [i for i in _TABLES if i[0] == app]:
-            _TABLES.pop(ident)
-    return removed
+    with _GUARD:
+        for key in [k for k in _PATHS if k[0] == app]:
+            _READS.pop(_PATHS.pop(key), None)
+    return release_scratch(spark)

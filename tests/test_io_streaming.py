@@ -38,7 +38,7 @@ def test_save_and_reload_round_trip(spark):
     assert save_table(raw, f"{d}/csv") is raw
     back = load_flights(spark, f"{d}/csv")
     assert sorted(back.collect()) == sorted(raw.collect())
-    small = S.delays_by_airline(flight_tables(spark, SF001).featured)
+    small = S.breakdown(flight_tables(spark, SF001).featured, "airline")
     save_table(small, f"{d}/one", single_file=True)
     assert len([p for p in __import__("os").listdir(f"{d}/one") if p.endswith(".csv")]) == 1
 

@@ -78,23 +78,16 @@ def test_empty_input(spark):
     assert [r.rows for r in Q.cleaning_waterfall(df).orderBy("step_no").collect()] == [0] * 6
 
 
-def test_parsed_distinct_merges_when_dates_do_not_round_trip(spark):
+def test_distinct_rows_merge_when_texts_parse_alike(spark):
     base = dict(year=2024, month=1, op_unique_carrier="AA", cancelled=0, diverted=0,
                 dep_delay=1.0, arr_delay=1.0)
-    ok = flight_rows(spark, [dict(base, fl_date="2024-01-05"), dict(base, fl_date="2024-01-06"),
-                             dict(base, fl_date="2024-01-05")])
-    assert Q.dates_round_trip(Q.distinct_counts(ok))
-    d = Q.parsed_distinct(Q.distinct_counts(ok))
-    assert sorted(r[Q.COPY_COUNT] for r in d.collect()) == [1, 2]
-    bad = flight_rows(spark, [dict(base, fl_date="junk"), dict(base, fl_date="other junk"),
-                              dict(base, fl_date="2024-01-05")])
-    assert not Q.dates_round_trip(Q.distinct_counts(bad))
-    d = Q.parsed_distinct(Q.distinct_counts(bad))
-    got = sorted((r.fl_date is None, r[Q.COPY_COUNT]) for r in d.collect())
-    assert got == [(False, 1), (True, 2)]
-    # same rows as the direct chain
-    direct = Q.drop_duplicates(Q.parse_dates(bad)).count()
-    assert d.count() == direct == 2
+    texts = ["junk", "other junk", None, "2024-01-05", "2024-01-05", "2024-01-06"]
+    df = flight_rows(spark, [dict(base, fl_date=t) for t in texts])
+    got = sorted((str(r.fl_date), r[Q.COPY_COUNT], r[Q.SPELLINGS]) for r in Q.distinct_counts(df).collect())
+    assert got == [("2024-01-05", 2, 1), ("2024-01-06", 1, 1), ("None", 3, 3)]
+    d = Q.duplicate_stats(df).first()
+    assert (d.total_rows, d.distinct_rows, d.duplicate_rows) == (6, df.distinct().count(), 1)
+    assert Q.clean_from_distinct(Q.distinct_counts(df)).count() == Q.clean_flights(df).count() == 3
 
 
 def test_strict_date_parse_raises_lenient_gives_null(spark):

@@ -29,7 +29,7 @@ def _hot_rows(spark, n=300):
 
 def test_hot_key_and_hot_copies(spark):
     df = _hot_rows(spark)
-    by = {r.op_unique_carrier: r.flights for r in S.delays_by_airline(add_features(df)).collect()}
+    by = {r.op_unique_carrier: r.flights for r in S.breakdown(add_features(df), "airline").collect()}
     assert by["HOT"] == 100 and sum(by.values()) == 300
     d = Q.duplicate_stats(df).first()
     assert d.total_rows == 300 and d.duplicate_rows == 99 + (200 - df.filter("op_unique_carrier != 'HOT'").distinct().count())
@@ -38,8 +38,8 @@ def test_hot_key_and_hot_copies(spark):
 
 def test_breakdowns_aggregate_map_side(spark):
     f = flight_tables(spark, SF01).featured
-    for df in (S.delays_by_airline(f), Q.drop_duplicates(f), S.delay_all_dimensions(f),
-               D.percentiles_by_group(f)):
+    for df in (S.breakdown(f, "airline"), Q.drop_duplicates(f), S.all_breakdowns(f),
+               D.group_percentiles(f)):
         df.collect()
         final = _plan(df).split("== Initial Plan ==")[0]
         # a partial aggregate below the exchange and a final one above it
@@ -52,9 +52,9 @@ def _formatted(df) -> str:
 
 def test_filters_and_columns_reach_the_scan(spark):
     t = flight_tables(spark, SF01)
-    plan = _formatted(S.cancellations_by_reason(t.raw))
+    plan = _formatted(S.counts_where(t.raw, "cancelled", "cancellation_code", "cancellations"))
     assert "PushedFilters: [IsNotNull(cancelled), EqualTo(cancelled,1)]" in plan
-    plan = _formatted(S.delays_by_airline(t.featured))
+    plan = _formatted(S.breakdown(t.featured, "airline"))
     assert "EqualTo(diverted,0)" in plan
     assert "ReadSchema: struct<op_unique_carrier:string,dep_delay:double,arr_delay:double," in plan
 
@@ -83,8 +83,10 @@ def test_shuffle_partitions_for_raises_and_restores(spark):
 
 def test_path_bytes_counts_written_files(spark):
     from tarmac.session import path_bytes
-    from tarmac.sources import store
-    store.flight_tables(spark, SF01)
-    app = spark.sparkContext.applicationId
-    raw = store._WRITTEN[(app, __import__("os").path.abspath(SF01), "flights_raw")]
-    assert path_bytes(spark, raw) > 100_000
+    raw = flight_tables(spark, SF01).raw
+    assert path_bytes(spark, raw.inputFiles()[0].rsplit("/", 1)[0]) > 100_000
+
+
+def test_distinct_rows_shuffle_once(spark):
+    df = Q.distinct_counts(flight_tables(spark, SF01).raw)
+    assert _formatted(df).split("\n\n")[0].count("Exchange (") == 1

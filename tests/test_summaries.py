@@ -26,7 +26,7 @@ def _featured(spark):
 
 
 def test_delay_summary_values(spark):
-    out = {r.op_unique_carrier: r for r in S.delays_by_airline(_featured(spark)).collect()}
+    out = {r.op_unique_carrier: r for r in S.breakdown(_featured(spark), "airline").collect()}
     aa = out["AA"]
     assert (aa.flights, aa.avg_arr_delay, aa.avg_dep_delay) == (2, 5.0, 2.5)
     assert (aa.delayed_pct, aa.big_delay_pct, aa.early_pct) == (50.0, 0.0, 50.0)
@@ -35,22 +35,22 @@ def test_delay_summary_values(spark):
 
 def test_null_key_is_a_group_and_having(spark):
     df = _featured(spark)
-    keys = {r.origin for r in S.delays_by_origin_airport(df).collect()}
+    keys = {r.origin for r in S.breakdown(df, "origin").collect()}
     assert keys == {"X", None}
-    assert {r.origin for r in S.delays_by_origin_airport(df, 2).collect()} == {"X"}
+    assert {r.origin for r in S.breakdown(df, "origin", 2).collect()} == {"X"}
 
 
 def test_weekend_and_redeye_labels(spark):
     df = _featured(spark)
-    wk = {r.is_weekend: r.kind for r in S.delays_weekend_vs_weekday(df).collect()}
+    wk = {r.is_weekend: r.kind for r in S.breakdown(df, "weekend").collect()}
     assert wk == {1: "Weekend", 0: "Weekday"}
-    re = {r.is_redeye: r.kind for r in S.delays_by_redeye(df).collect()}
+    re = {r.is_redeye: r.kind for r in S.breakdown(df, "redeye").collect()}
     assert re == {1: "Red-eye", 0: "Daytime"}
 
 
 def test_all_dimensions_equal_single_breakdowns(spark):
     df = flight_tables(spark, SF01).featured
-    allx = S.delay_all_dimensions(df)
+    allx = S.all_breakdowns(df)
     for name, col in [("airline", "op_unique_carrier"), ("hour", "dep_hour"), ("route", "route")]:
         one = S.delay_summary(df, col).select(F.col(col).cast("string").alias("key"),
                                               *S.SUMMARY_COLUMNS)
@@ -60,7 +60,7 @@ def test_all_dimensions_equal_single_breakdowns(spark):
 
 def test_all_dimensions_keeps_null_keys_apart(spark):
     df = _featured(spark)
-    out = S.delay_all_dimensions(df, {"origin": "origin", "dest": "dest"})
+    out = S.all_breakdowns(df, ["origin", "dest"])
     rows = {(r.dimension, r.key): r.flights for r in out.collect()}
     assert rows[("origin", None)] == 1 and rows[("origin", "X")] == 2
     assert rows[("dest", "Y")] == 2
@@ -68,21 +68,21 @@ def test_all_dimensions_keeps_null_keys_apart(spark):
 
 def test_cause_tables(spark):
     df = _featured(spark)
-    tot = {r.cause: (r.minutes, r.share_pct) for r in S.cause_totals_long(df).collect()}
+    tot = {r.cause: (r.minutes, r.share_pct) for r in S.causes_long(S.per_cause(df, S.minutes), "minutes").withColumn("share_pct", S.share_of_total("minutes")).collect()}
     assert tot["carrier_delay"] == (40, 47.06)
-    freq = {r.cause: r.pct_of_flights for r in S.cause_frequency_long(df).collect()}
+    freq = {r.cause: r.pct_of_flights for r in S.causes_long(S.per_cause(df, S.share_of_recorded), "pct_of_flights").collect()}
     # recorded denominator: 2 flights have causes recorded, both with carrier minutes
     assert freq["carrier_delay"] == 100.0 and freq["weather_delay"] == 50.0
     freq_all = {r.cause: r.pct_of_flights
-                for r in S.cause_frequency_long(df, denominator="all").collect()}
+                for r in S.causes_long(S.per_cause(df, S.share_of_all), "pct_of_flights").collect()}
     assert freq_all["carrier_delay"] == 66.67
-    stacked = S.cause_by_month_stacked(df).filter("month = 1").orderBy("cause_no").collect()
+    stacked = S.stacked(S.causes_long(S.per_cause(df, S.minutes, ["month"]), "minutes", ["month"]), "minutes", ["month"]).filter("month = 1").orderBy("cause_no").collect()
     assert [r.stack_base for r in stacked] == [0, 10, 10, 20, 20]
 
 
 def test_bands_share_sums_to_100(spark):
     df = flight_tables(spark, SF01).featured
-    rows = S.delay_band_counts(df).collect()
+    rows = S.band_counts(df).collect()
     assert sum(r.flights for r in rows) == df.count()
     assert abs(sum(r.share_pct for r in rows) - 100.0) < 0.05
     assert len(rows) == 5
@@ -91,8 +91,8 @@ def test_bands_share_sums_to_100(spark):
 def test_cancellations_parts_sum(spark):
     raw = flight_tables(spark, SF01).raw
     total = raw.filter("cancelled = 1").count()
-    assert sum(r.cancellations for r in S.cancellations_by_reason(raw).collect()) == total
-    ov = S.cancellation_overview(raw).first()
+    assert sum(r.cancellations for r in S.counts_where(raw, "cancelled", "cancellation_code", "cancellations").collect()) == total
+    ov = S.rates(raw, count="total_flights").first()
     assert ov.total_flights == 61176
-    by_air = S.cancellations_by_airline(raw).collect()
+    by_air = S.rates(raw, ["op_unique_carrier"], worst_first=True).collect()
     assert sum(r.flights for r in by_air) == 61176
