@@ -107,8 +107,9 @@ def distinct_counts(df: DataFrame, dates: str = "fl_date", fmt: str = "yyyy-MM-d
     (date texts) they were, ``_spellings``.
 
     De-duplicated rows, the duplicate count and the cleaning waterfall all come from this one
-    aggregate, which shuffles once, after a map-side step; written once, it saves re-shuffling
-    every column. Texts that parse to the same date (all that do not parse give NULL) make
+    aggregate; written once, it saves re-shuffling every column. Copies collapse map-side; a
+    first shuffle meets equal raw rows, a second one moves those distinct rows by what they
+    parse to. Texts that parse to the same date (all that do not parse give NULL) make
     rows equal that were not.
     """
     text = F.col("_text")
