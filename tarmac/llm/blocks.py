@@ -70,6 +70,14 @@ def runs(classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[:-1][keep], edge[1:][keep]
 
 
+def _turn(number: np.ndarray) -> np.ndarray:
+    """Odd factors, each its own, for the first, second, ... time that the multipliers are gone through."""
+    h = number.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (h ^ (h >> np.uint64(31))) | np.uint64(1)
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of data[start:end] for disjoint ascending non-empty spans.
 
@@ -79,10 +87,11 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         return np.zeros(0, np.uint64)
     at = np.arange(starts[0], len(data), dtype=np.int32)
     at -= np.repeat(starts.astype(np.int32), np.diff(starts, append=len(data)))
-    at &= _SPREAD - 1
     part = data[starts[0]:].astype(np.uint64)
     part += np.uint64(1)
-    part *= _MULT[at]
+    part *= _MULT[at & (_SPREAD - 1)]
+    if (ends - starts).max() > _SPREAD:
+        part *= _turn(np.arange(int(at.max()) // _SPREAD + 1))[at // _SPREAD]
     h = np.add.reduceat(part, np.stack((starts, ends), axis=1).ravel() - starts[0])[::2]
     h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     return h ^ (h >> np.uint64(32))

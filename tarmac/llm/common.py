@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.session import scratch_root
+from tarmac.session import scratch_folder
 
 # Word separators of the word counts (fixed values): space, tab, LF, VT, FF, CR.
 WHITE = " \t\n\x0b\x0c\r"
@@ -19,11 +17,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to a new folder under ``spark.checkpoint.dir`` and read it back.
+    """Write ``df`` to a new folder under ``spark.checkpoint.dir`` and read it back
+    (``tarmac.session.release_scratch`` deletes the application's folders).
 
     This cuts the lineage: tasks lost later re-read files that every executor sees.
     """
-    path = f"{scratch_root(spark).rstrip('/')}/tarmac-llm/{name}-{uuid.uuid4().hex}"
+    path = scratch_folder(spark, f"llm-{name}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -16,7 +16,7 @@ into one table of per-language integers (fixed point); sums over a text are exac
 any order and every run agrees.
 
 Defined cases: a null text or one without a letter gets ``und``, score 0 and is
-rejected. Null, empty or unknown labels are not learned. Without any label to learn,
+rejected. Null labels are not learned. Without any label to learn,
 every text is ``und``. Repeated rows get the same answer each. Extra columns are
 ignored; ``keep_accepted`` passes them through. Very long texts are read whole, block
 by block.
@@ -30,7 +30,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarmac.llm.blocks import blocks, text_bytes
@@ -108,26 +108,29 @@ def _features(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Re
 
 
 def training_sample(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, seed: int = 11) -> DataFrame:
-    """About ``sample_docs`` labelled texts in all, alike many for each language.
+    """About ``sample_docs`` labelled texts in all, alike many for each language, twice as many at most.
 
     Rows are drawn by a hash of the id, so the choice does not depend on the layout;
-    the draw rate comes from counts over all labelled rows.
+    the draw rate comes from counts over all labelled rows, and the rows of the first id
+    are drawn in any case. Of a language's drawn rows (thousands may repeat one id) those
+    with the least hash of id and text stay, up to twice its share.
     """
-    return _labelled(docs, sample_docs, seed).filter("drawn").drop("drawn")
+    drawn = _labelled(docs, sample_docs, seed).filter("drawn")
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
+    return drawn.withColumn("place", place).filter(F.col("place") <= 2 * F.col("share")).select("doc_id", "lang", "text", "order")
 
 
 def _labelled(docs: DataFrame, sample_docs: int, seed: int) -> DataFrame:
     """All rows to learn from, with their order and whether they are drawn for the sample."""
-    usable = (learnable(F.col("doc_id")) & F.col("lang").isNotNull() & (F.col("lang") != "")
-              & (F.col("lang") != UNDEFINED) & F.col("text").isNotNull())
-    sized = docs.select("doc_id", "lang", "text").filter(usable)
-    counts = sized.groupBy("lang").count().collect()
-    each = sample_docs / max(1, len(counts))
-    rate = F.lit(0.0)
-    for r in counts:
-        rate = F.when(F.col("lang") == r["lang"], min(1.0, each / r["count"])).otherwise(rate)
-    return sized.withColumn("order", F.xxhash64(F.lit(seed), "doc_id", "text")).withColumn(
-        "drawn", draw(F.col("doc_id"), seed) < rate)
+    usable = learnable(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull()
+    sized = docs.select("doc_id", "lang", "text").filter(usable).withColumn("u", draw(F.col("doc_id"), seed))
+    # a row a language, joined by the planner's choice
+    languages = sized.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("u").alias("least"))
+    share = F.ceil(F.lit(float(sample_docs)) / F.count(F.lit(1)).over(Window.partitionBy()))
+    rates = languages.withColumn("share", share).withColumn("rate", F.col("share") / F.col("n"))
+    drawn = (F.col("u") < F.col("rate")) | (F.col("u") == F.col("least"))
+    return (sized.join(rates, "lang").withColumn("order", F.xxhash64(F.lit(seed), "doc_id", "text"))
+            .withColumn("drawn", drawn).select("doc_id", "lang", "text", "order", "drawn", "share"))
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -141,8 +144,7 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, buckets: int = BUCKET
     """Fit on the bounded sample; its gram counts (not its texts) reach the driver."""
     if buckets > 1 << 16:
         raise ValueError("buckets must fit 16 bits")
-    labelled = _labelled(docs, sample_docs, seed)
-    rows = labelled.filter("drawn").select("lang", "order", "text").transform(map_arrow, 
+    rows = training_sample(docs, sample_docs, seed).select("lang", "order", "text").transform(map_arrow,
         lambda it: _features(it, buckets), "lang string, order long, ids binary, counts binary").collect()
     rows = sorted(rows, key=lambda r: (r["order"], r["lang"]))
     languages = sorted({r["lang"] for r in rows})
@@ -182,7 +184,7 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, buckets: int = BUCKET
     truth = np.array([y for y, _, _ in check], np.int64)
     temperature, threshold = _calibrate(logits, truth, reject_share)
     model = LanguageModel(languages, weights, bias, temperature, threshold)
-    spread = _right_answers(labelled.filter("NOT drawn"), model).groupBy("step").agg(F.sum("n").alias("n")).orderBy("step").collect()
+    spread = _right_answers(_labelled(docs, sample_docs, seed).filter("NOT drawn"), model).groupBy("step").agg(F.sum("n").alias("n")).orderBy("step").collect()
     if spread:
         passed = np.cumsum([r["n"] for r in spread])
         model.threshold = min(spread[int(np.searchsorted(passed, int(reject_share * passed[-1]), "right"))]["step"] / STEPS, 0.5)

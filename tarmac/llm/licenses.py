@@ -19,6 +19,8 @@ ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -58,9 +60,9 @@ def template_grams() -> list[tuple[str, bool, int, int, str, str]]:
 
 
 def text_words(text: Column) -> Column:
-    """Only A-Z matters when lower-casing: no other character lowers to one that a
-    template holds inside a word of ASCII letters, and none changes its class."""
-    return F.regexp_extract_all(F.lower(F.coalesce(text.cast("string"), F.lit(""))), F.lit(LETTERS), F.lit(0))
+    """Words with A-Z alone in lower case (the Kelvin sign, which ``lower`` makes a k, stays)."""
+    lowered = F.translate(F.coalesce(text.cast("string"), F.lit("")), ascii_uppercase, ascii_lowercase)
+    return F.regexp_extract_all(lowered, F.lit(LETTERS), F.lit(0))
 
 
 def gram_hits(docs: DataFrame) -> DataFrame:

@@ -82,14 +82,16 @@ def _features(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Re
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, sample_docs: int, seed: int) -> DataFrame:
-    """About ``sample_docs`` labelled texts, drawn by a hash of the id."""
+    """About ``sample_docs`` labelled texts, drawn by a hash of the id, twice as many at most: if one id
+    has thousands of rows, those with the least hash of id and text stay."""
     usable = learnable(F.col("doc_id"))
     known = (labels.select("doc_id", "quality").filter(usable & F.col("quality").isNotNull())
              .groupBy("doc_id").agg(F.min(F.col("quality").cast("int")).alias("quality")))
     rate = min(1.0, sample_docs / max(1, known.count()))
     drawn = known.filter(draw(F.col("doc_id"), seed) < rate)
     texts = docs.select("doc_id", "text").filter(usable & F.col("text").isNotNull() & (draw(F.col("doc_id"), seed) < rate))
-    return texts.join(drawn, "doc_id").withColumn("order", F.xxhash64(F.lit(seed), "doc_id", "text"))
+    return (texts.join(drawn, "doc_id").withColumn("order", F.xxhash64(F.lit(seed), "doc_id", "text"))
+            .orderBy("order", "quality").limit(2 * sample_docs))
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, buckets: int = BUCKETS,

@@ -102,13 +102,18 @@ def parse(raw: bytes) -> tuple:
 
 def build_dictionary(pages: DataFrame, sample_records: int = SAMPLE_RECORDS, sample_bytes: int = SAMPLE_BYTES,
                      size: int = DICTIONARY_BYTES) -> bytes:
-    """A dictionary from about ``sample_records`` records, each with the head of its
-    payload (``sample_bytes``); without enough of them, the records' own bytes."""
+    """A dictionary from about ``sample_records`` records (twice as many at most), each with
+    ``sample_bytes`` of its payload, taken at four places of a longer one; without enough of
+    them, the records' own bytes."""
     import zstandard
 
     rate = min(1.0, sample_records / max(1, pages.count()))
-    rows = (pages.filter(draw(F.struct("page_id", "url"), 3) < rate)
-            .select("page_id", "url", F.substring(F.col("html").cast("binary"), 1, sample_bytes).alias("head")).collect())
+    payload, part = F.col("html").cast("binary"), sample_bytes // 4
+    step = F.floor((F.octet_length(payload) - part) / 3).cast("int")
+    pieces = F.concat(*[F.substring(payload, 1 + i * step, F.lit(part)) for i in range(4)])
+    head = F.when(F.octet_length(payload) > sample_bytes, pieces).otherwise(payload)
+    rows = (pages.filter(draw(F.struct("page_id", "url", "html"), 3) < rate).select("page_id", "url", head.alias("head"))
+            .orderBy(F.xxhash64("page_id", "url", "head")).limit(2 * sample_records).collect())
     rows = sorted(rows, key=lambda r: (r["page_id"] is None, r["page_id"], r["url"] or ""))
     samples = [record(r["page_id"], r["url"], p := bytes(r["head"] or b""), hashlib.sha1(p).hexdigest(), None) for r in rows]
     try:
