@@ -2,6 +2,9 @@
 
     python -m tarmac list
     python -m tarmac delay_by_airline /root/testdata/sf0.01 [--rows 20] [--explain] [--sql]
+    python -m tarmac delay_by_airline /data/sf --save /data/results/by_airline [--format csv]
+
+The scratch tables of the run are deleted at its end.
 """
 
 from __future__ import annotations
@@ -17,6 +20,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--rows", type=int, default=20)
     ap.add_argument("--explain", action="store_true", help="print the formatted physical plan")
     ap.add_argument("--sql", action="store_true", help="print the oracle SQL instead of running")
+    ap.add_argument("--save", metavar="FOLDER", help="write the result there instead of showing rows (overwrites)")
+    ap.add_argument("--format", default="csv", choices=["csv", "parquet", "json"])
     args = ap.parse_args(argv)
 
     from tarmac.plans.catalog import ORACLE, QUERIES
@@ -33,10 +38,18 @@ def main(argv: list[str] | None = None) -> int:
 
     from tarmac.session import local_session
     spark = local_session()
-    df = QUERIES[args.query](spark, args.sf_dir)
-    if args.explain:
-        df.explain("formatted")
-    df.show(args.rows, truncate=False)
+    from tarmac.sources.flights import save_table
+    from tarmac.sources.store import release_tables
+    try:
+        df = QUERIES[args.query](spark, args.sf_dir)
+        if args.explain:
+            df.explain("formatted")
+        if args.save:
+            save_table(df, args.save, fmt=args.format)
+        else:
+            df.show(args.rows, truncate=False)
+    finally:
+        release_tables(spark)
     return 0
 
 

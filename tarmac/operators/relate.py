@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tarmac.functions.bands import DEP_BAND_BOUNDS, DEP_BAND_LABELS, band, band_order
 from tarmac.functions.numeric import GUARD_DIGITS
+from tarmac.operators.evaluate import identity_draw
 from tarmac.schema import existing_columns
 
 # Default correlation columns.
@@ -66,14 +67,14 @@ def scatter_sample(df: DataFrame, n: int = 5000, cols: Sequence[str] = ("dep_del
     ``method="hash"`` keeps the ``n`` rows with the smallest MD5 of the seed and the
     row's ``identity`` (SQL expressions), ties by the values: flights are drawn one by
     one whatever their values, and alike on any partitioning; a top-k per task, then a
-    final merge of at most n rows per task. ``method="bernoulli"`` is the reference's
-    ``sample(fraction n/count, seed).limit(n)``.
+    final merge of at most n rows per task. ``method="bernoulli"`` (TK5) keeps each row
+    with probability n / rows by a draw from its identity, then at most ``n`` of them, those
+    with the least draws.
     """
-    data = df.select(*cols)
     if method == "bernoulli":
-        total = data.count()
-        frac = min(1.0, n / max(total, 1))
-        return data.sample(False, frac, seed).limit(n)
+        share = min(1.0, n / max(df.count(), 1))
+        drawn = df.select(identity_draw(identity, f"bernoulli-{seed}").alias("_draw"), *cols).filter(F.col("_draw") < share)
+        return drawn.orderBy("_draw", *cols).limit(n).select(*cols)
     key = F.expr(f"md5(concat_ws('|', '{seed}', {', '.join(identity)}))")
     return df.select(key.alias("_draw"), *cols).orderBy("_draw", *cols).limit(n).select(*cols)
 

@@ -545,6 +545,14 @@ def q_model_split(spark, sf_dir):
     return train.unionByName(test).groupBy("side", P.CLASS_LABEL).agg(F.count(F.lit(1)).alias("flights"))
 
 
+@query("model_sample", O.with_model_rows(
+    "SELECT is_delayed, count(*) AS flights FROM (SELECT *, count(*) OVER () AS n FROM model_rows) "
+    "WHERE sample < 5000.0 / n OR n <= 5000 GROUP BY is_delayed"))
+def q_model_sample(spark, sf_dir):
+    rows = P.model_rows(featured(spark, sf_dir), max_rows=5000)
+    return rows.groupBy(P.CLASS_LABEL).agg(F.count(F.lit(1)).alias("flights"))
+
+
 @query("feature_slots", O.feature_slots())
 def q_feature_slots(spark, sf_dir):
     train, _ = E.keyed_split(P.model_rows(featured(spark, sf_dir)))
@@ -565,6 +573,14 @@ def q_rate_classifier_metrics(spark, sf_dir):
     return E.classifier_quality(_rate_scores(spark, sf_dir))
 
 
+@query("mean_regressor_metrics", O.mean_metrics())
+def q_mean_regressor_metrics(spark, sf_dir):
+    """The test rows' delay predicted by the training mean of their airline and hour."""
+    train, test = E.keyed_split(P.model_rows(featured(spark, sf_dir)).withColumn("label", F.col(P.REG_LABEL)))
+    scored = E.rate_scores(train, test, RATE_KEYS).withColumn("prediction", F.col("score"))
+    return E.regression_quality(scored)
+
+
 @query("rate_classifier_confusion", O.rate_confusion())
 def q_rate_classifier_confusion(spark, sf_dir):
     return E.confusion(_rate_scores(spark, sf_dir))
@@ -698,7 +714,9 @@ def q_busiest_origins(spark, sf_dir):
     return SC.top_rows(by_origin, 20, F.desc("flights"), "origin")
 
 
-@query("delay_scatter_bernoulli")
+@query("delay_scatter_bernoulli", O.with_featured(
+    f"SELECT dep_delay, arr_delay FROM (SELECT dep_delay, arr_delay, count(*) OVER () AS n, {O.draw('bernoulli-42')} AS draw FROM flights_featured) "
+    "WHERE draw < least(1.0, 5000.0 / n) ORDER BY draw, dep_delay, arr_delay LIMIT 5000"))
 def q_delay_scatter_bernoulli(spark, sf_dir):
     return R.scatter_sample(featured(spark, sf_dir), n=5000, method="bernoulli")
 

@@ -270,10 +270,16 @@ _CATEGORIES = ["op_unique_carrier", "origin", "dest", "season", "day_part"]
 _NUMBERS = ["month", "day_of_week", "dep_hour", "distance", "is_weekend", "is_redeye"]
 _IDENTITY = ("strftime(fl_date, '%Y-%m-%d'), op_unique_carrier, CAST(CAST(op_carrier_fl_num AS BIGINT) AS VARCHAR), origin, dest, "
              "CAST(crs_dep_time AS VARCHAR)")
+
+
+def draw(salt: str) -> str:
+    return f"CAST('0x' || substr(md5(concat_ws('|', '{salt}', {_IDENTITY})), 1, 8) AS BIGINT) / 4294967296.0"
+
+
 MODEL_ROWS = f"""
 model_rows AS (
   SELECT {', '.join([*_CATEGORIES, *_NUMBERS])}, is_delayed, arr_delay,
-    CAST('0x' || substr(md5(concat_ws('|', 'split-42', {_IDENTITY})), 1, 8) AS BIGINT) / 4294967296.0 AS draw
+    {draw('split-42')} AS draw, {draw('sample-42')} AS sample
   FROM flights_featured WHERE {' AND '.join(f'{c} IS NOT NULL' for c in [*_CATEGORIES, *_NUMBERS, 'is_delayed', 'arr_delay'])}
 )"""
 
@@ -305,6 +311,19 @@ def rate_confusion() -> str:
         "FROM scored GROUP BY label, prediction", _RATES)
 
 
+def mean_metrics() -> str:
+    return with_model_rows(
+        f"SELECT 'RMSE' AS metric, {r('sqrt(avg((y - p) * (y - p)))', 3)} AS value FROM scored "
+        f"UNION ALL SELECT 'MAE', {r('avg(abs(y - p))', 3)} FROM scored "
+        f"UNION ALL SELECT 'R2', {r('1 - (SELECT sum((y - p) * (y - p)) FROM scored) / sum((y - m) * (y - m))', 4)} "
+        "FROM scored, (SELECT avg(y) AS m FROM scored)",
+        """base AS (SELECT avg(arr_delay) AS b FROM model_rows WHERE draw < 0.8),
+rates AS (SELECT op_unique_carrier, dep_hour, (sum(arr_delay) + 20.0 * any_value(b)) / (count(*) + 20.0) AS rate
+  FROM model_rows, base WHERE draw < 0.8 GROUP BY op_unique_carrier, dep_hour),
+scored AS (SELECT arr_delay AS y, coalesce(rate, b) AS p FROM base, model_rows m LEFT JOIN rates USING (op_unique_carrier, dep_hour)
+  WHERE m.draw >= 0.8)""")
+
+
 def rate_metrics() -> str:
     # AUC from mean ranks of the positive rows, F1 from precision and recall
     ranks = f"""ranks AS (SELECT label, prediction, rank() OVER (ORDER BY {r('score', 6)}) + (count(*) OVER (PARTITION BY {r('score', 6)}) - 1) / 2.0 AS rank

@@ -84,6 +84,14 @@ def test_corrupt_lines_kept_aside(spark):
     assert len(load_flights(spark, d, mode="DROPMALFORMED").collect()) == 1
 
 
+def test_cli_saves_a_result_and_releases_its_tables(spark, monkeypatch):
+    from tarmac import __main__, session
+    monkeypatch.setattr(session, "local_session", lambda: spark)
+    folder = tempfile.mkdtemp(prefix="tarmac-cli-") + "/out"
+    assert __main__.main(["delay_by_season", SF001, "--save", folder]) == 0
+    assert spark.read.option("header", True).csv(folder).count() == 4
+
+
 def test_cli_lists_queries(capsys):
     from tarmac.__main__ import main
     assert main(["list"]) == 0
