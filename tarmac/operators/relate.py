@@ -22,26 +22,28 @@ def correlation_long(df: DataFrame, cols: Sequence[str] | None = None,
     """AD5: Pearson correlation of every column pair, long (col_a, col_b, corr).
 
     Rows with a NULL in any listed column are dropped first (listwise), as the
-    reference does. One lazy aggregate pass, map-side partial: the covariance of every
-    pair by Spark's running-mean update (well conditioned at any row count), and each
-    column's least and greatest value. Values are rounded to 10 places before the
+    reference does. One lazy aggregate pass, map-side partial, of the sums of every column and
+    of every pair's products, the columns moved by the values of some row (a scalar subquery
+    that reads one), so that means far from 0 cancel nothing; and whether a column varies. Values are rounded to 10 places before the
     reported ``digits`` (see ``functions.numeric.stable_round``). The full square
     (both orders and the diagonal) is emitted so the table pivots to a matrix;
     a constant column gives NULL.
     """
     cols = existing_columns(df, cols or CORR_COLUMNS)
-    q = [f"`{c}`" for c in cols]
-    data = df.selectExpr(*[f"CAST({c} AS DOUBLE) AS {c}" for c in q]).dropna()
+    data = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)]).dropna()
+    some = data.limit(1).select(F.struct(*data.columns)).scalar()
+    moved = data.select(*[(F.col(x) - some.getField(x)).alias(x) for x in data.columns])
     # expressions are built as SQL text: one JVM call per projection
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    sums = data.selectExpr(*[f"covar_pop({q[i]}, {q[j]}) AS s{i}_{j}" for i, j in pairs],
-                           *[f"min({c}) < max({c}) AS v{i}" for i, c in enumerate(q)])
-    values = sums.selectExpr(*[
-        f"round(round(CASE WHEN v{i} AND v{j} AND s{i}_{i} * s{j}_{j} > 0 "
-        f"THEN s{i}_{j} / sqrt(s{i}_{i} * s{j}_{j}) END, {GUARD_DIGITS}), {digits}) AS c{i}_{j}"
-        for i, j in pairs])
+    sums = moved.selectExpr("count(1) AS n", *[f"sum(x{i}) AS s{i}" for i in range(len(cols))],
+                            *[f"sum(x{i} * x{j}) AS s{i}_{j}" for i, j in pairs],
+                            *[f"min(x{i}) < max(x{i}) AS v{i}" for i in range(len(cols))])
+    spread = sums.selectExpr("*", *[f"s{i}_{j} / n - (s{i} / n) * (s{j} / n) AS c{i}_{j}" for i, j in pairs])
+    values = spread.selectExpr(*[
+        f"round(round(CASE WHEN v{i} AND v{j} AND c{i}_{i} * c{j}_{j} > 0 "
+        f"THEN c{i}_{j} / sqrt(c{i}_{i} * c{j}_{j}) END, {GUARD_DIGITS}), {digits}) AS r{i}_{j}" for i, j in pairs])
     structs = ", ".join(
-        f"named_struct('col_a', '{a}', 'col_b', '{b}', 'corr', c{min(i, j)}_{max(i, j)})"
+        f"named_struct('col_a', '{a}', 'col_b', '{b}', 'corr', r{min(i, j)}_{max(i, j)})"
         for i, a in enumerate(cols) for j, b in enumerate(cols))
     return values.selectExpr(f"inline(array({structs}))")
 
