@@ -124,12 +124,12 @@ def _labelled(docs: DataFrame, sample_docs: int, seed: int) -> DataFrame:
     """All rows to learn from, with their order and whether they are drawn for the sample."""
     usable = learnable(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull()
     sized = docs.select("doc_id", "lang", "text").filter(usable).withColumn("u", draw(F.col("doc_id"), seed))
-    # a row a language, joined by the planner's choice
+    # three numbers a language; the model keeps ``buckets`` of them for each on the driver
     languages = sized.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("u").alias("least"))
     share = F.ceil(F.lit(float(sample_docs)) / F.count(F.lit(1)).over(Window.partitionBy()))
     rates = languages.withColumn("share", share).withColumn("rate", F.col("share") / F.col("n"))
     drawn = (F.col("u") < F.col("rate")) | (F.col("u") == F.col("least"))
-    return (sized.join(rates, "lang").withColumn("order", F.xxhash64(F.lit(seed), "doc_id", "text"))
+    return (sized.join(F.broadcast(rates), "lang").withColumn("order", F.xxhash64(F.lit(seed), "doc_id", "text"))
             .withColumn("drawn", drawn).select("doc_id", "lang", "text", "order", "drawn", "share"))
 
 
