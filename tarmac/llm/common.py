@@ -38,6 +38,14 @@ def swept_table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
         spark.conf.set(key, before)
 
 
+def drop_table(spark: SparkSession, written: DataFrame) -> None:
+    """Delete the folder of a ``table`` whose readers have all been written themselves."""
+    files = written.inputFiles()
+    if files:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(spark.sparkContext._jvm.java.net.URI(files[0])).getParent()
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 # Rows that a Python task receives at once. Texts average a few kilobytes; the default of
 # 10,000 rows would hold tens of megabytes twice in every task.
 BATCH_ROWS = 512

@@ -8,9 +8,13 @@ their TF-IDF vectors. Document frequencies are counted over all rows, by shingle
 of 32 bits and those that number the parts, of which there are the more the larger the
 input (over 5,000 hash values a shingle); the damped weight
 1 + IDF_SPAN * ln(N / df) / ln(N) is rounded down to one of ``LEVELS`` levels, so texts
-that thousands copy keep their similarity. Texts are dealt into places; a part counts
-its shingles and answers every place with the levels of those that are not in one text
-only, so no table of all shingles is held anywhere.
+that thousands copy keep their similarity. Texts are dealt into places, runs of
+neighbours of about ``PLACE_BYTES``, and written in that order; a place tells a part each
+shingle once, with the number of its texts that hold it, so a shingle in every text is one
+entry a place and a text that a third of the rows repeat lies in as many places as its
+copies. A part counts its shingles and answers every place with the levels of those that
+are not in one text only, so no table of all shingles is held anywhere. Parts and places
+grow in number with the input, without a cap.
 
 Sampling: for sample k an element of weight w draws r, c from Gamma(2, 1) and b from U(0, 1), all
 fixed by its hash, and t = floor(ln w / r + b), a = c * exp(-r * (t - b + 1)); the
@@ -45,8 +49,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.llm.blocks import blocks, text_bytes, word_hashes
-from tarmac.llm.common import WORD, map_arrow, table
+from tarmac.llm.common import WORD, drop_table, map_arrow, swept_table, table
 from tarmac.llm.components import component_roots
+from tarmac.session import shuffle_partitions_for
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -56,9 +61,12 @@ SAMPLES = BANDS * ROWS
 # Shingles that a part of the document frequencies counts, and bytes of text of a place.
 PART_SHINGLES = 1 << 19
 PLACE_BYTES = 1 << 24
+ROW_BYTES = 16  # what a row counts for besides its text
+LEAST_PLACE = 1 << 16  # bytes
 LEAST_PARTS = 8  # bits
-MOST_PARTS = 16  # bits
-# Shingles that a task sorts before it sends them to their parts.
+# A part's number and 32 bits tell shingles apart; with this many they are the whole hash.
+HASH_PARTS = 32  # bits
+# Shingles of a place that a task sorts at once before it sends them to their parts.
 ASKED_AT_ONCE = 1 << 21
 IDF_SPAN = 0.25
 LEVELS = 8
@@ -172,18 +180,34 @@ def _shingled(rows: np.ndarray, words: list[np.ndarray]):
     return rows, first, element, s, new
 
 
-def placed(docs: DataFrame, places: int) -> DataFrame:
-    """doc_id, text and place of every row; the row itself fixes its place."""
+def placed(docs: DataFrame, place_bytes: int) -> DataFrame:
+    """doc_id, text and place of every row: a place is a run of rows of one input task.
+
+    Which rows are neighbours depends on the task's order, so the result is to be written.
+    """
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return narrow.withColumn("place", F.pmod(F.xxhash64("doc_id", "text"), F.lit(places)).cast("int"))
+
+    def deal(batches):
+        from pyspark import TaskContext
+
+        first, size = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy().astype(np.int64) + ROW_BYTES
+            before = size + np.cumsum(sizes) - sizes
+            size += int(sizes.sum())
+            yield pa.record_batch([batch.column("doc_id"), batch.column("text"), pa.array(first + before // place_bytes)],
+                                  names=["doc_id", "text", "place"])
+
+    return narrow.transform(map_arrow, deal, "doc_id long, text string, place long")
 
 
-def layout(docs: DataFrame) -> tuple[int, int, int]:
-    """(rows, bits of the part number, places) in proportion to the texts."""
+def layout(docs: DataFrame) -> tuple[int, int, int, int]:
+    """(rows, bytes of text, bits of the part number, bytes of a place)."""
     size = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.col("text").cast("string"))).alias("bytes")).first()
-    parts = (size["bytes"] or 0) // 6 // PART_SHINGLES  # a word is about 6 bytes
-    bits = min(MOST_PARTS, max(LEAST_PARTS, parts.bit_length()))
-    return size["n"], bits, min(1 << 16, max(1 << LEAST_PARTS, (size["bytes"] or 0) // PLACE_BYTES))
+    total = size["bytes"] or 0
+    parts = total // 6 // PART_SHINGLES  # a word is about 6 bytes
+    bits = min(HASH_PARTS, max(LEAST_PARTS, parts.bit_length()))
+    return size["n"], total, bits, min(PLACE_BYTES, max(LEAST_PLACE, total >> LEAST_PARTS))
 
 
 def _keys(shingle: np.ndarray, bits: int) -> np.ndarray:
@@ -191,61 +215,79 @@ def _keys(shingle: np.ndarray, bits: int) -> np.ndarray:
     return shingle >> np.uint64(32 - bits)
 
 
-ASKED = "part int, hashes binary, places binary, counts binary"
-ANSWERS = "place int, part int, hashes binary, levels binary"
+def _binary(joined: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Binary cells of ``sizes`` numbers each."""
+    ends = np.concatenate(([0], np.cumsum(sizes) * joined.itemsize)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(joined))])
+
+
+def _numbers(cells: pa.ChunkedArray, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all binary cells, joined, and how many each cell holds."""
+    held = [np.zeros(0, np.uint8)]
+    for chunk in cells.chunks:
+        if len(chunk):
+            ends = np.frombuffer(chunk.buffers()[1], np.int32)[chunk.offset:chunk.offset + len(chunk) + 1]
+            held.append(np.frombuffer(chunk.buffers()[2], np.uint8)[ends[0]:ends[-1]])
+    return np.concatenate(held).view(kind), pc.binary_length(cells).to_numpy() // np.dtype(kind).itemsize
 
 
-def _asked(docs: DataFrame, bits: int) -> DataFrame:
-    """ASKED: the shingles of each part with the places and numbers of the texts that hold them."""
-    low = np.uint64(2**32 - 1)
+ASKED = "place long, part long, hashes binary, counts binary"
+ANSWERS = "place long, part long, hashes binary, levels binary"
 
-    def packed(held):
-        # by part, place and hash
+
+def _asked(texts: DataFrame, bits: int) -> DataFrame:
+    """ASKED: the shingles of each place by their part, with the number of its texts that hold them."""
+    def packed(place, held):
         x, n = np.unique(np.concatenate(held), return_counts=True)
-        part = (x >> np.uint64(48)).astype(np.int32)
-        cut = np.flatnonzero(np.diff(part, prepend=-1))
-        fields = (x & low).astype(np.uint32), (x >> np.uint64(32)).astype(np.uint16), n.astype(np.uint32)
-        return pa.record_batch([pa.array(part[cut])] + [pa.array([y.tobytes() for y in np.split(f, cut[1:])], pa.binary()) for f in fields],
-                               names=["part", "hashes", "places", "counts"])
+        part = x >> np.uint64(32)
+        cut = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+        sizes = np.diff(cut, append=len(x))
+        return pa.record_batch([pa.array(np.full(len(cut), place, np.int64)), pa.array(part[cut].astype(np.int64)),
+                                _binary(x.astype(np.uint32), sizes), _binary(n.astype(np.uint32), sizes)],
+                               names=["place", "part", "hashes", "counts"])
 
     def ask(batches):
-        held, size = [], 0
+        at, held, size = None, [], 0
         for batch in batches:
-            place = batch.column("place").to_numpy().astype(np.uint64)
+            places = batch.column("place").to_numpy()
             for rows, first, _, shingle, new in elements(batch.column("text")):
                 key = _keys(shingle[new], bits)
-                of = np.repeat(place[rows], np.add.reduceat(new.astype(np.int64), first))
-                held.append((key >> np.uint64(32)) << np.uint64(48) | of << np.uint64(32) | key & low)
-                size += len(key)
-                if size > ASKED_AT_ONCE:
-                    yield packed(held)
-                    held, size = [], 0
+                ends = np.cumsum(np.add.reduceat(new.astype(np.int64), first))
+                of = places[rows]
+                last = np.flatnonzero(np.append(of[1:] != of[:-1], True))
+                for place, part in zip(of[last], np.split(key, ends[last[:-1]])):
+                    if held and (place != at or size > ASKED_AT_ONCE):
+                        yield packed(at, held)
+                        held, size = [], 0
+                    at = place
+                    held.append(part)
+                    size += len(part)
         if held:
-            yield packed(held)
+            yield packed(at, held)
 
-    return docs.select("place", "text").transform(map_arrow, ask, ASKED)
+    return texts.select("place", "text").transform(map_arrow, ask, ASKED)
 
 
-def document_levels(docs: DataFrame, n: int, bits: int) -> DataFrame:
-    """ANSWERS: per place and part the levels of its shingles, where they differ from that of a shingle of one text."""
+def document_levels(texts: DataFrame, n: int, bits: int) -> DataFrame:
+    """ANSWERS: per place and part the levels of its shingles, where they differ from that of a shingle of one text.
+
+    A part holds about ``PART_SHINGLES`` entries, and one a place for a shingle in every text.
+    """
     usual = idf_levels(np.array([1]), n)[0]
 
     def answer(asked: pa.Table) -> pa.Table:
-        hashes, places, counts = (np.frombuffer(b"".join(asked.column(c).to_pylist()), t)
-                                  for c, t in (("hashes", np.uint32), ("places", np.uint16), ("counts", np.uint32)))
+        hashes, sizes = _numbers(asked.column("hashes"), np.uint32)
+        counts, _ = _numbers(asked.column("counts"), np.uint32)
         _, which = np.unique(hashes, return_inverse=True)
-        df = np.bincount(which, weights=counts).astype(np.int64)
-        level = idf_levels(df, n)[which]
+        level = idf_levels(np.bincount(which, weights=counts).astype(np.int64), n)[which]
         told = level != usual
-        x, at = np.unique(places[told].astype(np.uint64) << np.uint64(32) | hashes[told], return_index=True)
-        place = (x >> np.uint64(32)).astype(np.int32)
-        cut = np.flatnonzero(np.diff(place, prepend=-1))
-        fields = x.astype(np.uint32), level[told][at]
-        cells = [[y.tobytes() for y in np.split(f, cut[1:])] if len(cut) else [] for f in fields]
-        return pa.table([pa.array(place[cut]), pa.array([asked.column("part")[0].as_py()] * len(cut), pa.int32()),
-                         *(pa.array(c, pa.binary()) for c in cells)], names=["place", "part", "hashes", "levels"])
+        kept = np.add.reduceat(told.astype(np.int64), np.cumsum(sizes) - sizes)
+        some = pa.array(kept > 0)
+        return pa.table([asked.column("place").filter(some), asked.column("part").filter(some),
+                         _binary(hashes[told], kept[kept > 0]), _binary(level[told], kept[kept > 0])],
+                        names=["place", "part", "hashes", "levels"])
 
-    return _asked(docs, bits).groupBy("part").applyInArrow(answer, ANSWERS)
+    return _asked(texts, bits).groupBy("part").applyInArrow(answer, ANSWERS)
 
 
 def idf_levels(df: np.ndarray, n: int) -> np.ndarray:
@@ -404,25 +446,21 @@ def _verified(pairs: DataFrame, payloads: DataFrame, similarity: float) -> DataF
         check, "a long, b long, similarity double")
 
 
-def _written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """``table`` of a shuffle of all texts or shingles, whose files go when it is written."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, "false")
-    spark.conf.set(key, "true")
-    try:
-        return table(spark, df, name)
-    finally:
-        spark.conf.set(key, before)
-
-
 def near_duplicates(spark: SparkSession, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, digest, class_id, keeper of every row; keeper is the kept text's digest."""
     if similarity < SIMILARITY:
         raise ValueError(f"bands and sketch bounds are made for a similarity of {SIMILARITY} or more, not {similarity}")
-    n, bits, places = layout(docs)
-    texts = placed(docs, places)
-    answers = _written(spark, document_levels(texts, n, bits), "levels")
-    rows = _written(spark, sign(texts, answers, n, bits), "signed")
+    n, size, bits, place_bytes = layout(docs)
+    with shuffle_partitions_for(spark, size):
+        return _classes(spark, docs, similarity, n, bits, place_bytes)
+
+
+def _classes(spark: SparkSession, docs: DataFrame, similarity: float, n: int, bits: int, place_bytes: int) -> DataFrame:
+    dealt = table(spark, placed(docs, place_bytes), "placed")
+    answers = swept_table(spark, document_levels(dealt, n, bits), "levels")
+    rows = swept_table(spark, sign(dealt, answers, n, bits), "signed")
+    for done in (dealt, answers):
+        drop_table(spark, done)
     texts = rows.filter("digest IS NOT NULL").groupBy("digest").agg(
         F.min("doc_id").alias("named"), F.first("weight").alias("weight"), F.first("bits").alias("bits"), F.first("bands").alias("bands"),
         F.first("levels").alias("levels"))
@@ -431,7 +469,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, similarity: float = SI
     members = table(spark, _members(banded), "members")
     in_buckets = members.select("node").distinct()
     wanted = nodes.join(in_buckets, "node").select("node", F.col("digest").alias("key"), "named", "levels")
-    payloads = _written(spark, _payloads(docs, wanted), "payloads")
+    payloads = swept_table(spark, _payloads(docs, wanted), "payloads")
 
     sketch = nodes.select("node", "weight", "bits", "bands")
     first = members.filter("node <> center").select(F.greatest("node", "center").alias("a"), F.least("node", "center").alias("b")).distinct()
@@ -439,6 +477,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, similarity: float = SI
     roots = component_roots(spark, links)
     second = _left_over(spark, members, roots, sketch, payloads, similarity).join(links.select("a", "b"), ["a", "b"], "left_anti")
     more = table(spark, _verified(second, payloads, similarity), "verified")
+    for done in (members, payloads):
+        drop_table(spark, done)
     if not more.isEmpty():
         roots = component_roots(spark, links.select("a", "b").unionByName(more.select("a", "b")))
     classed = nodes.select("node", "digest", "named").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 
 from tarmac.llm import (langid, licenses, mixing, near_dup, oracle, packing, quality_model, quality_rules, token_counts,
                         topk, warc)
-from tarmac.llm.common import held_out, read
+from tarmac.llm.common import held_out, read, table
 
 SF001 = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, node string"
@@ -230,11 +230,16 @@ def test_near_duplicates_against_all_pairs(spark, docs, rows):
     far = [(31_000 + k, " ".join(base[:60] + [f"x{k}_{i}" for i in range(140)]), "en", "s", 0, None, None) for k in range(20)]
     every = docs.unionByName(spark.createDataFrame(near + far, SCHEMA))
     got = {(r.doc_id, r.digest): r.class_id for r in near_dup.near_duplicates(spark, every).collect()}
-    texts = {}
+    texts, df, n = {}, collections.Counter(), 0
     for r in every.collect():
-        words = (r.text or "").lower().split()
+        words = re.findall(r"[^\x20\x09-\x0D]+", (r.text or "").lower())
+        bag = collections.Counter(tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))) if words else {}
+        n += 1
+        df.update(bag.keys())
         if words and r.doc_id is not None:
-            texts[r.doc_id] = collections.Counter(tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4)))
+            texts[r.doc_id] = bag
+    weight = {s: 1 + near_dup.IDF_SPAN * int(near_dup.idf_levels(np.array([c]), n)[0]) / near_dup.LEVELS for s, c in df.items()}
+    total = {d: sum(weight[s] * c for s, c in bag.items()) for d, bag in texts.items()}
     holders = collections.defaultdict(list)
     for d, c in texts.items():
         for s in c:
@@ -247,16 +252,12 @@ def test_near_duplicates_against_all_pairs(spark, docs, rows):
             x = parent[x]
         return x
 
-    border = set()
     for a, b in shared:
-        both = sum((texts[a] & texts[b]).values())
-        s = both / (sum(texts[a].values()) + sum(texts[b].values()) - both)
-        if s >= 0.83:
+        both = sum(weight[s] * c for s, c in (texts[a] & texts[b]).items())
+        if both / (total[a] + total[b] - both) >= 0.8 - 1e-9 and root(a) != root(b):
             parent[max(root(a), root(b))] = min(root(a), root(b))
-        elif s > 0.77:
-            border |= {a, b}
     classes = {d: c for (d, _), c in got.items()}
-    assert all(classes[d] == root(d) for d in texts if d not in border and root(d) not in border)
+    assert {d: classes[d] for d in texts} == {d: root(d) for d in texts}
     assert len({classes[30_000 + k] for k in range(40)}) == 1 and len({classes[31_000 + k] for k in range(20)}) == 20
     kept = near_dup.keep_one(spark, every)
     assert kept.columns == every.columns
@@ -276,8 +277,9 @@ def test_near_duplicate_levels_are_those_of_exact_document_frequencies(spark):
     # far more shingles than 2^18: 600 texts of 1,000 words, one passage in all, one in every tenth
     texts = [" ".join(["all"] * 6 + (["tenth"] * 6 if i % 10 == 0 else []) + [f"w{i}_{k}" for k in range(1000)]) for i in range(600)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
-    n, bits, places = near_dup.layout(docs)
-    at = near_dup.placed(docs, places)
+    n, _, bits, place_bytes = near_dup.layout(docs)
+    at = table(spark, near_dup.placed(docs, place_bytes), "placed")
+    assert at.select("place").distinct().count() > 20
     rows = near_dup.sign(at, near_dup.document_levels(at, n, bits), n, bits).collect()
     of = lambda df: int(near_dup.idf_levels(np.array([df]), n)[0])
     assert n == len(rows) == 600 and of(1) > of(60) > of(600)
@@ -288,6 +290,20 @@ def test_near_duplicate_levels_are_those_of_exact_document_frequencies(spark):
         assert collections.Counter(r.levels) == +want
 
 
+def test_a_row_that_a_third_repeats_lies_in_many_places(spark):
+    hot = [(7, "the same words of a row that comes again and again in one table " * 40)] * 2000
+    rare = [(100 + i, " ".join(f"w{i}_{k}" for k in range(200))) for i in range(600)] + [(None, None)] * 500
+    docs = spark.createDataFrame(hot + rare, "doc_id long, text string").repartition(4)
+    _, _, bits, place_bytes = near_dup.layout(docs)
+    dealt = table(spark, near_dup.placed(docs, place_bytes), "placed")
+    assert dealt.filter("doc_id = 7").select("place").distinct().count() > 20
+    asked = near_dup._asked(dealt, bits).groupBy("part").agg(F.sum(F.length("hashes") / 4).alias("n")).agg(F.max("n")).first()[0]
+    assert asked < 3 * dealt.select("place").distinct().count() + 1500  # entries, of 2,000 copies
+    got = near_dup.near_duplicates(spark, docs)
+    assert got.count() == len(hot) + len(rare) and got.filter("class_id = 7").count() == 2000
+    assert got.select("class_id").distinct().count() == 602
+
+
 def _against_sql(docs, sql, got, name="documents"):
     con = duckdb.connect()
     con.register(name, docs.toArrow())
