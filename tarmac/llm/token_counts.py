@@ -14,16 +14,21 @@ of the node's ancestors' score plus the piece's. A terminal node stores its toke
 count. Counts of frequent pre-tokens stay in a bounded table between blocks; a text's
 count is the sum over its pre-tokens.
 
+A pre-token over ``LONG`` bytes (a sentence of an unspaced script, a URL) is first cut
+wherever no piece of the vocabulary can lie across: every segmentation has a border there,
+so the parts are segmented alone and their counts add up. The parts enter the trie like
+pre-tokens. Only a part that is itself over ``LONG`` bytes (one letter or a run of letters
+without a border) is scored by the same recurrence alone, along a trie of the pieces.
+
 Defined cases: null and empty texts have 0 of everything. Repeated rows count alike;
 extra columns are ignored. Texts longer than a block are cut at a space, which is
-always the border of two pre-tokens; pre-tokens over ``LONG`` bytes are scored by the
-same recurrence one at a time.
+always the border of two pre-tokens.
 """
 
 from __future__ import annotations
 
 import base64
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +42,9 @@ ZIPF_SHIFT = 2.7
 LONG = 48
 ROWS_AT_ONCE = 1 << 13
 KEPT = 1 << 20
+# Bytes looked at, and parts counted, at once of long pre-tokens.
+BYTES_AT_ONCE = 1 << 20
+PARTS_AT_ONCE = 1 << 17
 
 _RNG = np.random.RandomState(77)
 _STEP = np.uint64(int(_RNG.randint(1, 1 << 62)) * 2 + 1)
@@ -65,31 +73,97 @@ class UnigramPieces:
                     order = np.argsort(h)
                     self.levels[n] = h[order], np.array([self.logp[p] for p in pieces])[order]
 
-    def long_count(self, raw: bytes) -> int:
-        """Tokens of one long pre-token."""
-        best, count = [0.0], [0]
-        for end in range(1, len(raw) + 1):
-            score, tokens = -np.inf, 0
-            for n in self.levels:
-                if n > end:
+    @cached_property
+    def inside(self) -> tuple[np.ndarray, np.ndarray]:
+        """Which two bytes are a piece, and which three stand next to each other in one."""
+        two, three = np.zeros(1 << 16, bool), np.zeros(1 << 24, bool)
+        for p in self.logp:
+            if len(p) == 2:
+                two[p[0] << 8 | p[1]] = True
+            for i in range(len(p) - 2):
+                three[p[i] << 16 | p[i + 1] << 8 | p[i + 2]] = True
+        return two, three
+
+    @cached_property
+    def walk(self) -> tuple[dict[int, int], list[float | None]]:
+        """A trie of the pieces: the next node by node * 256 + byte, and each node's log probability."""
+        step: dict[int, int] = {}
+        logp: list[float | None] = [None]
+        for p, score in self.logp.items():
+            node = 0
+            for byte in p:
+                key = node << 8 | byte
+                if key not in step:
+                    step[key] = len(logp)
+                    logp.append(None)
+                node = step[key]
+            logp[node] = score
+        return step, logp
+
+    def borders(self, raw: bytes, begin: np.ndarray) -> np.ndarray:
+        """Starts of the parts of the words that begin at ``begin``: no piece lies across one."""
+        two, three = self.inside
+        data = np.frombuffer(raw, np.uint8)
+        border = np.zeros(len(data), bool)
+        for lo in range(0, len(data), BYTES_AT_ONCE):
+            # two bytes more on each side; a piece across a place shows the three bytes
+            # up to it or around it, or is the two bytes at it
+            a, z = max(0, lo - 2), min(len(data), lo + BYTES_AT_ONCE + 1)
+            x = data[a:z].astype(np.int32)
+            pair = x[:-1] << 8 | x[1:]
+            across = np.zeros(len(x), bool)
+            across[1:] = two[pair]
+            if len(x) > 2:
+                within = three[pair[:-1] << 8 | x[2:]]
+                across[1:-1] |= within
+                across[2:] |= within
+            hi = min(len(data), lo + BYTES_AT_ONCE)
+            border[lo:hi] = ~across[lo - a:hi - a]
+        border[begin] = True
+        return np.flatnonzero(border)
+
+    def run_count(self, raw: bytes) -> int:
+        """Tokens of one run of bytes, along the trie of the pieces from each place."""
+        step, logp = self.walk
+        n = len(raw)
+        best, count = [-np.inf] * (n + 1), [0] * (n + 1)
+        best[0] = 0.0
+        for start in range(n):
+            before, t, node = best[start], count[start] + 1, 0
+            for end in range(start, n):
+                node = step.get(node << 8 | raw[end])
+                if node is None:
                     break
-                p = self.logp.get(raw[end - n:end])
+                p = logp[node]
                 if p is not None:
-                    s, t = best[end - n] + p, count[end - n] + 1
-                    if s > score or (s == score and t < tokens):
-                        score, tokens = s, t
-            best.append(score)
-            count.append(tokens)
-        return count[-1]
+                    s, at = before + p, end + 1
+                    if s > best[at] or (s == best[at] and t < count[at]):
+                        best[at], count[at] = s, t
+        return count[n]
 
     def counts(self, words: list[bytes]) -> np.ndarray:
-        """Tokens of each of the distinct words, by one pass over their trie."""
+        """Tokens of each of the distinct words."""
+        out = self._distinct([w if len(w) <= LONG else b"" for w in words])
+        long = np.array([i for i, w in enumerate(words) if len(w) > LONG], np.int64)
+        if len(long):
+            raw = b"".join(words[i] for i in long)
+            begin = np.cumsum([0] + [len(words[i]) for i in long[:-1]])
+            starts = self.borders(raw, begin)
+            ends, owner = np.append(starts[1:], len(raw)), long[np.searchsorted(begin, starts, "right") - 1]
+            for lo in range(0, len(starts), PARTS_AT_ONCE):
+                known: dict[bytes, int] = {}
+                part = slice(lo, lo + PARTS_AT_ONCE)
+                which = [known.setdefault(raw[a:z], len(known)) for a, z in zip(starts[part].tolist(), ends[part].tolist())]
+                np.add.at(out, owner[part], self._distinct(list(known))[which])
+        return out
+
+    def _distinct(self, words: list[bytes]) -> np.ndarray:
+        """Tokens of each word by one pass over the trie of those up to LONG bytes."""
         out = np.zeros(len(words), np.int64)
-        short = [i for i, w in enumerate(words) if 0 < len(w) <= LONG]
         for i, w in enumerate(words):
             if len(w) > LONG:
-                out[i] = self.long_count(w)
-        order = sorted(short, key=words.__getitem__)
+                out[i] = self.run_count(w)
+        order = sorted((i for i, w in enumerate(words) if 0 < len(w) <= LONG), key=words.__getitem__)
         for lo in range(0, len(order), ROWS_AT_ONCE):
             part = order[lo:lo + ROWS_AT_ONCE]
             out[part] = self._trie([words[i] for i in part])

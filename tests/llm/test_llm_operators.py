@@ -99,7 +99,7 @@ def test_token_counts_against_plain_recurrence(docs, rows):
 
     def count(text):
         words = split.findall((text or "").encode())
-        return len(words), sum(memo.setdefault(w, None) or memo.__setitem__(w, pieces.long_count(w)) or memo[w] for w in words)
+        return len(words), sum(memo.setdefault(w, None) or memo.__setitem__(w, pieces.run_count(w)) or memo[w] for w in words)
 
     got = collections.Counter((r.doc_id, r.n_pretokens, r.n_tokens) for r in token_counts.token_counts(docs, PATHS[1]).collect())
     assert got == collections.Counter((r.doc_id, *count(r.text)) for r in rows)
@@ -121,11 +121,30 @@ def test_token_counts_use_every_piece_of_the_vocabulary(spark):
             best.append((score, -tokens))
         return best[-1][1]
 
-    words = [c * n for c in "-._=*\u2014" for n in (16, 32, 33, 47, 48, 64, 65, 128, 200)]
+    rng = np.random.RandomState(5)
+    chars = [chr(c) for c in range(0x4E00, 0x4E00 + 3000)] + list("\u3002\uff0c\u306e\u308b\u30fc")
+    unspaced = ["".join(rng.choice(chars, n)) for n in (17, 60, 400, 3000)]
+    unspaced += [base64.b64encode(rng.bytes(n)).decode() for n in (40, 500, 4000)]
+    unspaced += ["https://example.org/" + "/".join("item-%d?view=%s&page=%d" % (i, "full" * (i % 3), i * i) for i in range(n)) for n in (2, 30)]
+    unspaced += ["thequickbrownfoxjumpsoverthelazydog" * n for n in (2, 50)] + ["a" * 5000, "ab" * 1000 + "\u00e9" * 700]
+    words = unspaced + [c * n for c in "-._=*\u2014" for n in (16, 32, 33, 47, 48, 64, 65, 128, 200)]
     words += [p.decode() for p in ranks if len(p) > 32 and not re.search(rb"[\x00-\x20\x80-\xff]", p)]
     got = token_counts.token_counts(spark.createDataFrame(list(enumerate(words)), "doc_id long, text string"), PATHS[1]).collect()
     assert {r.doc_id: r.n_tokens for r in got} == {i: count(w.encode()) for i, w in enumerate(words)}
     assert {r.doc_id: r.n_tokens for r in got}[words.index("-" * 64)] == 1
+    # sentences without spaces go through the trie: no part of them is over LONG bytes
+    pieces = token_counts.UnigramPieces(PATHS[1])
+    raw = unspaced[3].encode()
+    assert np.diff(pieces.borders(raw, np.array([0])), append=len(raw)).max() <= token_counts.LONG
+
+
+def test_borders_do_not_depend_on_the_bytes_at_once(monkeypatch):
+    pieces = token_counts.UnigramPieces(PATHS[1])
+    raw = np.random.RandomState(9).bytes(3000) + b"the quick brown fox" * 50
+    whole = pieces.borders(raw, np.array([0, 100]))
+    for size in (1, 2, 3, 7, 64):
+        monkeypatch.setattr(token_counts, "BYTES_AT_ONCE", size)
+        assert (pieces.borders(raw, np.array([0, 100])) == whole).all()
 
 
 def test_packing_covers_every_id_once(spark, docs, rows):
