@@ -39,7 +39,6 @@ END_ID = 0
 
 PIECES = ("piece long, doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, "
           "part int, ids binary")
-PLAN = "size int, lo long, hi long, cut int, piece_size int, first_sequence long, offset int"
 
 
 def cut_documents(docs: DataFrame, tokenizer: str, ranks: str, pattern: str,
@@ -125,7 +124,7 @@ class _Pool:
 
 
 def plan_windows(histogram: dict[int, int], window: int = WINDOW) -> list[tuple[int, int, int, int, int, int, int]]:
-    """Rows of PLAN for remainders counted by length."""
+    """(length, lo rank, hi rank, cut, piece length, first sequence, offset) rows for remainders counted by length."""
     pool, rows, sequence = _Pool(histogram), [], 0
     while pool.counts:
         seed = max(pool.counts)
@@ -163,6 +162,57 @@ def plan_windows(histogram: dict[int, int], window: int = WINDOW) -> list[tuple[
     return rows
 
 
+class Places:
+    """Which plan rows hold the remainder of a length and rank, found by one binary search.
+
+    The ranks of a length are cut wherever a plan row begins or ends, so every rank lies in
+    one interval; an interval lists its rows (one, and one more for each time that its
+    remainders are cut). Intervals are at most twice the plan's rows.
+    """
+
+    RANKS = np.int64(1) << 48  # ranks of a length, by which lengths lie apart
+
+    def __init__(self, rows: list[tuple[int, int, int, int, int, int, int]]):
+        self.rows = np.array(rows, np.int64).reshape(-1, 7)
+        lo, hi = (self.rows[:, 0] * self.RANKS + self.rows[:, i] for i in (1, 2))
+        self.starts = np.unique(np.concatenate((lo, hi)))
+        first, last = np.searchsorted(self.starts, lo), np.searchsorted(self.starts, hi)
+        interval = np.concatenate([np.arange(a, b) for a, b in zip(first, last)] + [np.zeros(0, np.int64)]).astype(np.int64)
+        order = np.argsort(interval, kind="stable")
+        self.listed = np.repeat(np.arange(len(self.rows)), last - first)[order]
+        self.n = np.bincount(interval, minlength=len(self.starts))
+        self.at = np.cumsum(self.n) - self.n
+
+    def find(self, size: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(asked place, plan row) of every row that holds a part of an asked remainder."""
+        interval = np.searchsorted(self.starts, size.astype(np.int64) * self.RANKS + rank, "right") - 1
+        n = self.n[interval]
+        asked = np.repeat(np.arange(len(size)), n)
+        nth = np.arange(len(asked)) - np.repeat(np.cumsum(n) - n, n)
+        return asked, self.listed[self.at[interval][asked] + nth]
+
+
+def place(ranked: DataFrame, rows: list[tuple[int, int, int, int, int, int, int]]) -> DataFrame:
+    """piece, size, cut, piece_size, sequence_id, offset of every piece by its size and rank.
+
+    The plan's rows are a few for every length and pattern and go with the tasks.
+    """
+    places = Places(rows)
+
+    def found(batches):
+        for batch in batches:
+            size, rank = batch.column("size").to_numpy(), batch.column("rank").to_numpy()
+            asked, at = places.find(size, rank)
+            _, lo, _, cut, piece_size, first, offset = places.rows[at].T
+            yield pa.record_batch([batch.column("piece").take(pa.array(asked)), batch.column("size").take(pa.array(asked)),
+                                   pa.array(cut.astype(np.int32)), pa.array(piece_size.astype(np.int32)),
+                                   pa.array(first + rank[asked] - lo), pa.array(offset)],
+                                  names=["piece", "size", "cut", "piece_size", "sequence_id", "offset"])
+
+    return ranked.select("piece", "size", F.col("rank").cast("long").alias("rank")).transform(
+        map_arrow, found, "piece long, size int, cut int, piece_size int, sequence_id long, offset long")
+
+
 def pack(spark: SparkSession, docs: DataFrame, tokenizer: str, ranks: str, pattern: str,
          window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset per piece.
@@ -177,18 +227,13 @@ def pack(spark: SparkSession, docs: DataFrame, tokenizer: str, ranks: str, patte
     histogram = {r["size"]: r["n"] for r in by_task.groupBy("size").agg(F.sum("n").alias("n")).collect()}
     rows = plan_windows(histogram, window)
     packed = max((first + hi - lo for _, lo, hi, _, _, first, _ in rows), default=0)
-    plan = spark.createDataFrame(rows, PLAN)
 
     before = by_task.select("size", "part", (F.sum("n").over(
         Window.partitionBy("size").orderBy("part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("before"))
     rank = F.row_number().over(Window.partitionBy("size", "part").orderBy("piece")) - 1
     ranked = part.withColumn("rank", rank).join(before, ["size", "part"]).select(
         "piece", "size", (F.col("rank") + F.col("before")).alias("rank"))
-    # the plan has at most a few rows per length and pattern, for any number of documents
-    placed = ranked.join(F.broadcast(plan), "size").filter((F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi"))).select(
-        "piece", "size", "cut", "piece_size", (F.col("first_sequence") + F.col("rank") - F.col("lo")).alias("sequence_id"),
-        F.col("offset").cast("long").alias("offset"))
-    placed = table(spark, placed, "placed")
+    placed = table(spark, place(ranked, rows), "placed")
     kept = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     remainders = pieces.filter(F.col("length") < window)
     uncut = remainders.drop("ids").join(placed, "piece").filter(F.col("piece_size") == F.col("length"))

@@ -180,6 +180,25 @@ def test_plan_fills_all_windows_but_one():
         assert all(x <= 1024 for x in full.values()) and sum(x < 1024 for x in full.values()) <= 1
 
 
+def test_places_are_found_whatever_the_counts():
+    histogram = {size: int(1e7 / size**0.5) for size in range(1, 1024)}
+    rows = packing.plan_windows(histogram)
+    places = packing.Places(rows)
+    assert len(places.starts) <= 2 * len(rows) and places.n.max() <= 3 and len(places.listed) < 4 * len(rows)
+    rng = np.random.RandomState(3)
+    size = rng.randint(1, 1024, 300)
+    rank = np.array([rng.randint(0, histogram[s]) for s in size])
+    edge = places.rows[rng.choice(len(rows), 100)]  # first ranks of plan rows
+    size, rank = np.append(size, edge[:, 0]), np.append(rank, edge[:, 1])
+    asked, at = places.find(size, rank)
+    want = [(i, j) for i in range(len(size)) for j in np.flatnonzero(
+        (places.rows[:, 0] == size[i]) & (places.rows[:, 1] <= rank[i]) & (rank[i] < places.rows[:, 2]))]
+    assert sorted(zip(asked, at)) == want
+    for i in range(len(size)):
+        held = places.rows[at[asked == i]]
+        assert held[:, 4].sum() == size[i]  # the parts are the whole remainder
+
+
 def test_warc_round_trip(spark):
     pages = read(spark, SF001, "pages")
     extra = spark.createDataFrame([(9001, "u\n x", None), (9002, None, ""), (None, "n", "zzz"), (9003, "q", "a\nb\r\n\r\nc")], "page_id long, url string, html string")
