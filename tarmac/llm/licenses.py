@@ -5,12 +5,16 @@ are matched with those of the license templates: grams whose hash no template ha
 dropped in the row, the rest are joined with the template positions (a small fixed
 table, broadcast) and confirmed by their words. A match at text word p and template word
 q votes for the diagonal p - q. Votes are counted per text, template and diagonal;
-diagonals at most ``DRIFT`` apart are merged, so a word put in or left out does not
-split a passage; and a merged passage is verified by the share of template grams found
-and by the length of its span.
+diagonals apart by at most ``DRIFT`` words, or a fourth of the template's if that is more,
+are merged, so words put in or left out do not split a passage; and a merged passage is
+verified by the share of voting grams found and by the length of its span.
 
 The base phrases are templates that must match whole on one diagonal: each full diagonal
-is one place. Other labels come from notices that may be slightly changed.
+is one place. Other labels come from notices that may be changed: opening lines, and the
+notices that the licenses ask for in whole (a label may have several). A notice's gram votes
+if the notice holds it once and not both of its words are ``COMMON``, so a place in the text
+votes for one diagonal of a notice, and ordinary prose hardly votes at all. The notice of
+the GPL tells no version, that of Creative Commons no variant: they differ in a word or two.
 
 Defined cases: a null text has no words. Rows keep their number by position in their
 input partition, so repeated rows and ids are reported once each. Extra columns are
@@ -25,7 +29,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 K = 2
-DRIFT = 2
+DRIFT = 2  # words
+DRIFT_SHARE = 4  # or one word in so many of the template
 COVERAGE = 0.7
 LETTERS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -45,17 +50,48 @@ NOTICES = (
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted "
             "provided that the following conditions are met"),
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("apache-2.0", "licensed under the apache license version 2 0 the license you may not use this file except in "
+                   "compliance with the license you may obtain a copy of the license at http www apache org licenses license "
+                   "2 0 unless required by applicable law or agreed to in writing software distributed under the license is "
+                   "distributed on an as is basis without warranties or conditions of any kind either express or implied "
+                   "see the license for the specific language governing permissions and limitations under the license"),
+    ("gpl-notice", "this program is free software you can redistribute it and or modify it under the terms of the gnu "
+                   "general public license as published by the free software foundation either version 3 of the license "
+                   "or at your option any later version"),
+    ("gpl-notice", "this program is distributed in the hope that it will be useful but without any warranty without even "
+                   "the implied warranty of merchantability or fitness for a particular purpose see the gnu general public "
+                   "license for more details"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+            "documentation files the software to deal in the software without restriction including without limitation "
+            "the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to "
+            "permit persons to whom the software is furnished to do so subject to the following conditions the above "
+            "copyright notice and this permission notice shall be included in all copies or substantial portions of the "
+            "software"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that "
+            "the following conditions are met redistributions of source code must retain the above copyright notice this "
+            "list of conditions and the following disclaimer redistributions in binary form must reproduce the above "
+            "copyright notice this list of conditions and the following disclaimer in the documentation and or other "
+            "materials provided with the distribution"),
+    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl "
+                "was not distributed with this file you can obtain one at http mozilla org mpl 2 0"),
+    ("creative-commons", "this work is licensed under the creative commons attribution 4 0 international license to view "
+                         "a copy of this license visit http creativecommons org licenses by 4 0 or send a letter to "
+                         "creative commons po box 1866 mountain view ca 94042 usa"),
     ("public-domain", "dedicated the work to the public domain by waiving all of his or her rights to the work"),
 )
+# Words whose pairs do not vote for a notice (fixed values).
+COMMON = frozenset("a all an and any are as at by for in is it of on or that the this to under with you".split())
 
 
-def template_grams() -> list[tuple[str, bool, int, int, str, str]]:
-    """(label, base, grams of the template, position, first word, second word)."""
+def template_grams() -> list[tuple[int, str, bool, int, int, int, str, str]]:
+    """(template, label, base, its voting grams, its words, position, first word, second word) of the voting grams."""
     out = []
-    for base, listed in ((True, PHRASES), (False, NOTICES)):
-        for label, phrase in listed:
-            words = phrase.split()
-            out += [(label, base, len(words) - K + 1, i, *words[i:i + K]) for i in range(len(words) - K + 1)]
+    listed = [(True, *x) for x in PHRASES] + [(False, *x) for x in NOTICES]
+    for number, (base, label, phrase) in enumerate(listed):
+        words = phrase.split()
+        grams = [tuple(words[i:i + K]) for i in range(len(words) - K + 1)]
+        voting = [i for i, g in enumerate(grams) if base or (grams.count(g) == 1 and not COMMON.issuperset(g))]
+        out += [(number, label, base, len(voting), len(words), i, *grams[i]) for i in voting]
     return out
 
 
@@ -68,7 +104,7 @@ def text_words(text: Column) -> Column:
 def gram_hits(docs: DataFrame) -> DataFrame:
     """row, doc_id, n_words, p, w1, w2, h: matched grams; one row with null p if none."""
     grams = template_grams()
-    known = [F.xxhash64(F.lit(a), F.lit(b)) for a, b in sorted({g[4:] for g in grams})]
+    known = [F.xxhash64(F.lit(a), F.lit(b)) for a, b in sorted({g[6:] for g in grams})]
     step = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", text_words(F.col("text")).alias("words"))
     step = step.withColumn("n", F.size("words"))
     places = F.when(F.col("n") >= K, F.sequence(F.lit(0), F.col("n") - K)).otherwise(F.array().cast("array<int>"))
@@ -81,22 +117,24 @@ def gram_hits(docs: DataFrame) -> DataFrame:
 
 def scan(spark: SparkSession, docs: DataFrame, coverage: float = COVERAGE, drift: int = DRIFT) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
-    templates = spark.createDataFrame(template_grams(), "label string, base boolean, grams int, q int, t1 string, t2 string").withColumn(
-        "h", F.xxhash64("t1", "t2"))
+    schema = "template int, label string, base boolean, grams int, size int, q int, t1 string, t2 string"
+    templates = spark.createDataFrame(template_grams(), schema).withColumn("h", F.xxhash64("t1", "t2"))
     matched = gram_hits(docs).join(F.broadcast(templates), "h", "left")
     confirmed = (F.col("w1") == F.col("t1")) & (F.col("w2") == F.col("t2"))
-    voted = matched.groupBy("row", "doc_id", "n_words", "label", "base", "grams", F.when(confirmed, F.col("p") - F.col("q")).alias("diagonal")).agg(
+    kind = ("row", "doc_id", "n_words", "template", "label", "base", "grams", "size")
+    voted = matched.groupBy(*kind, F.when(confirmed, F.col("p") - F.col("q")).alias("diagonal")).agg(
         F.count("*").alias("votes"), F.min("p").alias("lo"), F.max("p").alias("hi"))
     # neighbouring diagonals of a notice are one passage; a base phrase needs its own
-    along = Window.partitionBy("row", "label", "base").orderBy("diagonal")
+    along = Window.partitionBy("row", "template").orderBy("diagonal")
     gap = F.col("diagonal") - F.lag("diagonal").over(along)
-    voted = voted.withColumn("fresh", F.when(F.col("base") | gap.isNull() | (gap > drift), 1).otherwise(0))
+    most = F.greatest(F.lit(drift), F.floor(F.col("size") / DRIFT_SHARE))
+    voted = voted.withColumn("fresh", F.when(F.col("base") | gap.isNull() | (gap > most), 1).otherwise(0))
     voted = voted.withColumn("passage", F.sum("fresh").over(along.rowsBetween(Window.unboundedPreceding, 0)))
-    passages = voted.groupBy("row", "doc_id", "n_words", "label", "base", "grams", "passage").agg(
+    passages = voted.groupBy(*kind, "passage").agg(
         F.sum("votes").alias("votes"), F.min("diagonal").alias("diagonal"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     share = F.least(F.lit(1.0), F.col("votes") / F.col("grams"))
     # a span longer than the notice and its drift holds votes of separate places
-    fitting = (F.col("hi") - F.col("lo") + 1) <= F.col("grams") + drift
+    fitting = (F.col("hi") - F.col("lo") + K) <= F.col("size") + most
     found = F.when(F.col("diagonal").isNull(), False).when(F.col("base"), F.col("votes") == F.col("grams")).otherwise(
         fitting & (share >= coverage))
     whole = F.coalesce(F.col("base"), F.lit(False)) & found

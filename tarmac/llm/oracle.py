@@ -83,28 +83,59 @@ _TEMPLATES = (
     ("bsd", False, "redistribution and use in source and binary forms with or without modification are permitted "
                    "provided that the following conditions are met"),
     ("mpl-2.0", False, "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("apache-2.0", False, "licensed under the apache license version 2 0 the license you may not use this file except in "
+                   "compliance with the license you may obtain a copy of the license at http www apache org licenses license "
+                   "2 0 unless required by applicable law or agreed to in writing software distributed under the license is "
+                   "distributed on an as is basis without warranties or conditions of any kind either express or implied "
+                   "see the license for the specific language governing permissions and limitations under the license"),
+    ("gpl-notice", False, "this program is free software you can redistribute it and or modify it under the terms of the gnu "
+                   "general public license as published by the free software foundation either version 3 of the license "
+                   "or at your option any later version"),
+    ("gpl-notice", False, "this program is distributed in the hope that it will be useful but without any warranty without even "
+                   "the implied warranty of merchantability or fitness for a particular purpose see the gnu general public "
+                   "license for more details"),
+    ("mit", False, "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+            "documentation files the software to deal in the software without restriction including without limitation "
+            "the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to "
+            "permit persons to whom the software is furnished to do so subject to the following conditions the above "
+            "copyright notice and this permission notice shall be included in all copies or substantial portions of the "
+            "software"),
+    ("bsd", False, "redistribution and use in source and binary forms with or without modification are permitted provided that "
+            "the following conditions are met redistributions of source code must retain the above copyright notice this "
+            "list of conditions and the following disclaimer redistributions in binary form must reproduce the above "
+            "copyright notice this list of conditions and the following disclaimer in the documentation and or other "
+            "materials provided with the distribution"),
+    ("mpl-2.0", False, "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl "
+                "was not distributed with this file you can obtain one at http mozilla org mpl 2 0"),
+    ("creative-commons", False, "this work is licensed under the creative commons attribution 4 0 international license to view "
+                         "a copy of this license visit http creativecommons org licenses by 4 0 or send a letter to "
+                         "creative commons po box 1866 mountain view ca 94042 usa"),
     ("public-domain", False, "dedicated the work to the public domain by waiving all of his or her rights to the work"),
 )
+_COMMON = ["a", "all", "an", "and", "any", "are", "as", "at", "by", "for", "in", "is", "it", "of", "on", "or", "that", "the", "this", "to", "under", "with", "you"]
 _VALUES = ", ".join(f"('{label}', {base}, '{words}')" for label, base, words in _TEMPLATES)
 
 LICENSES = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id,
   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM documents),
-t AS (SELECT label, base, string_split(phrase, ' ') AS tw FROM (VALUES {_VALUES}) AS x(label, base, phrase)),
-tg AS (SELECT label, base, len(tw) - 1 AS grams, q - 1 AS q, tw[q] AS w1, tw[q + 1] AS w2
-  FROM (SELECT *, unnest(range(1, len(tw))) AS q FROM t)),
+t AS (SELECT row_number() OVER () AS template, label, base, string_split(phrase, ' ') AS tw
+  FROM (VALUES {_VALUES}) AS x(label, base, phrase)),
+tu AS (SELECT *, tw[q] AS w1, tw[q + 1] AS w2 FROM (SELECT *, unnest(range(1, len(tw))) AS q FROM t)),
+tg AS (SELECT template, label, base, count(*) OVER (PARTITION BY template) AS grams, len(tw) AS size, q - 1 AS q, w1, w2 FROM
+  (SELECT *, count(*) OVER (PARTITION BY template, w1, w2) AS held FROM tu)
+  WHERE base OR (held = 1 AND NOT (list_contains({_COMMON}, w1) AND list_contains({_COMMON}, w2)))),
 g AS (SELECT r, p - 1 AS p, words[p] AS w1, words[p + 1] AS w2
   FROM (SELECT r, words, unnest(range(1, len(words))) AS p FROM d)),
-v AS (SELECT r, label, base, grams, p - q AS diagonal, count(*) AS votes, min(p) AS lo, max(p) AS hi
+v AS (SELECT r, template, label, base, grams, size, greatest(2, size // 4) AS drift, p - q AS diagonal, count(*) AS votes, min(p) AS lo, max(p) AS hi
   FROM g JOIN tg USING (w1, w2) GROUP BY ALL),
-f AS (SELECT *, CASE WHEN base OR coalesce(diagonal - lag(diagonal) OVER (PARTITION BY r, label ORDER BY diagonal), 3) > 2
+f AS (SELECT *, CASE WHEN base OR coalesce(diagonal - lag(diagonal) OVER (PARTITION BY r, template ORDER BY diagonal) > drift, true)
   THEN 1 ELSE 0 END AS fresh FROM v),
-n AS (SELECT *, sum(fresh) OVER (PARTITION BY r, label ORDER BY diagonal ROWS UNBOUNDED PRECEDING) AS passage FROM f),
-s AS (SELECT r, label, base, grams, sum(votes) AS votes, min(diagonal) AS diagonal, min(lo) AS lo, max(hi) AS hi
-  FROM n GROUP BY r, label, base, grams, passage),
+n AS (SELECT *, sum(fresh) OVER (PARTITION BY r, template ORDER BY diagonal ROWS UNBOUNDED PRECEDING) AS passage FROM f),
+s AS (SELECT r, template, label, base, grams, size, drift, sum(votes) AS votes, min(diagonal) AS diagonal, min(lo) AS lo, max(hi) AS hi
+  FROM n GROUP BY r, template, label, base, grams, size, drift, passage),
 k AS (SELECT r, label, base, diagonal, least(1.0, CAST(votes AS DOUBLE) / grams) AS share,
-  CASE WHEN base THEN votes = grams ELSE hi - lo + 1 <= grams + 2
+  CASE WHEN base THEN votes = grams ELSE hi - lo + 2 <= size + drift
     AND least(1.0, CAST(votes AS DOUBLE) / grams) >= CAST(0.7 AS DOUBLE) END AS found FROM s),
 a AS (SELECT r, count(*) FILTER (base) AS n_base, min(diagonal) FILTER (base) AS first_word, max(diagonal) FILTER (base) AS last_word,
   coalesce(array_to_string(list_sort(list_distinct(list(label) FILTER (base))), ','), '') AS base_labels,

@@ -400,3 +400,51 @@ def test_license_scan(spark, docs):
     assert got.filter("doc_id = 40000").first().labels == "apache-2.0"
     assert got.filter("doc_id = 10010").first().n_base == 4
     assert licenses.scan(spark, docs.limit(0)).count() == 0
+
+
+# notices as they stand in files
+GPL = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General
+Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any
+later version."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#     http://www.apache.org/licenses/LICENSE-2.0
+# Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an
+# "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the
+# specific language governing permissions and limitations under the License."""
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to
+whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this
+permission notice shall be included in all copies or substantial portions of the Software."""
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of
+conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this
+list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."""
+CC = """This work is licensed under the Creative Commons Attribution-ShareAlike 4.0 International License. To view a copy
+of this license, visit http://creativecommons.org/licenses/by-sa/4.0/ or send a letter to Creative Commons, PO Box 1866,
+Mountain View, CA 94042, USA."""
+
+
+def test_whole_notices_with_words_put_in_and_left_out(spark):
+    want = {"gpl-notice": GPL, "apache-2.0": APACHE, "mit": MIT, "bsd": BSD, "creative-commons": CC}
+    prose = "the copy of the book that was sent to the person in the city is subject to the following remarks in all copies "
+    texts, labels = [], []
+    for label, notice in want.items():
+        words = notice.split()
+        half = len(words) // 2
+        put_in = words[:half] + ["four", "words", "put", "in"] + words[half:]
+        left_out = words[:half] + words[half + 3:]
+        scattered = [w for i, w in enumerate(words) for w in ([w, "xx"] if i % 15 == 7 else [w])]
+        for form in (words, put_in, left_out, scattered):
+            texts += [" ".join(form), prose * 5 + " ".join(form) + "\n" + prose * 5]
+            labels += [label, label]
+    texts += [prose * 100, "the software and of the license " * 200, " ".join(w for n in want.values() for w in n.split()[::2])]
+    labels += ["", "", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = licenses.scan(spark, docs)
+    found = {r.doc_id: set(r.labels.split(",")) - {"gpl"} for r in got.collect()}
+    missed = [(i, labels[i], found[i]) for i in range(len(texts)) if found[i] - {""} != {labels[i]} - {""}]
+    assert not missed
+    _against_sql(docs, oracle.LICENSES, got)
