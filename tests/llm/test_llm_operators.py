@@ -448,3 +448,28 @@ def test_whole_notices_with_words_put_in_and_left_out(spark):
     missed = [(i, labels[i], found[i]) for i in range(len(texts)) if found[i] - {""} != {labels[i]} - {""}]
     assert not missed
     _against_sql(docs, oracle.LICENSES, got)
+
+
+def test_near_duplicates_lose_no_link_of_a_whole_table(spark):
+    docs = read(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text")
+    classes = {r.doc_id: r.class_id for r in near_dup.near_duplicates(spark, docs).collect()}
+    df, bags, rows = collections.Counter(), {}, docs.collect()
+    for r in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", (r.text or "").lower())
+        if words:
+            bags[r.doc_id] = collections.Counter(tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4)))
+            df.update(bags[r.doc_id].keys())
+    level = {c: int(near_dup.idf_levels(np.array([c]), len(rows))[0]) for c in set(df.values())}
+    weight = {s: 1 + near_dup.IDF_SPAN * level[c] / near_dup.LEVELS for s, c in df.items()}
+    total = {d: sum(weight[s] * c for s, c in bag.items()) for d, bag in bags.items()}
+    holders = collections.defaultdict(list)
+    for d, bag in bags.items():
+        for s in bag:
+            holders[s].append(d)
+    both = collections.Counter()
+    for s, ds in holders.items():
+        for i, a in enumerate(ds):
+            for b in ds[i + 1:]:
+                both[a, b] += weight[s] * min(bags[a][s], bags[b][s])
+    links = [(a, b) for (a, b), x in both.items() if x / (total[a] + total[b] - x) >= 0.8 - 1e-9]
+    assert len(links) > 50 and all(classes[a] == classes[b] for a, b in links)
