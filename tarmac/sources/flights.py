@@ -76,14 +76,17 @@ def load_flights(spark: SparkSession, path: str, fmt: str = "csv",
     return df.select(*cols)
 
 
-def save_table(df: DataFrame, path: str, fmt: str = "csv", single_file: bool = False) -> DataFrame:
+def save_table(df: DataFrame, path: str, fmt: str = "csv", single_file: bool = False,
+               compression: str | None = None) -> DataFrame:
     """IO3: write a result table (overwrite; CSV with a header) and return the input.
 
     ``single_file`` coalesces to one partition first; use it only for small,
-    aggregated results.
+    aggregated results. ``compression`` is a codec of the format, e.g. gzip.
     """
     out = df.coalesce(1) if single_file else df
     writer = out.write.mode("overwrite")
+    if compression:
+        writer = writer.option("compression", compression)
     if fmt == "csv":
         writer.option("header", True).csv(path)
     else:

@@ -91,3 +91,23 @@ def test_distinct_rows_collapse_before_they_move(spark):
     # raw copies collapse map-side; the second exchange moves rows that are distinct already
     plan = _formatted(Q.distinct_counts(flight_tables(spark, SF01).raw)).split("\n\n")[0]
     assert plan.count("Exchange (") == 2 and plan.rindex("HashAggregate") > plan.rindex("Exchange")
+
+
+def test_rows_moved_once_give_the_same_counts(spark):
+    days = ["2024-01-05", "+02024-01-05", "junk", "junk", "trash", None, None]
+    rows = [dict(fl_date=d, origin=o, dep_delay=x) for d in days for o in ("A", None) for x in (0.0, -0.0, float("nan"), None)]
+    df = flight_rows(spark, rows * 3)
+    found = [sorted(map(str, Q.distinct_counts(df, move_once=once).collect())) for once in (False, True)]
+    assert found[0] == found[1] and len(found[0]) == 2 * 3 * 2
+    plan = _formatted(Q.distinct_counts(flight_tables(spark, SF01).raw, move_once=True)).split("\n\n")[0]
+    assert plan.count("Exchange (") == 1
+
+
+def test_small_tasks_lowers_and_restores(spark):
+    from tarmac.session import TASK_SIZE_KEYS, small_tasks
+    before = [spark.conf.get(k) for k in TASK_SIZE_KEYS]
+    with small_tasks(spark, 1 << 20):
+        assert [spark.conf.get(k) for k in TASK_SIZE_KEYS] == ["1048576b"] * 2
+        with small_tasks(spark):
+            assert [spark.conf.get(k) for k in TASK_SIZE_KEYS] == ["1048576b"] * 2
+    assert [spark.conf.get(k) for k in TASK_SIZE_KEYS] == before

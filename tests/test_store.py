@@ -60,3 +60,21 @@ def test_a_write_without_its_marker_is_done_again(spark, files):
 def test_state_of_globs_and_missing_paths(spark, files):
     assert store.input_state(spark, [f"{files}/*.csv"]) == store.input_state(spark, [f"{files}/*.csv"])
     assert store.input_state(spark, [f"{files}/*.csv"]) != store.input_state(spark, [f"{files}/none*"])
+
+
+def test_cleaned_flights_do_not_write_the_raw_ones(spark, monkeypatch):
+    monkeypatch.setattr(store, "_PATHS", {})
+    t = store.flight_tables(spark, SF001)
+    written = t.clean.count()
+    assert [key[1] for key in store._PATHS] == ["star-distinct"]
+    monkeypatch.setattr(store, "_PATHS", {})
+    rows = t.raw.count()
+    assert t.clean.count() == written and t.raw_once.count() == rows and t.raw_once.inputFiles() == t.raw.inputFiles()
+
+
+def test_gzipped_flight_files(spark):
+    folder = tempfile.mkdtemp(prefix="tarmac-files-") + "/csv"
+    raw = store.flight_tables(spark, SF001).raw
+    save_table(raw, folder, compression="gzip")
+    assert all(f.endswith(".csv.gz") for f in os.listdir(folder) if f.startswith("part-"))
+    assert sorted(map(str, store.flight_files(spark, folder).raw.collect())) == sorted(map(str, raw.collect()))
