@@ -133,6 +133,12 @@ def _labelled(docs: DataFrame, sample_docs: int, seed: int) -> DataFrame:
             .withColumn("drawn", drawn).select("doc_id", "lang", "text", "order", "drawn", "share"))
 
 
+def _shares(row) -> tuple[np.ndarray, np.ndarray]:
+    """Gram buckets of a sampled text and their shares of its grams."""
+    counts = np.frombuffer(row["counts"], np.uint16).astype(np.float64)
+    return np.frombuffer(row["ids"], np.uint16).astype(np.int64), counts / counts.sum()
+
+
 def _softmax(x: np.ndarray) -> np.ndarray:
     e = np.exp(x - x.max(axis=-1, keepdims=True))
     return e / e.sum(axis=-1, keepdims=True)
@@ -141,22 +147,18 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, buckets: int = BUCKETS, dim: int = DIM,
           epochs: int = EPOCHS, rate: float = RATE, reject_share: float = REJECT_SHARE,
           seed: int = 11) -> LanguageModel:
-    """Fit on the bounded sample; its gram counts (not its texts) reach the driver."""
+    """Fit on the bounded sample; its gram counts (not its texts) reach the driver, which holds them as
+    sent and widens one text's at a time."""
     if buckets > 1 << 16:
         raise ValueError("buckets must fit 16 bits")
     rows = training_sample(docs, sample_docs, seed).select("lang", "order", "text").transform(map_arrow,
         lambda it: _features(it, buckets), "lang string, order long, ids binary, counts binary").collect()
-    rows = sorted(rows, key=lambda r: (r["order"], r["lang"]))
+    rows.sort(key=lambda r: (r["order"], r["lang"]))
     languages = sorted({r["lang"] for r in rows})
     if not languages:
         return LanguageModel([], np.zeros((buckets, 0), np.int64), np.zeros(0), 1.0, 0.0)
     label = {x: i for i, x in enumerate(languages)}
-    data = []
-    for r in rows:
-        ids = np.frombuffer(bytes(r["ids"]), np.uint16).astype(np.int64)
-        if len(ids):
-            c = np.frombuffer(bytes(r["counts"]), np.uint16).astype(np.float64)
-            data.append((label[r["lang"]], ids, c / c.sum()))
+    data = [r for r in rows if len(r["ids"])]
     fit = [d for i, d in enumerate(data) if i % 5] or data
     check = data[::5] or data
     rng = np.random.RandomState(seed)
@@ -167,7 +169,7 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, buckets: int = BUCKET
     steps, done = max(1, epochs * len(fit)), 0
     for _ in range(epochs):
         for i in rng.permutation(len(fit)):
-            y, ids, share = fit[i]
+            y, (ids, share) = label[fit[i]["lang"]], _shares(fit[i])
             lr = rate * (1.0 - done / steps)
             done += 1
             mean = share @ emb[ids]
@@ -180,8 +182,8 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, buckets: int = BUCKET
             bias -= 0.1 * lr * err
             emb[ids] -= (lr * len(ids) ** 0.5 * share)[:, None] * grad
     weights = np.rint(emb @ out * SCALE).astype(np.int64)
-    logits = np.stack([share @ weights[ids] / SCALE + bias for _, ids, share in check]) if check else np.zeros((0, len(languages)))
-    truth = np.array([y for y, _, _ in check], np.int64)
+    logits = np.stack([share @ weights[ids] / SCALE + bias for ids, share in map(_shares, check)]) if check else np.zeros((0, len(languages)))
+    truth = np.array([label[r["lang"]] for r in check], np.int64)
     temperature, threshold = _calibrate(logits, truth, reject_share)
     model = LanguageModel(languages, weights, bias, temperature, threshold)
     spread = _right_answers(_labelled(docs, sample_docs, seed).filter("NOT drawn"), model).groupBy("step").agg(F.sum("n").alias("n")).orderBy("step").collect()

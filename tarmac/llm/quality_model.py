@@ -94,16 +94,21 @@ def training_sample(docs: DataFrame, labels: DataFrame, sample_docs: int, seed:
             .orderBy("order", "quality").limit(2 * sample_docs))
 
 
+def _example(row, buckets: int) -> tuple[float, np.ndarray, np.ndarray]:
+    """Label, features (the last one is the bias) and their values of a sampled text."""
+    return (1.0 if row["quality"] == 1 else 0.0,
+            np.append(np.frombuffer(row["ids"], np.uint32).astype(np.int64), buckets),
+            np.append(np.frombuffer(row["shares"], np.float32) * GAIN, 1.0))
+
+
 def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, buckets: int = BUCKETS,
           epochs: int = EPOCHS, alpha: float = 0.2, beta: float = 1.0, l1: float = 0.05, l2: float = 0.1,
           seed: int = 5) -> QualityModel:
-    """Fit on the bounded sample; its hashed counts (not its texts) reach the driver."""
+    """Fit on the bounded sample; its hashed counts (not its texts) reach the driver, which holds them as
+    sent and widens one text's at a time."""
     rows = (training_sample(docs, labels, sample_docs, seed).select("quality", "order", "text")
             .transform(map_arrow, lambda it: _features(it, buckets), "quality int, order long, ids binary, shares binary").collect())
-    rows = sorted(rows, key=lambda r: (r["order"], r["quality"]))
-    data = [(1.0 if r["quality"] == 1 else 0.0,
-             np.append(np.frombuffer(bytes(r["ids"]), np.uint32).astype(np.int64), buckets),
-             np.append(np.frombuffer(bytes(r["shares"]), np.float32) * GAIN, 1.0)) for r in rows]
+    rows.sort(key=lambda r: (r["order"], r["quality"]))
     z, n = np.zeros(buckets + 1), np.zeros(buckets + 1)
     rng = np.random.RandomState(seed)
 
@@ -114,8 +119,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, bu
                         -(at - np.sign(at) * penalty) / ((beta + np.sqrt(n[ids])) / alpha + l2))
 
     for _ in range(epochs):
-        for i in rng.permutation(len(data)):
-            y, ids, x = data[i]
+        for i in rng.permutation(len(rows)):
+            y, ids, x = _example(rows[i], buckets)
             w = weights(ids)
             g = (1.0 / (1.0 + np.exp(-np.clip(w @ x, -35, 35))) - y) * x
             squared = n[ids] + g * g
