@@ -51,7 +51,7 @@ from pyspark.sql import functions as F
 from tarmac.llm.blocks import blocks, text_bytes, word_hashes
 from tarmac.llm.common import WORD, drop_table, map_arrow, swept_table, table
 from tarmac.llm.components import component_roots
-from tarmac.session import shuffle_partitions_for
+from tarmac.session import broadcasts_by_run_size, shuffle_partitions_for
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -451,7 +451,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, similarity: float = SI
     if similarity < SIMILARITY:
         raise ValueError(f"bands and sketch bounds are made for a similarity of {SIMILARITY} or more, not {similarity}")
     n, size, bits, place_bytes = layout(docs)
-    with shuffle_partitions_for(spark, size):
+    with shuffle_partitions_for(spark, size), broadcasts_by_run_size(spark):
         return _classes(spark, docs, similarity, n, bits, place_bytes)
 
 
@@ -481,10 +481,11 @@ def _classes(spark: SparkSession, docs: DataFrame, similarity: float, n: int, bi
         drop_table(spark, done)
     if not more.isEmpty():
         roots = component_roots(spark, links.select("a", "b").unionByName(more.select("a", "b")))
-    classed = nodes.select("node", "digest", "named").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # planned when the caller runs it: the hints keep the driver from gathering a row a text
+    classed = nodes.select("node", "digest", "named").join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = classed.groupBy("root").agg(F.min(F.struct(F.col("named").isNull().alias("x"), F.col("named").alias("class_id"), F.col("digest").alias("keeper"))).alias("k"))
-    named = classed.join(least, "root").select("digest", F.col("k.class_id").alias("class_id"), F.col("k.keeper").alias("keeper"))
-    return rows.select("doc_id", "digest").join(named, "digest", "left").select(
+    named = classed.join(least.hint("merge"), "root").select("digest", F.col("k.class_id").alias("class_id"), F.col("k.keeper").alias("keeper"))
+    return rows.select("doc_id", "digest").join(named.hint("merge"), "digest", "left").select(
         "doc_id", "digest", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), "keeper")
 
 
@@ -597,5 +598,5 @@ def keep_one(spark: SparkSession, docs: DataFrame, similarity: float = SIMILARIT
     # the row travels as one struct, so no column of docs can clash with the keys
     texts = docs.filter(worded).select(F.struct(*(docs[c] for c in docs.columns)).alias("row"),
                                        F.col("doc_id").cast("long").alias("key_id"), _digest().alias("key_digest"))
-    found = texts.join(kept, texts["key_id"].eqNullSafe(kept["kept_id"]) & (texts["key_digest"] == kept["kept_digest"]), "left_semi")
+    found = texts.join(kept.hint("merge"), texts["key_id"].eqNullSafe(kept["kept_id"]) & (texts["key_digest"] == kept["kept_digest"]), "left_semi")
     return found.dropDuplicates(["key_id", "key_digest"]).select("row.*").unionByName(docs.filter(~worded))

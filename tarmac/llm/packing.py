@@ -36,6 +36,8 @@ from tarmac.llm.encode import shared_encoder
 
 WINDOW = 1024
 END_ID = 0
+# Rows of cut remainders (about 100 bytes each) that are sent to all tasks; more are shuffled with the ids.
+CUT_ROWS_SENT = 1 << 15
 
 PIECES = ("piece long, doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, "
           "part int, ids binary")
@@ -236,11 +238,13 @@ def pack(spark: SparkSession, docs: DataFrame, tokenizer: str, ranks: str, patte
     placed = table(spark, place(ranked, rows), "placed")
     kept = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     remainders = pieces.filter(F.col("length") < window)
-    uncut = remainders.drop("ids").join(placed, "piece").filter(F.col("piece_size") == F.col("length"))
+    # a row a document: the file of regular numbers is far smaller than its rows, so no broadcast by its size
+    uncut = remainders.drop("ids").join(placed.hint("merge"), "piece").filter(F.col("piece_size") == F.col("length"))
     alone = whole.withColumns({"sequence_id": F.lit(packed) + F.col("piece"), "offset": F.lit(0).cast("long")})
     result = alone.select(kept).unionByName(uncut.select(kept))
-    if any(size != origin for origin, _, _, _, size, _, _ in rows):
-        divided = placed.filter(F.col("piece_size") < F.col("size"))
+    cut_rows = sum(hi - lo for origin, lo, hi, _, size, _, _ in rows if size != origin)
+    if cut_rows:
+        divided = placed.filter(F.col("piece_size") < F.col("size")).hint("broadcast" if cut_rows <= CUT_ROWS_SENT else "merge")
         result = result.unionByName(
             remainders.select("piece", "doc_id", "start", "doc_tokens", "ids").join(divided, "piece").withColumns({
                 "ids_crc32": F.crc32(F.substring("ids", F.col("cut") * 4 + 1, F.col("piece_size") * 4)),

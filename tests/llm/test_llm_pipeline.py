@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tarmac.llm import langid, near_dup, quality_model
+from tarmac.llm import components, langid, near_dup, packing, quality_model
 from tarmac.llm.common import read
 
 SF001 = "/root/testdata/sf0.001"
@@ -75,3 +75,36 @@ def test_empty_tables_give_no_pieces(spark, folder):
     for name in ("documents", "labels"):
         read(spark, folder, name).limit(0).write.parquet(f"{path}/{name}.parquet")
     assert corpus_pipeline.run(spark, path).collect() == []
+
+
+def test_no_stage_broadcasts_a_table_by_its_estimate(spark, folder, monkeypatch):
+    """Near-duplicates and packing: every plan starts without a broadcast of a written table, whose rows
+    (20 buckets a text exploded, arrays, a piece a document) the planner takes to be far fewer bytes."""
+    plans = []
+
+    def planned(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    def noted(module):
+        write = module.table
+        monkeypatch.setattr(module, "table", lambda s, df, name: plans.append(planned(df)) or write(s, df, name))
+
+    for module in (near_dup, components, packing):
+        noted(module)
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = [spark.conf.get(key, None) for key in keys]
+    texts = [" ".join(f"word{(k * 7 + i * i) % 97}" for i in range(40 + k)) for k in range(12)]
+    rows = [(i, f"{texts[i % 12]} {'end' * (i // 12)}") for i in range(48)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    one = corpus_pipeline.near_duplicates(spark, docs, folder)
+    packed = corpus_pipeline.pack(spark, docs, folder)
+    assert [spark.conf.get(key, None) for key in keys] == before
+    assert len(plans) > 8 and sum("Join" in plan for plan in plans) > 4
+    # a side is broadcast only by the bytes that its shuffle had, or as the few remainders that are cut
+    assert not [plan for plan in [*plans, planned(one)] if "BroadcastHashJoin" in plan and "rank" not in plan]
+    assert "SortMergeJoin" in planned(packed) and planned(packed).count("BroadcastHashJoin") <= 1
+    monkeypatch.setattr(packing, "CUT_ROWS_SENT", 0)
+    shuffled = corpus_pipeline.pack(spark, docs, folder)
+    assert "BroadcastHashJoin" not in planned(shuffled)
+    pieces = [collections.Counter(map(tuple, df.drop("sequence_id", "offset").collect())) for df in (packed, shuffled)]
+    assert pieces[0] == pieces[1] and pieces[0].total() > 48  # some are cut
