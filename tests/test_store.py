@@ -2,6 +2,7 @@
 
 import os
 import tempfile
+import time
 
 import pytest
 from conftest import SF001
@@ -78,3 +79,20 @@ def test_gzipped_flight_files(spark):
     save_table(raw, folder, compression="gzip")
     assert all(f.endswith(".csv.gz") for f in os.listdir(folder) if f.startswith("part-"))
     assert sorted(map(str, store.flight_files(spark, folder).raw.collect())) == sorted(map(str, raw.collect()))
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark, files):
+    def shuffles():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {blocks.apply(i).name() for i in range(blocks.size()) if blocks.apply(i).name().startswith("shuffle_")}
+
+    before = shuffles()
+    rows = store.flight_files(spark, files).distinct
+    # the files are deleted beside the query's end
+    for _ in range(50):
+        if not shuffles() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffles() - before
+    assert rows.count() == store.flight_tables(spark, SF001).distinct.count() > 0
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
