@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from tarmac import session
 from tarmac.llm import components, langid, near_dup, packing, quality_model
 from tarmac.llm.common import read
 
@@ -91,6 +92,7 @@ def test_no_stage_broadcasts_a_table_by_its_estimate(spark, folder, monkeypatch)
 
     for module in (near_dup, components, packing):
         noted(module)
+    monkeypatch.setattr(session, "ESTIMATE_BYTES", -1)  # the test's tables are small
     keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
     before = [spark.conf.get(key, None) for key in keys]
     texts = [" ".join(f"word{(k * 7 + i * i) % 97}" for i in range(40 + k)) for k in range(12)]
